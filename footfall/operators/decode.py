@@ -18,36 +18,43 @@ from footfall.functions.times import event_date, parse_datetime, to_int
 from footfall.schemas import MESSAGE_INTS, MESSAGE_STRINGS
 
 _NUMBER_TYPES = r"^(BIGINT|DECIMAL|DOUBLE)"
-
-
-def _json_type(field: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get("_json", f"$.{field}", "variant"))
+# Numbers are taken as double first, so that 1.5 is told apart from 1.
+_BODY = ", ".join(
+    [f"{f} string" for f in [*MESSAGE_STRINGS, "stationName"]] + [f"{f} double" for f in MESSAGE_INTS]
+)
 
 
 def _text(field: str) -> Column:
-    value = F.try_variant_get("_json", f"$.{field}", "string")
-    return F.when(_json_type(field) == "STRING", value)
+    return F.when(F.col("_types")[field] == "STRING", F.col("_body")[field])
 
 
 def _whole_number(field: str) -> Column:
-    path = f"$.{field}"
-    value = F.try_variant_get("_json", path, "int")
-    exact = F.try_variant_get("_json", path, "double") == value.cast("double")
-    return F.when(_json_type(field).rlike(_NUMBER_TYPES) & exact, value)
+    number = F.col("_body")[field]
+    whole = number.try_cast("int")
+    is_number = F.col("_types")[field].rlike(_NUMBER_TYPES)
+    return F.when(is_number & (whole.cast("double") == number), whole)
 
 
 def _decode(messages: DataFrame, extra: dict[str, Column], problems: list) -> DataFrame:
-    """Add the message fields and ``problem``, which is NULL for an accepted message."""
+    """Add the message fields and ``problem``, which is NULL for an accepted message.
+
+    The text is parsed once; one cast gives all values and one all JSON types.
+    """
     fields = {f: _text(f) for f in MESSAGE_STRINGS}
     fields |= {f: _whole_number(f) for f in MESSAGE_INTS}
-    parsed = messages.withColumn("_json", F.try_parse_json("value")).withColumns(fields | extra)
+    members = F.try_variant_get("_json", "$", "map<string,variant>")
+    types = F.transform_values(members, lambda _, value: F.schema_of_variant(value))
+    parsed = messages.withColumn("_json", F.try_parse_json("value")).withColumns(
+        {"_body": F.try_variant_get("_json", "$", f"struct<{_BODY}>"), "_types": types}
+    )
+    parsed = parsed.withColumns(fields | extra)
     parsed = parsed.withColumn("event_ts", parse_datetime(F.col("datetime")))
     complete = reduce(and_, [F.col(f).isNotNull() for f in fields])
     problem = F.when(F.col("_json").isNull(), "not_json").when(~complete, "bad_field")
     for condition, reason in problems:
         problem = problem.when(condition, reason)
     problem = problem.when(F.col("event_ts").isNull(), "bad_datetime")
-    return parsed.withColumn("problem", problem).drop("_json")
+    return parsed.withColumn("problem", problem).drop("_json", "_body", "_types")
 
 
 def decode_sighting(messages: DataFrame) -> DataFrame:
@@ -58,7 +65,7 @@ def decode_sighting(messages: DataFrame) -> DataFrame:
 def decode_device_log(messages: DataFrame) -> DataFrame:
     """Device-log messages: as sightings, with an optional station name and a numeric sensor."""
     extra = {
-        "_name_type": F.coalesce(_json_type("stationName"), F.lit("VOID")),
+        "_name_type": F.coalesce(F.col("_types")["stationName"], F.lit("VOID")),
         "stationName": _text("stationName"),
     }
     problems = [

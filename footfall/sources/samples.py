@@ -2,7 +2,8 @@
 
 ``events``: one sighting per event, by user at the event's type; in the dense variant by event
 type at a band of the event's value, which gives few devices with long runs at one station.
-``orders``: one sighting per order, by customer at the order's priority, over many months.
+``orders``: one sighting per order, by order status at the order's priority, over many
+months.
 """
 
 from __future__ import annotations
@@ -56,11 +57,11 @@ def dense_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers seen at order priorities, one month after another."""
+    """Order statuses seen at order priorities, over many months."""
     return _sightings(
         table(spark, sf_dir, "orders"),
         "o_orderkey",
-        F.col("o_custkey"),
+        F.col("o_orderstatus"),
         F.col("o_orderpriority"),
         F.col("o_orderdate"),
     )
