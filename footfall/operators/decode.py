@@ -38,23 +38,28 @@ def _whole_number(field: str) -> Column:
 def _decode(messages: DataFrame, extra: dict[str, Column], problems: list) -> DataFrame:
     """Add the message fields and ``problem``, which is NULL for an accepted message.
 
-    The text is parsed once; one cast gives all values and one all JSON types.
+    The text is parsed once; one cast gives all values and one all JSON types. They leave a
+    generator (of one row per message) because a filter on ``problem`` would otherwise be moved
+    below the parsing, with a copy of the parse in every field it reads.
     """
     fields = {f: _text(f) for f in MESSAGE_STRINGS}
     fields |= {f: _whole_number(f) for f in MESSAGE_INTS}
     members = F.try_variant_get("_json", "$", "map<string,variant>")
     types = F.transform_values(members, lambda _, value: F.schema_of_variant(value))
-    parsed = messages.withColumn("_json", F.try_parse_json("value")).withColumns(
-        {"_body": F.try_variant_get("_json", "$", f"struct<{_BODY}>"), "_types": types}
+    once = F.struct(
+        F.col("_json").isNull().alias("_broken"),
+        F.try_variant_get("_json", "$", f"struct<{_BODY}>").alias("_body"),
+        types.alias("_types"),
     )
-    parsed = parsed.withColumns(fields | extra)
+    read = messages.withColumn("_json", F.try_parse_json("value"))
+    parsed = read.select(*messages.columns, F.inline(F.array(once))).withColumns(fields | extra)
     parsed = parsed.withColumn("event_ts", parse_datetime(F.col("datetime")))
     complete = reduce(and_, [F.col(f).isNotNull() for f in fields])
-    problem = F.when(F.col("_json").isNull(), "not_json").when(~complete, "bad_field")
+    problem = F.when(F.col("_broken"), "not_json").when(~complete, "bad_field")
     for condition, reason in problems:
         problem = problem.when(condition, reason)
     problem = problem.when(F.col("event_ts").isNull(), "bad_datetime")
-    return parsed.withColumn("problem", problem).drop("_json", "_body", "_types")
+    return parsed.withColumn("problem", problem).drop("_broken", "_body", "_types")
 
 
 def decode_sighting(messages: DataFrame) -> DataFrame:

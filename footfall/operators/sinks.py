@@ -20,19 +20,28 @@ from footfall.schemas import LOG_FLUSH_ROWS, hourly_wide, monthly
 from footfall.session import scratch_path
 
 
-def _partitioned(rows: DataFrame, by: list[str]):
-    """Even files per partition value: a big value is split, small ones share a task."""
-    return rows.hint("rebalance", *by).write.partitionBy(*by)
+def _writer(rows: DataFrame, by: list[str], small: bool):
+    """A partitioned writer that makes few files per partition value.
+
+    Facts are rebalanced: a value with many rows is split, values with few share a task. Counted
+    tables (``small``) have few rows per value but many values, so values are spread over tasks.
+    """
+    if small:
+        parts = rows.sparkSession.sparkContext.defaultParallelism
+        spread = rows.repartition(parts, *by)
+    else:
+        spread = rows.hint("rebalance", *by)
+    return spread.write.partitionBy(*by)
 
 
-def append_rows(rows: DataFrame, path: str, by: list[str]) -> None:
+def append_rows(rows: DataFrame, path: str, by: list[str], small: bool = False) -> None:
     """Add rows to a partitioned table."""
-    _partitioned(rows, by).mode("append").parquet(path)
+    _writer(rows, by, small).mode("append").parquet(path)
 
 
-def replace_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
+def replace_partitions(rows: DataFrame, path: str, by: list[str], small: bool = False) -> None:
     """Replace the partitions that occur in ``rows`` and no others."""
-    writer = _partitioned(rows, by).mode("overwrite")
+    writer = _writer(rows, by, small).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -67,14 +76,15 @@ def add_hourly(delta: DataFrame, path: str, keys: list[str]) -> None:
     delta = staged(delta, "delta")
     table = read_or_empty(delta.sparkSession, path, hourly_wide(keys))
     old = table.where(F.col("stat_date").isin(_values(delta, "stat_date")))
-    replace_partitions(staged(add_hours(old, delta, keys), "hourly"), path, ["stat_date"])
+    merged = staged(add_hours(old, delta, keys), "hourly")
+    replace_partitions(merged, path, ["stat_date"], small=True)
 
 
 def ensure_hourly(grid: DataFrame, path: str, keys: list[str], days: list[dt.date]) -> None:
     """Add zero rows for the grid keys a stored table lacks; running it again adds nothing."""
     table = read_or_empty(grid.sparkSession, path, hourly_wide(keys))
     missing = insert_missing(grid, table.where(F.col("stat_date").isin(days)), keys)
-    append_rows(staged(missing, "grid"), path, ["stat_date"])
+    append_rows(staged(missing, "grid"), path, ["stat_date"], small=True)
 
 
 def save_monthly(new: DataFrame, path: str, keys: list[str], mode: str = "merge") -> None:
@@ -85,9 +95,8 @@ def save_monthly(new: DataFrame, path: str, keys: list[str], mode: str = "merge"
     stored = read_or_empty(new.sparkSession, path, schema)
     old = stored.where(F.col("stat_month").isin(_values(dated, "stat_month"))).drop("stat_month")
     result = staged(upsert(old, new, keys, mode), "monthly")
-    replace_partitions(
-        result.withColumn("stat_month", month_start(F.col("stat_date"))), path, ["stat_month"]
-    )
+    result = result.withColumn("stat_month", month_start(F.col("stat_date")))
+    replace_partitions(result, path, ["stat_month"], small=True)
 
 
 def read_monthly(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ of all visits reaches the shuffle as one small row per task and hour.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.schemas import FLOW_KEY, HOUR_COLUMNS, HOURS, STATION_KEY
@@ -28,12 +28,20 @@ def flows_hourly(flows: DataFrame) -> DataFrame:
     return hourly_counts(flows, FLOW_KEY)
 
 
+def _spread_hours(rows: DataFrame, keys: list[str], value: Column) -> DataFrame:
+    """One row per key and date with 24 hour columns, 0 where nothing was counted.
+
+    The hours are named, so no job runs to find them. The counts per key, date and hour are
+    summed before the shuffle; only they are turned.
+    """
+    turned = rows.groupBy(*keys, "stat_date").pivot("hour", list(HOURS)).agg(value)
+    named = [F.coalesce(F.col(str(h)), F.lit(0)).alias(c) for h, c in zip(HOURS, HOUR_COLUMNS)]
+    return turned.select(*keys, "stat_date", *named)
+
+
 def pivot_hours(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Facts straight to one row per key and date with 24 hour columns: one shuffle."""
-    per_hour = [
-        F.count(F.when(F.col("hour") == h, 1)).alias(c) for h, c in zip(HOURS, HOUR_COLUMNS)
-    ]
-    return facts.groupBy(*keys, "stat_date").agg(*per_hour)
+    """Facts to the wide hourly form."""
+    return _spread_hours(facts, keys, F.count(F.lit(1)))
 
 
 def pivot_hours_station(visits: DataFrame) -> DataFrame:
@@ -48,11 +56,7 @@ def pivot_hours_flow(flows: DataFrame) -> DataFrame:
 
 def widen(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Long hourly counts to the wide form; several rows of one hour add up."""
-    per_hour = [
-        F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("count"))), F.lit(0)).alias(c)
-        for h, c in zip(HOURS, HOUR_COLUMNS)
-    ]
-    return counts.groupBy(*keys, "stat_date").agg(*per_hour)
+    return _spread_hours(counts, keys, F.sum("count"))
 
 
 def lengthen(wide: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,11 +71,16 @@ def lengthen(wide: DataFrame, keys: list[str]) -> DataFrame:
 def add_hours(table: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """Add new counts to a wide table; keys without a row get one.
 
-    A counter that is NULL in the table stays NULL, as adding to NULL does.
+    Both sides have one row per key and date. A counter that is NULL in the table stays NULL, as
+    adding to NULL does.
     """
-    old, new = table.withColumn("_old", F.lit(1)), delta.withColumn("_old", F.lit(None).cast("int"))
-    sums = []
-    for c in HOUR_COLUMNS:
-        lost = F.count(F.when(F.col("_old").isNotNull() & F.col(c).isNull(), 1)) > 0
-        sums.append(F.when(~lost, F.sum(c)).alias(c))
-    return old.unionByName(new).groupBy(*keys, "stat_date").agg(*sums)
+    on = [*keys, "stat_date"]
+    old = table.withColumn("stored", F.lit(True))
+    new = delta.select(*on, *[F.col(c).alias(f"new_{c}") for c in HOUR_COLUMNS])
+    sums = [
+        F.when(F.col("stored"), F.col(c) + F.coalesce(f"new_{c}", F.lit(0)))
+        .otherwise(F.col(f"new_{c}"))
+        .alias(c)
+        for c in HOUR_COLUMNS
+    ]
+    return old.join(new, on, "full_outer").select(*on, *sums)

@@ -40,13 +40,14 @@ def _gap(minutes: int) -> Column:
 
 
 def _prior_rows(prior_state: DataFrame) -> DataFrame:
-    """Stored device state as the sighting that was last counted; it has no seq."""
+    """Stored device state as the sighting that was last counted; it is not live."""
     return prior_state.select(
         F.lit(None).cast("long").alias("seq"),
         "station_id",
         "dev_id",
         F.col("last_datetime").alias("event_ts"),
         F.col("start_date").alias("event_date"),
+        F.lit(False).alias("live"),
     )
 
 
@@ -55,26 +56,7 @@ def _moved() -> Column:
     return before.isNull() | (before != F.col("station_id"))
 
 
-def _mark_runs(sightings: DataFrame) -> DataFrame:
-    """Add the station and time before, whether the row starts a run, and the run's start.
-
-    Rows without seq are stored state and sort before all sightings of their device-day.
-    """
-    order = Window.partitionBy(*DEVICE_DAY).orderBy(
-        F.col("seq").isNotNull(), "event_ts", "seq"
-    )
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        sightings.withColumn("prev_station_id", F.lag("station_id").over(order))
-        .withColumn("prev_ts", F.lag("event_ts").over(order))
-        .withColumn("moved", _moved())
-        .withColumn(
-            "run_ts", F.last(F.when(F.col("moved"), F.col("event_ts")), True).over(so_far)
-        )
-    )
-
-
-def _past_gap(minutes: int = GAP_MINUTES) -> Column:
+def _past_gap(minutes: int) -> Column:
     """Later than the run's start by strictly more than the gap."""
     return F.col("event_ts") > F.col("run_ts") + _gap(minutes)
 
@@ -89,11 +71,27 @@ def _counted(candidates: Column, run_ts: Column, minutes: int) -> Column:
         )
         return F.when(row["event_ts"] > state["last"] + _gap(minutes), taken).otherwise(state)
 
-    none_yet = F.filter(candidates, lambda _: F.lit(False))
+    none_yet = F.array().cast("array<struct<event_ts:timestamp_ntz,seq:bigint>>")
     start = F.struct(run_ts.alias("last"), none_yet.alias("hits"))
     return F.aggregate(candidates, start, step, lambda state: state["hits"])
 
 
+def _revisits(candidates: DataFrame, minutes: int) -> DataFrame:
+    """Counted candidates, as start rows whose station before is the same station.
+
+    A run is known by its device-day and start time: of several runs that start in one second
+    only the last goes on. Grouping extends the device-day key, so nothing is shuffled again.
+    """
+    runs = candidates.groupBy(*DEVICE_DAY, "run_ts").agg(
+        F.sort_array(F.collect_list(F.struct("event_ts", "seq"))).alias("later"),
+        F.max("station_id").alias("station_id"),
+    )
+    hits = F.inline(_counted(F.col("later"), F.col("run_ts"), minutes))
+    station = F.col("station_id")
+    found = runs.select(*DEVICE_DAY, station, station.alias("prev_station_id"), hits)
+    return found.select(*DEVICE_DAY, *_START)
+
+
 def _facts(rows: DataFrame) -> DataFrame:
     kind = (
         F.when(F.col("prev_station_id").isNull(), "first")
@@ -112,37 +110,33 @@ def _facts(rows: DataFrame) -> DataFrame:
     )
 
 
-def _revisit_rows(minutes: int) -> Column:
-    """Counted candidates as start rows; in a run the station before is the same station."""
-    hits = _counted(F.sort_array("later"), F.col("run_ts"), minutes)
-    return F.transform(
-        hits,
-        lambda hit: F.struct(
-            hit["event_ts"].alias("event_ts"),
-            hit["seq"].alias("seq"),
-            F.col("run_station").alias("station_id"),
-            F.col("run_station").alias("prev_station_id"),
-        ),
-    )
-
-
 def _single_task_visits(rows: DataFrame, minutes: int) -> DataFrame:
-    """Device-days of ordinary size: one shuffle, one sort, one pass."""
-    marked = _mark_runs(rows)
-    # At one second a run needs only its first sighting: the rest cannot pass the gap.
-    candidate = ~F.col("moved") & _past_gap(minutes) & (F.col("prev_ts") != F.col("event_ts"))
-    start = F.col("moved") & F.col("seq").isNotNull()
-    runs = (
-        marked.where(start | candidate)
-        .groupBy(*DEVICE_DAY, "run_ts")
-        .agg(
-            F.collect_list(F.when(start, F.struct(*_START))).alias("starts"),
-            F.collect_list(F.when(candidate, F.struct("event_ts", "seq"))).alias("later"),
-            F.max(F.when(candidate, F.col("station_id"))).alias("run_station"),
+    """Device-days of ordinary size: one shuffle by device-day, one sort order for all windows.
+
+    Run starts leave the window as they are; only revisit candidates are gathered per run. Both
+    branches read the same shuffled rows.
+    """
+    live = "live" in rows.columns
+    order = Window.partitionBy(*DEVICE_DAY).orderBy(*["live"][:live], "event_ts", "seq")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = (
+        rows.withColumns(
+            {
+                "prev_station_id": F.lag("station_id").over(order),
+                "prev_ts": F.lag("event_ts").over(order),
+            }
         )
+        .withColumn("moved", _moved())
+        .withColumn("start_ts", F.when(F.col("moved"), F.col("event_ts")))
+        .withColumn("run_ts", F.last("start_ts", ignorenulls=True).over(so_far))
+    )
+    starts = marked.where(F.col("moved") & F.col("live") if live else F.col("moved"))
+    # At one second a run needs only its first sighting: the rest cannot pass the gap.
+    candidates = marked.where(
+        ~F.col("moved") & _past_gap(minutes) & (F.col("prev_ts") != F.col("event_ts"))
     )
-    counted = F.concat("starts", _revisit_rows(minutes))
-    return _facts(runs.select(*DEVICE_DAY, F.inline(counted)))
+    starts = starts.select(*DEVICE_DAY, *_START)
+    return _facts(starts.unionByName(_revisits(candidates, minutes)))
 
 
 def _hot_starts(rows: DataFrame, prior: DataFrame | None, block: int) -> tuple:
@@ -185,20 +179,22 @@ def _hot_starts(rows: DataFrame, prior: DataFrame | None, block: int) -> tuple:
         )
         .select(*second, "head.*", "tail", "mixed")
     )
+    seconds = seconds.withColumn("live", F.lit(True))
     if prior is not None:
-        stored = prior.withColumns({"tail": F.col("station_id"), "mixed": F.lit(False)})
-        seconds = seconds.unionByName(stored)
-    in_day = Window.partitionBy(*DEVICE_DAY).orderBy(F.col("seq").isNotNull(), "event_ts")
+        seconds = seconds.unionByName(
+            prior.withColumns({"tail": F.col("station_id"), "mixed": F.lit(False)})
+        )
+    in_day = Window.partitionBy(*DEVICE_DAY).orderBy("live", "event_ts")
     earlier = in_day.rowsBetween(Window.unboundedPreceding, -1)
     by_second = (
         seconds.withColumn("prev_station_id", F.lag("tail").over(in_day))
         .withColumn("moved", _moved())
         .withColumn(
-            "run_ts",
-            F.last(F.when(F.col("moved") | F.col("mixed"), F.col("event_ts")), True).over(earlier),
+            "start_ts", F.when(F.col("moved") | F.col("mixed"), F.col("event_ts"))
         )
+        .withColumn("run_ts", F.last("start_ts", ignorenulls=True).over(earlier))
     )
-    firsts = by_second.where(F.col("moved") & F.col("seq").isNotNull())
+    firsts = by_second.where(F.col("moved") & F.col("live"))
     columns = [*DEVICE_DAY, *_START]
     starts = reduce(
         DataFrame.unionByName, [part.select(*columns) for part in (inner, between, firsts)]
@@ -211,16 +207,12 @@ def _split_task_visits(
 ) -> DataFrame:
     """Hot device-days: exact counting without ever sorting one of them in one task."""
     starts, others = _hot_starts(rows, prior, block)
-    runs = (
-        others.where(_past_gap(minutes))
-        .groupBy(*DEVICE_DAY, "run_ts")
-        .agg(
-            F.collect_list(F.struct("event_ts", "seq")).alias("later"),
-            F.max("station_id").alias("run_station"),
-        )
-    )
-    revisits = runs.select(*DEVICE_DAY, F.inline(_revisit_rows(minutes)))
-    return _facts(starts.unionByName(revisits.select(*starts.columns)))
+    revisits = _revisits(others.where(_past_gap(minutes)), minutes)
+    return _facts(starts.unionByName(revisits))
+
+
+def _with_prior(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
+    return rows if prior is None else rows.withColumn("live", F.lit(True)).unionByName(prior)
 
 
 def count_visits(
@@ -242,16 +234,13 @@ def count_visits(
     if hot is None:
         hot = find_hot_device_days(rows, hot_rows)
     if not hot:
-        everything = rows if prior is None else rows.unionByName(prior)
-        return _single_task_visits(everything, gap_minutes)
+        return _single_task_visits(_with_prior(rows, prior), gap_minutes)
 
     is_hot = device_day_hash().isin(hot)
-    ordinary = rows.where(~is_hot)
-    if prior is not None:
-        ordinary = ordinary.unionByName(prior.where(~is_hot))
-        prior = prior.where(is_hot)
+    ordinary = _with_prior(rows, prior).where(~is_hot)
+    hot_prior = None if prior is None else prior.where(is_hot)
     return _single_task_visits(ordinary, gap_minutes).unionByName(
-        _split_task_visits(rows.where(is_hot), prior, gap_minutes, seq_block)
+        _split_task_visits(rows.where(is_hot), hot_prior, gap_minutes, seq_block)
     )
 
 

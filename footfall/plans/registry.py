@@ -110,7 +110,7 @@ def flow_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(rows: DataFrame, label: str, by: str) -> str:
     """Write a partitioned table below the shared folder and return its path."""
     path = scratch_path(rows.sparkSession, label)
-    sinks.append_rows(rows, path, [by])
+    sinks.append_rows(rows, path, [by], small=True)
     return path
 
 
