@@ -33,6 +33,9 @@ from footfall.schemas import DEVICE_DAY, GAP_MINUTES
 SEQ_BLOCK = 1_000_000
 
 _START = ["event_ts", "seq", "station_id", "prev_station_id"]
+# Key of a device-day. The hash comes first: sorting compares 8-byte numbers before anything
+# else, while device ids such as MAC addresses mostly share their first characters.
+_DAY = ["day_key", *DEVICE_DAY]
 
 
 def _gap(minutes: int) -> Column:
@@ -48,7 +51,7 @@ def _prior_rows(prior_state: DataFrame) -> DataFrame:
         F.col("last_datetime").alias("event_ts"),
         F.col("start_date").alias("event_date"),
         F.lit(False).alias("live"),
-    )
+    ).withColumn("day_key", device_day_hash())
 
 
 def _moved() -> Column:
@@ -76,20 +79,18 @@ def _counted(candidates: Column, run_ts: Column, minutes: int) -> Column:
     return F.aggregate(candidates, start, step, lambda state: state["hits"])
 
 
-def _revisits(candidates: DataFrame, minutes: int) -> DataFrame:
-    """Counted candidates, as start rows whose station before is the same station.
-
-    A run is known by its device-day and start time: of several runs that start in one second
-    only the last goes on. Grouping extends the device-day key, so nothing is shuffled again.
-    """
-    runs = candidates.groupBy(*DEVICE_DAY, "run_ts").agg(
-        F.sort_array(F.collect_list(F.struct("event_ts", "seq"))).alias("later"),
-        F.max("station_id").alias("station_id"),
+def _revisit_rows(minutes: int) -> Column:
+    """Counted candidates of a run as start rows; the station before is the same station."""
+    hits = _counted(F.col("later"), F.col("run_ts"), minutes)
+    return F.transform(
+        hits,
+        lambda hit: F.struct(
+            hit["event_ts"].alias("event_ts"),
+            hit["seq"].alias("seq"),
+            F.col("run_station").alias("station_id"),
+            F.col("run_station").alias("prev_station_id"),
+        ),
     )
-    hits = F.inline(_counted(F.col("later"), F.col("run_ts"), minutes))
-    station = F.col("station_id")
-    found = runs.select(*DEVICE_DAY, station, station.alias("prev_station_id"), hits)
-    return found.select(*DEVICE_DAY, *_START)
 
 
 def _facts(rows: DataFrame) -> DataFrame:
@@ -111,13 +112,14 @@ def _facts(rows: DataFrame) -> DataFrame:
 
 
 def _single_task_visits(rows: DataFrame, minutes: int) -> DataFrame:
-    """Device-days of ordinary size: one shuffle by device-day, one sort order for all windows.
+    """Device-days of ordinary size: one shuffle and one sort.
 
-    Run starts leave the window as they are; only revisit candidates are gathered per run. Both
-    branches read the same shuffled rows.
+    The windows share one order. Grouping by run extends the device-day key, so it needs no
+    shuffle, and finds its rows already in order. A run is known by its device-day and start time:
+    of several runs that start in one second only the last goes on and has candidates.
     """
     live = "live" in rows.columns
-    order = Window.partitionBy(*DEVICE_DAY).orderBy(*["live"][:live], "event_ts", "seq")
+    order = Window.partitionBy(*_DAY).orderBy(*["live"][:live], "event_ts", "seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = (
         rows.withColumns(
@@ -130,13 +132,26 @@ def _single_task_visits(rows: DataFrame, minutes: int) -> DataFrame:
         .withColumn("start_ts", F.when(F.col("moved"), F.col("event_ts")))
         .withColumn("run_ts", F.last("start_ts", ignorenulls=True).over(so_far))
     )
-    starts = marked.where(F.col("moved") & F.col("live") if live else F.col("moved"))
+    start = F.col("moved") & F.col("live") if live else F.col("moved")
     # At one second a run needs only its first sighting: the rest cannot pass the gap.
-    candidates = marked.where(
-        ~F.col("moved") & _past_gap(minutes) & (F.col("prev_ts") != F.col("event_ts"))
+    candidate = ~F.col("moved") & _past_gap(minutes) & (F.col("prev_ts") != F.col("event_ts"))
+    runs = (
+        marked.where(start | candidate)
+        .groupBy(*_DAY, "run_ts")
+        .agg(
+            F.collect_list(F.when(F.col("moved"), F.struct(*_START))).alias("starts"),
+            F.sort_array(
+                F.collect_list(F.when(~F.col("moved"), F.struct("event_ts", "seq")))
+            ).alias("later"),
+            F.max(F.when(~F.col("moved"), F.col("station_id"))).alias("run_station"),
+        )
     )
-    starts = starts.select(*DEVICE_DAY, *_START)
-    return _facts(starts.unionByName(_revisits(candidates, minutes)))
+    counted = F.concat("starts", _revisit_rows(minutes))
+    return _facts(runs.select(*DEVICE_DAY, F.inline(counted)))
+
+
+def _whole(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _hot_starts(rows: DataFrame, prior: DataFrame | None, block: int) -> tuple:
@@ -144,58 +159,53 @@ def _hot_starts(rows: DataFrame, prior: DataFrame | None, block: int) -> tuple:
 
     Level 1 works inside a piece (device-day, second, block of seq), level 2 links the pieces of
     a second, level 3 links the at most 86,400 seconds of a day. Only level 1 sees single
-    sightings; the others see one row per piece and one per second.
+    sightings; level 2 sees the first of each piece and level 3 the first of each second, with
+    the last station of theirs (``tail``) and whether stations changed in between (``mixed``).
     """
-    second = [*DEVICE_DAY, "event_ts"]
-    pieces = rows.withColumn("block", F.floor(F.col("seq") / F.lit(block)))
+    columns = [*DEVICE_DAY, *_START]
+    second = [*_DAY, "event_ts"]
+    before = F.col("prev_station_id")
 
     in_piece = Window.partitionBy(*second, "block").orderBy("seq")
-    before = F.lag("station_id").over(in_piece)
-    inner = pieces.withColumn("prev_station_id", before).where(
-        F.col("prev_station_id").isNotNull() & _moved()
+    pieces = rows.withColumn("block", F.floor(F.col("seq") / F.lit(block))).withColumns(
+        {
+            "prev_station_id": F.lag("station_id").over(in_piece),
+            "tail": F.last("station_id").over(_whole(in_piece)),
+            "mixed": F.min("station_id").over(_whole(in_piece))
+            != F.max("station_id").over(_whole(in_piece)),
+        }
     )
+    inner = pieces.where(before.isNotNull() & _moved())
 
-    head = F.struct("seq", "station_id")
-    ends = pieces.groupBy(*second, "block").agg(
-        F.min_by(head, "seq").alias("head"),
-        F.max_by("station_id", "seq").alias("tail"),
-        (F.min("station_id") != F.max("station_id")).alias("mixed"),
-    )
     in_second = Window.partitionBy(*second).orderBy("block")
-    linked = ends.select("*", F.lag("tail").over(in_second).alias("prev_station_id"))
-    between = linked.select(*second, "head.*", "prev_station_id").where(
-        F.col("prev_station_id").isNotNull() & _moved()
-    )
-
-    seconds = (
-        linked.groupBy(*second)
-        .agg(
-            F.min_by("head", "block").alias("head"),
-            F.max_by("tail", "block").alias("tail"),
-            F.max(
-                F.col("mixed") | F.coalesce(F.col("prev_station_id") != F.col("head.station_id"),
-                                            F.lit(False))
-            ).alias("mixed"),
+    heads = (
+        pieces.where(before.isNull())
+        .withColumn("prev_station_id", F.lag("tail").over(in_second))
+        .withColumn("change", F.col("mixed") | F.coalesce(before != F.col("station_id"), F.lit(False)))
+        .withColumns(
+            {
+                "tail": F.last("tail").over(_whole(in_second)),
+                "mixed": F.max("change").over(_whole(in_second)),
+            }
         )
-        .select(*second, "head.*", "tail", "mixed")
     )
+    between = heads.where(before.isNotNull() & _moved())
+
+    seconds = heads.where(before.isNull()).select(*second, "seq", "station_id", "tail", "mixed")
     seconds = seconds.withColumn("live", F.lit(True))
     if prior is not None:
         seconds = seconds.unionByName(
             prior.withColumns({"tail": F.col("station_id"), "mixed": F.lit(False)})
         )
-    in_day = Window.partitionBy(*DEVICE_DAY).orderBy("live", "event_ts")
+    in_day = Window.partitionBy(*_DAY).orderBy("live", "event_ts")
     earlier = in_day.rowsBetween(Window.unboundedPreceding, -1)
     by_second = (
         seconds.withColumn("prev_station_id", F.lag("tail").over(in_day))
         .withColumn("moved", _moved())
-        .withColumn(
-            "start_ts", F.when(F.col("moved") | F.col("mixed"), F.col("event_ts"))
-        )
+        .withColumn("start_ts", F.when(F.col("moved") | F.col("mixed"), F.col("event_ts")))
         .withColumn("run_ts", F.last("start_ts", ignorenulls=True).over(earlier))
     )
     firsts = by_second.where(F.col("moved") & F.col("live"))
-    columns = [*DEVICE_DAY, *_START]
     starts = reduce(
         DataFrame.unionByName, [part.select(*columns) for part in (inner, between, firsts)]
     )
@@ -207,8 +217,16 @@ def _split_task_visits(
 ) -> DataFrame:
     """Hot device-days: exact counting without ever sorting one of them in one task."""
     starts, others = _hot_starts(rows, prior, block)
-    revisits = _revisits(others.where(_past_gap(minutes)), minutes)
-    return _facts(starts.unionByName(revisits))
+    runs = (
+        others.where(_past_gap(minutes))
+        .groupBy(*_DAY, "run_ts")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("event_ts", "seq"))).alias("later"),
+            F.max("station_id").alias("run_station"),
+        )
+    )
+    revisits = runs.select(*DEVICE_DAY, F.inline(_revisit_rows(minutes)))
+    return _facts(starts.unionByName(revisits.select(*starts.columns)))
 
 
 def _with_prior(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
@@ -233,10 +251,11 @@ def count_visits(
     prior = None if prior_state is None else _prior_rows(prior_state)
     if hot is None:
         hot = find_hot_device_days(rows, hot_rows)
+    rows = rows.withColumn("day_key", device_day_hash())
     if not hot:
         return _single_task_visits(_with_prior(rows, prior), gap_minutes)
 
-    is_hot = device_day_hash().isin(hot)
+    is_hot = F.col("day_key").isin(hot)
     ordinary = _with_prior(rows, prior).where(~is_hot)
     hot_prior = None if prior is None else prior.where(is_hot)
     return _single_task_visits(ordinary, gap_minutes).unionByName(

@@ -33,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     setting is an error, because a machine-local folder would be lost with its machine.
     """
     conf = spark.sparkContext.getConf()
-    named = conf.get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not conf.get("spark.master", "").startswith("local"):
