@@ -1,25 +1,26 @@
 """Counting visits in a stream, with keyed state per device and event date.
 
 State is one small row, (last counted second, station). The state store keeps it between
-micro-batches, and event-time timeouts clear it once its day can no longer be accepted. Inside a
+micro-batches, and an event-time timer clears it once its day can no longer be accepted. Inside a
 micro-batch the order is (event_ts, seq); between micro-batches it is the order of arrival, so a
 late sighting at another station counts and moves the last counted time back.
 
-One device-day's share of one micro-batch is handled by one task, as keyed state demands. Its
-size is bounded by the admission limit of the source (``maxOffsetsPerTrigger`` or
-``maxFilesPerTrigger``), never by the length of the stream. Catching up on a long backlog is a
-batch job: ``streaming.ingest`` counts each micro-batch with the batch operator.
+A device-day has few sightings in a micro-batch, so rows are handed to Python as they are: a
+pandas frame per device-day costs several times more than the counting. One device-day's share
+of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
+admission limit of the source (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``), never by the
+length of the stream. Catching up on a long backlog is a batch job: ``streaming.ingest`` counts
+each micro-batch with the batch operator, which splits hot device-days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from footfall.functions.times import hour_of
 from footfall.schemas import DEVICE_DAY, GAP_MINUTES, KEEP_DAYS_AHEAD, KEEP_DAYS_BACK
@@ -27,63 +28,69 @@ from footfall.schemas import DEVICE_DAY, GAP_MINUTES, KEEP_DAYS_AHEAD, KEEP_DAYS
 # An accepted sighting is never older than this below the newest accepted one.
 WATERMARK = f"{KEEP_DAYS_BACK + KEEP_DAYS_AHEAD + 1} days"
 
-_OUTPUT = (
-    "dev_id string, station_id string, prev_station_id string, event_s bigint, seq bigint, "
-    "kind string"
+_OUTPUT = T.StructType(
+    [
+        T.StructField("dev_id", T.StringType()),
+        T.StructField("station_id", T.StringType()),
+        T.StructField("prev_station_id", T.StringType()),
+        T.StructField("event_s", T.LongType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("kind", T.StringType()),
+    ]
+)
+_STATE = T.StructType(
+    [T.StructField("last_s", T.LongType()), T.StructField("station_id", T.StringType())]
 )
-_STATE = "last_s bigint, station_id string"
 _DAY_SECONDS = 86_400
-
-
-def _counter(gap_minutes: int):
-    gap = gap_minutes * 60
-
-    def count(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames), ignore_index=True)
-        rows = rows.sort_values(["event_s", "seq"], ignore_index=True)
-        last, before = state.get if state.exists else (None, None)
-
-        station = rows["station_id"].to_numpy(object)
-        seconds = rows["event_s"].to_numpy("int64")
-        prev = np.concatenate(([before], station[:-1]))
-        moved = station != prev
-        kind = np.where(moved, "move", "").astype(object)
-        if before is None:
-            kind[0] = "first"
-
-        # Start of the run each row belongs to; rows before the first move continue the state.
-        run = np.maximum.accumulate(np.where(moved, np.arange(len(rows)), -1))
-        run_start = np.where(run >= 0, seconds[run], last if last is not None else 0)
-        anchor, anchor_run = last, -1
-        for i in np.flatnonzero(~moved & (seconds > run_start + gap)):
-            if run[i] != anchor_run:
-                anchor, anchor_run = run_start[i], run[i]
-            if seconds[i] > anchor + gap:
-                kind[i], anchor = "revisit", seconds[i]
-
-        counted = np.flatnonzero(kind != "")
-        if len(counted):
-            last = int(seconds[counted[-1]])
-        state.update((last, station[-1]))
-        day_end = (int(seconds[0]) // _DAY_SECONDS + 1) * _DAY_SECONDS
-        state.setTimeoutTimestamp(day_end * 1000)
-        yield pd.DataFrame(
-            {
-                "dev_id": key[0],
-                "station_id": station[counted],
-                "prev_station_id": prev[counted],
-                "event_s": seconds[counted],
-                "seq": rows["seq"].to_numpy("int64")[counted],
-                "kind": kind[counted],
-            }
-        )
-
-    return count
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class VisitCounter(StatefulProcessor):
+    """The counting rules over one device-day."""
+
+    def __init__(self, gap_minutes: int):
+        self.gap = gap_minutes * 60
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("last_counted", _STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        stored = self.state.get()
+        last, station = stored if stored is not None else (None, None)
+        arrived = sorted((row.event_s, row.seq, row.station_id) for row in rows)
+        if stored is None:
+            day_end = (arrived[0][0] // _DAY_SECONDS + 1) * _DAY_SECONDS
+            self.handle.registerTimer(day_end * 1000)
+        changed = False
+        for second, seq, here in arrived:
+            if station is None:
+                kind = "first"
+            elif here != station:
+                kind = "move"
+            elif second > last + self.gap:
+                kind = "revisit"
+            else:
+                continue
+            yield Row(
+                dev_id=key[0],
+                station_id=here,
+                prev_station_id=station,
+                event_s=second,
+                seq=seq,
+                kind=kind,
+            )
+            last, station, changed = second, here, True
+        if changed:
+            self.state.update((last, station))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.state.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
 
 
 def _epoch_seconds():
@@ -93,15 +100,23 @@ def _epoch_seconds():
 
 
 def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Visit facts of a stream of accepted sightings, in append mode."""
+    """Visit facts of a stream of accepted sightings, in append mode.
+
+    The state store must be RocksDB; a session that names another one gets it set here.
+    """
+    sightings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
     keyed = (
         sightings.select(*DEVICE_DAY, "station_id", "event_ts", "seq")
         .withColumn("event_s", _epoch_seconds())
         .withColumn("event_time", F.timestamp_seconds("event_s"))
+        .drop("event_ts")
         .withWatermark("event_time", WATERMARK)
     )
-    facts = keyed.groupBy(*DEVICE_DAY).applyInPandasWithState(
-        _counter(gap_minutes), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    facts = keyed.groupBy(*DEVICE_DAY).transformWithState(
+        VisitCounter(gap_minutes),
+        outputStructType=_OUTPUT,
+        outputMode="Append",
+        timeMode="EventTime",
     )
     event_ts = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
         secs=F.col("event_s")
