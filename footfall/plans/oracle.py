@@ -272,6 +272,15 @@ def _rules() -> dict[str, str]:
         )
         return with_visits(DENSE, shown(body, "start_date", "last_datetime"))
 
+    found = (
+        "SELECT a.*, st.last_datetime AS stored_ts, st.station_id AS stored_station_id "
+        f"FROM (SELECT {SIGHTING_COLUMNS} FROM ({EVENTS}) WHERE hour(event_ts) >= 12) a "
+        f"LEFT JOIN ({STATE}) st ON st.dev_id = a.dev_id AND st.start_date = a.event_date"
+    )
+    lookup = with_visits(
+        f"SELECT * FROM ({EVENTS}) WHERE hour(event_ts) < 12",
+        shown(found, "event_date", "event_ts stored_ts"),
+    )
     flows = with_visits(EVENTS, shown(f"SELECT {FLOW_COLUMNS} FROM flows", "stat_date", "event_ts"))
     horizon = "DATE '2024-01-18' AND DATE '2024-01-21'"
 
@@ -290,6 +299,7 @@ def _rules() -> dict[str, str]:
         "st_visits": visits(EVENTS),
         "st_microbatch": visits(DENSE),
         "join_prev_state": visits(EVENTS, "hour >= 12"),
+        "lookup_state": lookup,
         "filter_same_station": sightings(DENSE, "lagged WHERE prev_station_id = station_id"),
         "filter_gap30": visits(DENSE, "kind = 'revisit'"),
         "flow_move": flows,

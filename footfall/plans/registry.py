@@ -385,6 +385,14 @@ def join_prev_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.count_visits(afternoon, _morning_state(spark, sf_dir))
 
 
+@query
+def lookup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Afternoon sightings with the state their morning left, or none."""
+    sightings = samples.event_sightings(spark, sf_dir).select(*SIGHTING_COLUMNS)
+    afternoon = sightings.where(F.hour("event_ts") >= 12)
+    return state.lookup_state(afternoon, _morning_state(spark, sf_dir))
+
+
 @query
 def device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mornings first, then afternoons on top of the morning state."""

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -93,10 +93,18 @@ class VisitCounter(StatefulProcessor):
         pass
 
 
-def _epoch_seconds():
-    """Wall-clock seconds of a zone-less timestamp, as if it were UTC."""
-    since = F.col("event_ts") - F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return (F.unix_micros(F.timestamp_seconds(F.lit(0)) + since) / 1_000_000).cast("long")
+def epoch_seconds(ts: Column) -> Column:
+    """Wall-clock seconds of a zone-less timestamp since 1970, as if it were UTC.
+
+    Taken from its parts, because any way through ``timestamp`` asks for the session zone.
+    """
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * _DAY_SECONDS + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def from_epoch_seconds(seconds: Column) -> Column:
+    """The zone-less timestamp again."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
@@ -107,7 +115,7 @@ def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) ->
     sightings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
     keyed = (
         sightings.select(*DEVICE_DAY, "station_id", "event_ts", "seq")
-        .withColumn("event_s", _epoch_seconds())
+        .withColumn("event_s", epoch_seconds(F.col("event_ts")))
         .withColumn("event_time", F.timestamp_seconds("event_s"))
         .drop("event_ts")
         .withWatermark("event_time", WATERMARK)
@@ -118,10 +126,7 @@ def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) ->
         outputMode="Append",
         timeMode="EventTime",
     )
-    event_ts = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
-        secs=F.col("event_s")
-    )
-    timed = facts.withColumn("event_ts", event_ts)
+    timed = facts.withColumn("event_ts", from_epoch_seconds(F.col("event_s")))
     return timed.select(
         "dev_id",
         "station_id",

@@ -110,3 +110,29 @@ def test_state_after_batch(spark):
     got = {(r.dev_id, r.start_date): (r.last_datetime, r.station_id)
            for r in device_state(visits, prior).collect()}
     assert got == want
+
+
+def test_state_is_cleared_once_its_day_is_over(spark, tmp_path):
+    """Ten days later the first day's state is gone; its sightings are no longer accepted."""
+    later = dt.timedelta(days=10)
+    parts = [
+        [(1, "A", "x", at("10:00")), (2, "A", "y", at("11:00"))],
+        [(3, "A", "x", at("10:00") + later)],
+        [(4, "B", "x", at("10:05") + later)],
+        [(5, "B", "x", at("12:00")), (6, "A", "x", at("10:10") + later)],
+    ]
+    source, progress = f"{tmp_path}/in", []
+    for part, rows in enumerate(parts):
+        land(spark, rows, source, part, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true")
+        query = write_facts(
+            count_visits_stream(stream.parquet(source)),
+            f"{tmp_path}/facts", f"{tmp_path}/ckpt", availableNow=True,
+        )
+        query.awaitTermination()
+        progress.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    facts = spark.read.schema(VISIT_FACT).parquet(f"{tmp_path}/facts").collect()
+    assert {(r.seq, r.kind) for r in facts} == {
+        (1, "first"), (2, "first"), (3, "first"), (4, "move"), (6, "move"),
+    }
+    assert progress[-1] < max(progress)
