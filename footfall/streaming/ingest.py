@@ -70,8 +70,8 @@ class Ingest:
             sightings = filter_horizon(sightings, today)
 
         prior = self.prior_state(spark, batch_id)
-        visits = staged(count_visits(sightings, prior), "visits")
-        self._save(visits, "visits", batch_id, "stat_date")
+        self._save(count_visits(sightings, prior), "visits", batch_id, "stat_date")
+        visits = self.visits(spark, batch_id)
         stations = widen(station_hourly(visits), STATION_KEY)
         flows = widen(flows_hourly(flows_from_visits(visits)), FLOW_KEY)
         self._save(stations, "station_hourly", batch_id, "stat_date")
@@ -82,7 +82,7 @@ class Ingest:
             state = state if today is None else expire_state(state, today)
         else:
             state = device_state(visits)
-        self._save(staged(state, "state"), "device_state", batch_id)
+        self._save(state, "device_state", batch_id)
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger):
         """Run on a message stream; the trigger defaults to every three seconds."""
@@ -93,10 +93,13 @@ class Ingest:
             .start()
         )
 
-    def visits(self, spark: SparkSession) -> DataFrame:
-        """All visit facts written so far."""
+    def visits(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
+        """Visit facts written so far, or those of one micro-batch."""
         schema = T.StructType([*VISIT_FACT.fields, _BATCH])
-        return read_or_empty(spark, self.table("visits"), schema).drop("batch_id")
+        facts = read_or_empty(spark, self.table("visits"), schema)
+        if batch_id is not None:
+            facts = facts.where(F.col("batch_id") == batch_id)
+        return facts.drop("batch_id")
 
     def hourly(self, spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
         """Hourly counts: the per-batch rows, a few per key and day, added up."""
