@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
 from footfall.llm.shared import table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_neardup": op9_neardup}
+    return {"op2_decontaminate": op2_decontaminate, "op9_neardup": op9_neardup}
