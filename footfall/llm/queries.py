@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
+from footfall.llm import secretscan
 from footfall.llm.shared import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(secretscan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -20,4 +25,4 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_decontaminate": op2_decontaminate, "op9_neardup": op9_neardup}
+    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op9_neardup": op9_neardup}
