@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
 from footfall.llm import secretscan
 from footfall.llm.shared import table
 
+#: The vocabulary file of the operators on token ids.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(secretscan.find_secrets(table(spark, sf_dir, "documents")))
@@ -20,9 +25,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"], digest=True)
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op9_neardup": op9_neardup}
+    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_bpe": op3_bpe, "op9_neardup": op9_neardup}
