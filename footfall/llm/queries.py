@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
-from footfall.llm import secretscan
+from footfall.llm import language, secretscan
 from footfall.llm.shared import table
 
 #: The vocabulary file of the operators on token ids.
@@ -29,9 +29,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"], digest=True)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_bpe": op3_bpe, "op9_neardup": op9_neardup}
+    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_bpe": op3_bpe, "op8_language": op8_language, "op9_neardup": op9_neardup}
