@@ -16,7 +16,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words whose ids a worker keeps in each of two generations; a full one becomes the older.
 KEPT_WORDS = 250_000
@@ -186,5 +186,5 @@ def encode_and_decode(docs: DataFrame, vocabulary_file: str, keep: list[str], di
 
     rows = docs.select(*keep, "text")
     schema = rows.select(*keep).schema.add("n_tokens", "long")
-    schema = schema.add(names[0], "string" if digest else "array<int>").add(names[1], "string")
+    schema = schema.add(names[0], T.StringType() if digest else T.ArrayType(T.IntegerType())).add(names[1], "string")
     return rows.mapInArrow(run, schema)
