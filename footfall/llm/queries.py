@@ -11,6 +11,7 @@ from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
 from footfall.llm import language, secretscan
+from footfall.llm.neighbours import nearest
 from footfall.llm.shared import table
 from footfall.llm.tokenfile import read_token_file, write_token_file
 from footfall.session import scratch_path
@@ -31,6 +32,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"], digest=True)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_token_file(table(spark, sf_dir, "documents"), VOCABULARY, path, end_id=1)
@@ -46,4 +51,4 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_bpe": op3_bpe, "op7_tokenfile": op7_tokenfile, "op8_language": op8_language, "op9_neardup": op9_neardup}
+    return {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_bpe": op3_bpe, "op6_neighbours": op6_neighbours, "op7_tokenfile": op7_tokenfile, "op8_language": op8_language, "op9_neardup": op9_neardup}
