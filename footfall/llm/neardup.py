@@ -2,9 +2,10 @@
 
 Texts with equal sets form a class at once; only one document of a class is compared. A class's
 signature is cut into bands, and classes that share a band meet in its bucket. A bucket is never
-expanded into pairs: each round compares its members with one centre, links are confirmed, and
-members that are already connected need no comparison any more. What is left after some rounds
-is compared across components only.
+expanded into pairs: first its members are compared with one centre, links are confirmed, and
+members that are already connected need no comparison any more. Buckets that still hold several
+components are then looked at in blocks of bounded size, pair of blocks by pair of blocks: a task
+compares members of different components and returns only the links that join two of them.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ PERCENT = 75
 #: A pair of similarity 0.75 shares no band with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
 BANDS, BAND_ROWS = 32, 4
 MINIMA = BANDS * BAND_ROWS
-#: Pairs with fewer equal minima are not confirmed: 6.5 standard deviations below 0.75.
-LEAST_EQUAL = MINIMA // 2
-#: Rounds of comparing with centres before the rest is compared across components.
-CENTRE_ROUNDS = 4
+#: Pairs with fewer equal minima are not confirmed; a pair of similarity 0.75 has fewer with
+#: probability 4e-6 (4.5 standard deviations).
+LEAST_EQUAL = 74
+#: Rounds of comparing with centres before the rest is compared in blocks.
+CENTRE_ROUNDS = 2
+#: Members and shingles of a block, about.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 21
 
 _rng = np.random.RandomState(MINIMA)
 _FACTORS = (_rng.randint(0, 1 << 31, MINIMA).astype(np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -130,33 +134,39 @@ def _alike_in_size() -> F.Column:
     return small * 100 >= large * PERCENT
 
 
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
     for side in "ab":
-        own = classes.select(
+        own = compared.select(
             F.col("rep").alias(side), F.col("n_shingles").alias(f"{side}_size"), F.col("signature").alias(f"{side}_signature")
         )
         pairs = pairs.join(own, side)
     return pairs.where(_alike_in_size()).select("a", "b", "a_signature", "b_signature").mapInArrow(_similar, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     for side in "ab":
-        own = sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(f"{side}_set"))
-        pairs = pairs.join(own, side)
+        pairs = pairs.join(compared.select(F.col("rep").alias(side), F.col("shingles").alias(f"{side}_set")), side)
     shared = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - shared
     return pairs.where(shared * 100 >= union * PERCENT).select("a", "b")
 
 
-def _with_component(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("component", F.col("rep"))
+def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of ``rep``: itself, where it has no link."""
     labelled = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return labelled.withColumn("component", F.coalesce("component", "rep"))
 
 
+def _first_members(classes: DataFrame) -> DataFrame:
+    """(key, rep, component, centre, centre_component) of the buckets with two classes or more."""
+    members = classes.select("rep", F.explode("bands").alias("key"))
+    centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("high"))
+    members = members.join(centres.where("centre < high").drop("high"), "key")
+    return members.withColumns({"component": F.col("rep"), "centre_component": F.col("centre")})
+
+
 def _centred(members: DataFrame) -> DataFrame:
     """Members of the buckets that still hold two components, with the bucket's centre."""
     centres = members.groupBy("key").agg(
@@ -166,33 +176,74 @@ def _centred(members: DataFrame) -> DataFrame:
     return members.join(centres.where("low < high").drop("low", "high"), "key")
 
 
+def _joining_links(key: tuple, group: pa.Table) -> pa.Table:
+    """Confirmed links (a, b) that join components, of the members of one pair of blocks.
+
+    Pairs within a block are compared in the group of the block with itself.
+    """
+    low, high = key[1].as_py(), key[2].as_py()
+    reps = group["rep"].to_numpy()
+    order = np.argsort(reps, kind="stable")
+    group, reps = group.take(pa.array(order)), reps[order]
+    block = group["block"].to_numpy()
+    sizes = group["n_shingles"].to_numpy()
+    minima = np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint16).reshape(-1, MINIMA)
+    lists = group["shingles"].combine_chunks()
+    values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()  # sorted as unsigned
+    sets = [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
+    component = group["component"].to_numpy().copy()
+    links = []
+    ones = np.flatnonzero(block == low)
+    for i in ones:
+        others = np.flatnonzero((component != component[i]) & (block == high) & ((np.arange(len(reps)) > i) | (low != high)))
+        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        others = others[small * 100 >= large * PERCENT]
+        equal = (minima[others] == minima[i]).sum(axis=1)
+        for j in others[np.argsort(-equal, kind="stable")][: int((equal >= LEAST_EQUAL).sum())]:
+            if component[j] == component[i]:
+                continue
+            at = np.minimum(np.searchsorted(sets[i], sets[j]), len(sets[i]) - 1)
+            shared = int((sets[i][at] == sets[j]).sum())
+            if shared * 100 >= (len(sets[i]) + len(sets[j]) - shared) * PERCENT:
+                component[component == component[j]] = component[i]
+                links.append((reps[i], reps[j]))
+    return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+
+def _across_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
+    """Links between components of one bucket, for buckets (key, rep, component) of any size."""
+    sized = members.join(compared.select("rep", "n_shingles"), "rep")
+    blocks = sized.groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n")
+    )
+    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.select(
+        "key", "rep", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    return dealt.join(compared, "rep").groupBy("key", "low", "high").applyInArrow(_joining_links, "a long, b long")
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(node, component) of the classes (rep, n_shingles, signature, bands) that have a link."""
-    members = classes.select("rep", F.explode("bands").alias("key"))
-    members = written(_centred(_with_component(members, None)), "members")
+    members = written(_first_members(classes), "members")
     if members.isEmpty():
         return None
-    sets = written(_sets_of(docs, members.select("rep").distinct()), "sets")
+    reps = written(members.select("rep").distinct(), "reps")
+    sets = _sets_of(docs, reps).withColumnRenamed("doc_id", "rep")
+    compared = written(classes.select("rep", "n_shingles", "signature").join(reps, "rep", "left_semi").join(sets, "rep"), "compared")
     links, labels = None, None
     for _ in range(CENTRE_ROUNDS):
         pairs = members.where("component <> centre_component")
         pairs = pairs.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-        found = written(_confirmed(_likely(pairs, classes), sets), "links")
+        found = written(_confirmed(_likely(pairs, compared), compared), "links")
         links = found if links is None else links.union(found)
         labels = written(connected_components(links), "labels")
         rest = members.where("rep <> centre").select("rep", "key")
         members = written(_centred(_with_component(rest, labels)), "members")
         if members.isEmpty():
             return labels
-    rest = members.select("key", "rep", "component").join(classes.select("rep", "n_shingles"), "rep")
-    one, two = (
-        rest.select(
-            "key", F.col("rep").alias(s), F.col("component").alias(f"{s}_component"), F.col("n_shingles").alias(f"{s}_size")
-        )
-        for s in "ab"
-    )
-    across = one.join(two, (one["key"] == two["key"]) & F.expr("a_component < b_component") & _alike_in_size())
-    found = written(_confirmed(_likely(across.select("a", "b").distinct(), classes), sets), "links")
+    found = written(_across_blocks(members.select("key", "rep", "component"), compared), "links")
     return written(connected_components(links.union(found)), "labels")
 
 
@@ -211,7 +262,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = written(classes, "classes")
     labels = class_components(docs, classes)
-    named = _with_component(classes.select(*key, "rep"), labels).drop("rep")
+    named = classes.select(*key, "rep")
+    named = _with_component(named, labels) if labels else named.withColumn("component", F.col("rep"))
+    named = named.drop("rep")
     joined = rows.select("doc_id", *key).join(named, key, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select(

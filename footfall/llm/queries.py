@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
-from footfall.llm import language, personal, secretscan, sharding
+from footfall.llm import language, personal, quality, secretscan, sharding
 from footfall.llm.neighbours import nearest
 from footfall.llm.shared import table
 from footfall.llm.tokenfile import read_token_file, write_token_file
@@ -32,6 +32,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), VOCABULARY, ["doc_id"], digest=True)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(ids, sharding.shard_names(sharding.SHARDS)).select("doc_id", "slot", "shard")
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secrets": op1_secrets,
         "op2_decontaminate": op2_decontaminate,
         "op3_bpe": op3_bpe,
+        "op4_quality": op4_quality,
         "op5_sharding": op5_sharding,
         "op6_neighbours": op6_neighbours,
         "op7_tokenfile": op7_tokenfile,
