@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from footfall.llm.shared import held_out, learnable
 from footfall.llm.text import chunks
@@ -214,51 +213,49 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     return model
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` but its own lang_pred and score, with lang_pred and score.
+def judge(column: pa.Array, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text; ties go to the language that sorts first.
 
     A text without a letter, or null, is ``und`` with score 0; so is every text when there was
-    nothing to learn from. Ties go to the language that sorts first.
+    nothing to learn from.
     """
-    docs = docs.drop("lang_pred", "score")
-    at = docs.columns.index("text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            names, scores = np.full(batch.num_rows, UNKNOWN, dtype=object), np.zeros(batch.num_rows)
-            if model and batch.num_rows:
-                logits, letters = model.logits(batch.column(at))
-                chance = softmax(logits / model.temperature)
-                best = chance.argmax(axis=1)
-                known = letters > 0
-                names[known] = np.array(model.languages, dtype=object)[best[known]]
-                scores[known] = chance[np.arange(len(best)), best][known]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "lang_pred", "score"]
-            )
-
-    schema = T.StructType([*docs.schema.fields]).add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(run, schema)
+    names, scores = np.full(len(column), UNKNOWN, dtype=object), np.zeros(len(column))
+    if model and len(column):
+        logits, letters = model.logits(column)
+        chance = softmax(logits / model.temperature)
+        best = chance.argmax(axis=1)
+        known = letters > 0
+        names[known] = np.array(model.languages, dtype=object)[best[known]]
+        scores[known] = chance[np.arange(len(best)), best][known]
+    return names, scores
 
 
 def predictions(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of ``docs`` (doc_id, text, lang, ...).
 
     Rows with null ids, texts or languages are predicted like any other but not learned from.
-    Repeated rows get equal results; no rows give no rows.
+    Repeated rows get equal results; other columns are ignored; no rows give no rows.
     """
-    model = train(docs, per_language)
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, per_language))
+
+    def run(batches):
+        for batch in batches:
+            names, scores = judge(batch.column("text"), model.value)
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
+
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    found = predict(rows, model)
-    return found.select("doc_id", "held_out", "lang_pred", "score")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """``docs`` without the texts that have no letter or whose language is uncertain (score under LEAST_SCORE)."""
-    model = train(docs)
-    found = predict(docs, model)
-    if model is None:
-        return docs.where("false")
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    model = docs.sparkSession.sparkContext.broadcast(train(docs))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            names, scores = judge(batch.column(at), model.value)
+            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= LEAST_SCORE), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -186,11 +186,11 @@ def sanitise(docs: DataFrame) -> DataFrame:
     others only lose what reaches beyond it.
     """
     found = find_personal(docs).where("size(spans) > 0").select("doc_id", "text_hash", "spans").distinct()
-    found = written(found, "spans").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    joined = marked.join(found, marked["doc_id"].eqNullSafe(found["_id"]) & (marked["_text_hash"] == found["_hash"]), "left")
+    found = written(found, "spans")
+    text = docs["text"]
+    same = docs["doc_id"].eqNullSafe(found["doc_id"]) & (F.xxhash64(text) == found["text_hash"])
+    joined = docs.join(found, same, "left")
     markers = F.array(*(F.lit(MARKERS[k]) for k in KINDS))
-    text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done, x):
@@ -199,9 +199,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(done["at"], x["end"]).alias("at"), grown.alias("out"))
 
     clean = F.aggregate(
-        "spans", start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+        found["spans"], start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
     )
-    return joined.withColumn("text", F.coalesce(clean, text)).select(*docs.columns)
+    return joined.select(*(F.coalesce(clean, text).alias("text") if c == "text" else docs[c] for c in docs.columns))
 
 
 def digest(found: DataFrame) -> DataFrame:

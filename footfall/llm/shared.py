@@ -79,7 +79,6 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
     ``dropped`` is written first, so that its size on disk decides between broadcast and shuffle.
     """
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
     drop = written(dropped.select("doc_id", "text_hash").distinct(), "dropped")
-    same = marked["doc_id"].eqNullSafe(drop["doc_id"]) & (marked["_hash"] == drop["text_hash"])
-    return marked.join(drop, same, "left_anti").drop("_hash")
+    same = docs["doc_id"].eqNullSafe(drop["doc_id"]) & (F.xxhash64(docs["text"]) == drop["text_hash"])
+    return docs.join(drop, same, "left_anti")

@@ -65,7 +65,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_table(base: int, n: int, name: str) -> np.ndarray:
-    if len(_powers.get(name, ())) < n:
+    if name not in _powers or len(_powers[name]) < n:
         table = np.full(max(n, CHUNK_BYTES), base, dtype=np.uint64)
         table[0] = 1
         _powers[name] = np.multiply.accumulate(table)
