@@ -28,8 +28,6 @@ MINIMA = BANDS * BAND_ROWS
 #: Pairs with fewer equal minima are not confirmed; a pair of similarity 0.75 has fewer with
 #: probability 4e-6 (4.5 standard deviations).
 LEAST_EQUAL = 74
-#: Rounds of comparing with centres before the rest is compared in blocks.
-CENTRE_ROUNDS = 2
 #: Members and shingles of a block, about.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 21
 
@@ -159,21 +157,17 @@ def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.withColumn("component", F.coalesce("component", "rep"))
 
 
-def _first_members(classes: DataFrame) -> DataFrame:
-    """(key, rep, component, centre, centre_component) of the buckets with two classes or more."""
+def _bucket_members(classes: DataFrame) -> DataFrame:
+    """(key, rep, centre) of the buckets with two classes or more; the centre is the least."""
     members = classes.select("rep", F.explode("bands").alias("key"))
     centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("high"))
-    members = members.join(centres.where("centre < high").drop("high"), "key")
-    return members.withColumns({"component": F.col("rep"), "centre_component": F.col("centre")})
+    return members.join(centres.where("centre < high").drop("high"), "key")
 
 
-def _centred(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold two components, with the bucket's centre."""
-    centres = members.groupBy("key").agg(
-        F.min("rep").alias("centre"), F.min_by("component", "rep").alias("centre_component"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
-    )
-    return members.join(centres.where("low < high").drop("low", "high"), "key")
+def _unresolved(members: DataFrame) -> DataFrame:
+    """Members (key, rep, component) of the buckets that still hold two components."""
+    spread = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(spread.where("low < high").select("key"), "key")
 
 
 def _joining_links(key: tuple, group: pa.Table) -> pa.Table:
@@ -226,25 +220,20 @@ def _across_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
 
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(node, component) of the classes (rep, n_shingles, signature, bands) that have a link."""
-    members = written(_first_members(classes), "members")
+    members = written(_bucket_members(classes), "members")
     if members.isEmpty():
         return None
     reps = written(members.select("rep").distinct(), "reps")
     sets = _sets_of(docs, reps).withColumnRenamed("doc_id", "rep")
     compared = written(classes.select("rep", "n_shingles", "signature").join(reps, "rep", "left_semi").join(sets, "rep"), "compared")
-    links, labels = None, None
-    for _ in range(CENTRE_ROUNDS):
-        pairs = members.where("component <> centre_component")
-        pairs = pairs.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-        found = written(_confirmed(_likely(pairs, compared), compared), "links")
-        links = found if links is None else links.union(found)
-        labels = written(connected_components(links), "labels")
-        rest = members.where("rep <> centre").select("rep", "key")
-        members = written(_centred(_with_component(rest, labels)), "members")
-        if members.isEmpty():
-            return labels
-    found = written(_across_blocks(members.select("key", "rep", "component"), compared), "links")
-    return written(connected_components(links.union(found)), "labels")
+    pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
+    links = written(_confirmed(_likely(pairs, compared), compared), "links")
+    labels = written(connected_components(links), "labels")
+    members = written(_unresolved(_with_component(members.where("rep <> centre").select("rep", "key"), labels)), "members")
+    if members.isEmpty():
+        return labels
+    found = written(_across_blocks(members, compared), "links")
+    return written(connected_components(labels.toDF("a", "b").union(found)), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
