@@ -1,9 +1,10 @@
 """JSON messages to typed records; bad messages are set aside with a reason.
 
 A message is accepted when it is one JSON object whose text fields are JSON strings and whose
-whole-number fields are JSON numbers in int range. ``from_json`` would quietly turn the number
-28 into the text "28", so the value is parsed once to a variant and each field's JSON type is
-checked before it is taken.
+whole-number fields are JSON numbers in int range, or strings of such a number. A typed
+``from_json`` would quietly turn the number 28 into the text "28", so every field is read as a
+variant, in the same single parse, and its JSON type is checked before it is taken. Of a repeated
+member the last one counts.
 """
 
 from __future__ import annotations
@@ -18,48 +19,51 @@ from footfall.functions.times import event_date, parse_datetime, to_int
 from footfall.schemas import MESSAGE_INTS, MESSAGE_STRINGS
 
 _NUMBER_TYPES = r"^(BIGINT|DECIMAL|DOUBLE)"
-# Numbers are taken as double first, so that 1.5 is told apart from 1.
-_BODY = ", ".join(
-    [f"{f} string" for f in [*MESSAGE_STRINGS, "stationName"]] + [f"{f} double" for f in MESSAGE_INTS]
-)
+# The grammar of a JSON number.
+_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_FIELDS = [*MESSAGE_STRINGS, "stationName", *MESSAGE_INTS]
+_SCHEMA = ", ".join([f"{f} variant" for f in _FIELDS] + ["_corrupt string"])
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+
+def _type(field: str) -> Column:
+    return F.schema_of_variant(F.col("_body")[field])
 
 
 def _text(field: str) -> Column:
-    return F.when(F.col("_types")[field] == "STRING", F.col("_body")[field])
+    return F.when(_type(field) == "STRING", F.variant_get(F.col("_body")[field], "$", "string"))
 
 
 def _whole_number(field: str) -> Column:
-    number = F.col("_body")[field]
+    # Numbers are taken as double first, so that 1.5 is told apart from 1.
+    number = F.try_variant_get(F.col("_body")[field], "$", "double")
     whole = number.try_cast("int")
-    is_number = F.col("_types")[field].rlike(_NUMBER_TYPES)
+    is_number = _type(field).rlike(_NUMBER_TYPES) | _text(field).rlike(_NUMBER)
     return F.when(is_number & (whole.cast("double") == number), whole)
 
 
 def _decode(messages: DataFrame, extra: dict[str, Column], problems: list) -> DataFrame:
     """Add the message fields and ``problem``, which is NULL for an accepted message.
 
-    The text is parsed once; one cast gives all values and one all JSON types. They leave a
-    generator (of one row per message) because a filter on ``problem`` would otherwise be moved
-    below the parsing, with a copy of the parse in every field it reads.
+    The text is parsed once. The result leaves a generator (of one row per message) because a
+    filter on ``problem`` would otherwise be moved below the parsing, with a copy of the parse in
+    every field it reads. Only a message that is no object is looked at again, to tell broken
+    text from other JSON.
     """
     fields = {f: _text(f) for f in MESSAGE_STRINGS}
     fields |= {f: _whole_number(f) for f in MESSAGE_INTS}
-    members = F.try_variant_get("_json", "$", "map<string,variant>")
-    types = F.transform_values(members, lambda _, value: F.schema_of_variant(value))
-    once = F.struct(
-        F.col("_json").isNull().alias("_broken"),
-        F.try_variant_get("_json", "$", f"struct<{_BODY}>").alias("_body"),
-        types.alias("_types"),
-    )
-    read = messages.withColumn("_json", F.try_parse_json("value"))
-    parsed = read.select(*messages.columns, F.inline(F.array(once))).withColumns(fields | extra)
+    once = F.struct(F.from_json("value", _SCHEMA, _OPTIONS).alias("_body"))
+    parsed = messages.select(*messages.columns, F.inline(F.array(once))).withColumns(fields | extra)
     parsed = parsed.withColumn("event_ts", parse_datetime(F.col("datetime")))
     complete = reduce(and_, [F.col(f).isNotNull() for f in fields])
-    problem = F.when(F.col("_broken"), "not_json").when(~complete, "bad_field")
+    ended = F.coalesce(F.col("value").rlike(r"\}\s*$"), F.lit(False))
+    no_object = F.col("_body").isNull() | F.col("_body._corrupt").isNotNull() | ~ended
+    broken = no_object & (F.col("value").rlike(r"^\s*\{") | F.try_parse_json("value").isNull())
+    problem = F.when(broken, "not_json").when(no_object | ~complete, "bad_field")
     for condition, reason in problems:
         problem = problem.when(condition, reason)
     problem = problem.when(F.col("event_ts").isNull(), "bad_datetime")
-    return parsed.withColumn("problem", problem).drop("_broken", "_body", "_types")
+    return parsed.withColumn("problem", problem).drop("_body")
 
 
 def decode_sighting(messages: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def decode_sighting(messages: DataFrame) -> DataFrame:
 def decode_device_log(messages: DataFrame) -> DataFrame:
     """Device-log messages: as sightings, with an optional station name and a numeric sensor."""
     extra = {
-        "_name_type": F.coalesce(F.col("_types")["stationName"], F.lit("VOID")),
+        "_name_type": F.coalesce(_type("stationName"), F.lit("VOID")),
         "stationName": _text("stationName"),
     }
     problems = [

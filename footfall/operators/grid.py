@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from footfall.schemas import FLOW_KEY, HOUR_COLUMNS, STATION_KEY
 
-# Pairs are built per hash bucket of the destination, so the work spreads over this many tasks.
-PAIR_BUCKETS = 64
+# Pairs are built per hash bucket of the destination, of about this many stations each.
+BUCKET_STATIONS = 32
 
 
 def _days(days: list[dt.date]):
@@ -40,16 +40,18 @@ def flow_grid(stations: DataFrame, days: list[dt.date]) -> DataFrame:
     """Every ordered pair of different listed stations on each day.
 
     The n * (n - 1) pairs are the wanted rows themselves. An equi-join on the destination's hash
-    bucket makes them: each source is copied once per bucket, and no side is broadcast.
+    bucket makes them: each source is copied once per bucket, and no station is broadcast. The
+    number of buckets follows the number of stations.
     """
     ids = stations.select("station_id").distinct()
-    buckets = F.array(*[F.lit(b).cast("long") for b in range(PAIR_BUCKETS)])
-    sources = ids.select(
-        F.col("station_id").alias("src_station_id"), F.explode(buckets).alias("bucket")
+    counted = ids.withColumn("buckets", ids.agg(F.ceil(F.count("*") / BUCKET_STATIONS)).scalar())
+    sources = counted.select(
+        F.col("station_id").alias("src_station_id"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"),
     )
-    destinations = ids.select(
+    destinations = counted.select(
         F.col("station_id").alias("dst_station_id"),
-        F.pmod(F.xxhash64("station_id"), F.lit(PAIR_BUCKETS)).alias("bucket"),
+        F.pmod(F.xxhash64("station_id"), F.col("buckets")).alias("bucket"),
     )
     pairs = no_self_pair(sources.join(destinations.hint("merge"), "bucket"))
     return pairs.select(*FLOW_KEY, _days(days))

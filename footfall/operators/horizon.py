@@ -32,3 +32,16 @@ def future_drop(sightings: DataFrame, today: dt.date) -> DataFrame:
     _, newest = _bounds(today)
     early = sightings.where(F.col("event_date") > newest)
     return early.withColumn("reason", F.lit("future"))
+
+
+def batch_day(tz_delta_hours: int = 0) -> Column:
+    """The local day of now; in a stream, of the micro-batch's own time, also when it is run again."""
+    seconds = F.unix_timestamp(F.current_timestamp()) + tz_delta_hours * 3600
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
+
+
+def judged(sightings: DataFrame, today: Column) -> DataFrame:
+    """Sightings with ``reason``: late, future, or NULL for those accepted on the given day."""
+    early = F.col("event_date") < F.date_sub(today, KEEP_DAYS_BACK)
+    ahead = F.col("event_date") > F.date_add(today, KEEP_DAYS_AHEAD)
+    return sightings.withColumn("reason", F.when(early, "late").when(ahead, "future"))

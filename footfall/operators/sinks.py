@@ -15,42 +15,32 @@ from pyspark.sql import types as T
 
 from footfall.operators.grid import insert_missing
 from footfall.operators.monthly import month_start, upsert
+from footfall.operators.staging import staged
 from footfall.operators.stats import add_hours
 from footfall.schemas import LOG_FLUSH_ROWS, hourly_wide, monthly
-from footfall.session import scratch_path
 
 
-def _writer(rows: DataFrame, by: list[str], small: bool):
-    """A partitioned writer that makes few files per partition value.
-
-    Facts are rebalanced: a value with many rows is split, values with few share a task. Counted
-    tables (``small``) have few rows per value but many values, so values are spread over tasks.
-    """
-    if small:
-        parts = rows.sparkSession.sparkContext.defaultParallelism
-        spread = rows.repartition(parts, *by)
-    else:
-        spread = rows.hint("rebalance", *by)
-    return spread.write.partitionBy(*by)
+def _writer(rows: DataFrame, by: list[str]):
+    """A partitioned writer: a value with many rows is written by several tasks, values with few
+    rows share one."""
+    return rows.hint("rebalance", *by).write.partitionBy(*by)
 
 
-def append_rows(rows: DataFrame, path: str, by: list[str], small: bool = False) -> None:
+def append_rows(rows: DataFrame, path: str, by: list[str]) -> None:
     """Add rows to a partitioned table."""
-    _writer(rows, by, small).mode("append").parquet(path)
+    _writer(rows, by).mode("append").parquet(path)
 
 
-def replace_partitions(rows: DataFrame, path: str, by: list[str], small: bool = False) -> None:
+def replace_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
     """Replace the partitions that occur in ``rows`` and no others."""
-    writer = _writer(rows, by, small).mode("overwrite")
+    writer = _writer(rows, by).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def staged(rows: DataFrame, label: str) -> DataFrame:
-    """The rows, written to the shared folder and read back."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+def replace_whole(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Replace a folder by ``rows``, also when there are none."""
+    writer = _writer(rows, by) if by else rows.write
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,23 +58,31 @@ def _values(rows: DataFrame, column: str) -> list:
     return [row[0] for row in rows.select(column).distinct().collect()]
 
 
-def add_hourly(delta: DataFrame, path: str, keys: list[str]) -> None:
+def add_hourly(delta: DataFrame, path: str, keys: list[str], batch_id: int) -> None:
     """Add wide hourly counts to a stored table; new keys get their row.
 
-    Only the days in the delta are read (static partition pruning) and rewritten.
+    Batches must come in the order of their numbers. Every row of a day carries the number of the
+    last batch that changed the day, so a batch that is run again, after a loss at any point,
+    leaves alone the days that have it and adds to the others. Only the days in the delta are
+    read (static partition pruning) and rewritten.
     """
     delta = staged(delta, "delta")
-    table = read_or_empty(delta.sparkSession, path, hourly_wide(keys))
+    schema = hourly_wide(keys).add("last_batch", T.LongType())
+    table = read_or_empty(delta.sparkSession, path, schema)
     old = table.where(F.col("stat_date").isin(_values(delta, "stat_date")))
-    merged = staged(add_hours(old, delta, keys), "hourly")
-    replace_partitions(merged, path, ["stat_date"], small=True)
+    done = old.where(F.col("last_batch") >= batch_id).select("stat_date").distinct()
+    fresh = delta.join(done, "stat_date", "left_anti")
+    days = fresh.select("stat_date").distinct()
+    merged = add_hours(old.drop("last_batch").join(days, "stat_date", "left_semi"), fresh, keys)
+    merged = staged(merged.withColumn("last_batch", F.lit(batch_id).cast("long")), "hourly")
+    replace_partitions(merged, path, ["stat_date"])
 
 
 def ensure_hourly(grid: DataFrame, path: str, keys: list[str], days: list[dt.date]) -> None:
     """Add zero rows for the grid keys a stored table lacks; running it again adds nothing."""
     table = read_or_empty(grid.sparkSession, path, hourly_wide(keys))
     missing = insert_missing(grid, table.where(F.col("stat_date").isin(days)), keys)
-    append_rows(staged(missing, "grid"), path, ["stat_date"], small=True)
+    append_rows(staged(missing, "grid"), path, ["stat_date"])
 
 
 def save_monthly(new: DataFrame, path: str, keys: list[str], mode: str = "merge") -> None:
@@ -96,7 +94,7 @@ def save_monthly(new: DataFrame, path: str, keys: list[str], mode: str = "merge"
     old = stored.where(F.col("stat_month").isin(_values(dated, "stat_month"))).drop("stat_month")
     result = staged(upsert(old, new, keys, mode), "monthly")
     result = result.withColumn("stat_month", month_start(F.col("stat_date")))
-    replace_partitions(result, path, ["stat_month"], small=True)
+    replace_partitions(result, path, ["stat_month"])
 
 
 def read_monthly(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -109,11 +107,6 @@ def save_state(state: DataFrame, path: str) -> None:
     replace_partitions(staged(state, "state"), path, ["start_date"])
 
 
-def append_device_log(rows: DataFrame, path: str) -> None:
-    """Append log rows, by day of sighting."""
-    append_rows(rows.withColumn("log_date", F.to_date("TimeNow")), path, ["log_date"])
-
-
 def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Append rows to a database table in bulk inserts; the caller supplies the connection."""
     rows.write.option("batchsize", LOG_FLUSH_ROWS).jdbc(

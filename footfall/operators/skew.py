@@ -9,34 +9,17 @@ from footfall.schemas import DEVICE_DAY
 
 # A device-day below this many rows is sorted by one task without trouble.
 HOT_ROWS = 2_000_000
-# Bounds of the heavy-hitter sketches. At most BUCKETS * TOP keys can be reported, so the
-# answer on the driver never exceeds a few thousand numbers, whatever the input size.
-BUCKETS = 64
-TOP = 64
-TRACKED = 512
-
 
 def device_day_hash() -> Column:
     """64-bit hash of a device-day."""
     return F.xxhash64(*DEVICE_DAY)
 
 
-def find_hot_device_days(sightings: DataFrame, hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the device-days with about ``hot_rows`` rows or more.
+def find_hot_device_days(sightings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(day_key, rows) of every device-day, by its hash, with ``hot_rows`` rows or more.
 
-    A table with fewer rows than that cannot have one, and its count comes from file footers.
-    Otherwise each map task keeps one small frequent-items sketch per hash bucket, and only
-    sketches are shuffled. The answer only chooses between two exact ways to count, so a missed
-    or needless key costs time, never rows.
+    Exact: rows are counted within tasks first, so the shuffle carries a key and a count, and
+    there is no bound on how many are found.
     """
-    if sightings.count() < hot_rows:
-        return []
-    key = device_day_hash()
-    tops = (
-        sightings.select(key.alias("key"))
-        .groupBy(F.pmod("key", F.lit(BUCKETS)).alias("bucket"))
-        .agg(F.expr(f"approx_top_k(key, {TOP}, {TRACKED})").alias("top"))
-        .select(F.inline("top"))
-        .where(F.col("count") >= hot_rows)
-    )
-    return sorted(row["item"] for row in tops.collect())
+    counts = sightings.groupBy(device_day_hash().alias("day_key")).agg(F.count("*").alias("rows"))
+    return counts.where(F.col("rows") >= hot_rows)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.times import hour_of
 from footfall.operators.skew import HOT_ROWS, device_day_hash, find_hot_device_days
+from footfall.operators.staging import staged
 from footfall.schemas import DEVICE_DAY, GAP_MINUTES
 
 # Width, in seq numbers, of one piece of a hot second. seq is unique, so a piece has at most
@@ -237,29 +238,31 @@ def count_visits(
     sightings: DataFrame,
     prior_state: DataFrame | None = None,
     gap_minutes: int = GAP_MINUTES,
-    hot: list[int] | None = None,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     seq_block: int = SEQ_BLOCK,
 ) -> DataFrame:
     """Visit facts of a batch of sightings; moves carry the station they came from.
 
-    ``prior_state`` continues device-days counted before. ``hot`` lists device-day hashes to be
-    split over many tasks; left out, it is found from the data. Sightings should be a stored
-    table (not raw JSON), as a large input is read once more to look for hot device-days.
+    ``prior_state`` continues device-days counted before. ``hot`` has the hashes (``day_key``) of
+    device-days to be split over many tasks; left out, they are found from the data. Sightings
+    should be a stored table (not raw JSON), as they are read once more to look for hot device-days.
     """
     rows = sightings.select("seq", "station_id", *DEVICE_DAY, "event_ts")
     prior = None if prior_state is None else _prior_rows(prior_state)
     if hot is None:
         hot = find_hot_device_days(rows, hot_rows)
     rows = rows.withColumn("day_key", device_day_hash())
-    if not hot:
+    if hot.isEmpty():
         return _single_task_visits(_with_prior(rows, prior), gap_minutes)
 
-    is_hot = F.col("day_key").isin(hot)
-    ordinary = _with_prior(rows, prior).where(~is_hot)
-    hot_prior = None if prior is None else prior.where(is_hot)
+    # Written first, so that its size on disk decides between broadcast and shuffle.
+    hot = staged(hot.select("day_key"), "hot")
+    ordinary = _with_prior(rows, prior).join(hot, "day_key", "left_anti")
+    hot_rows_only = rows.join(hot, "day_key", "left_semi")
+    hot_prior = None if prior is None else prior.join(hot, "day_key", "left_semi")
     return _single_task_visits(ordinary, gap_minutes).unionByName(
-        _split_task_visits(rows.where(is_hot), hot_prior, gap_minutes, seq_block)
+        _split_task_visits(hot_rows_only, hot_prior, gap_minutes, seq_block)
     )
 
 
@@ -290,3 +293,9 @@ def same_station_sightings(sightings: DataFrame, visits: DataFrame) -> DataFrame
     """Sightings at the station of the sighting before: all that neither begin a day nor move."""
     starts = visits.where(F.col("kind").isin("first", "move"))
     return sightings.join(starts.select("seq"), "seq", "left_anti")
+
+
+def past_gap_sightings(sightings: DataFrame, visits: DataFrame) -> DataFrame:
+    """Re-sightings more than the gap after the last counted one."""
+    revisits = visits_of_kind(visits, "revisit").select("seq")
+    return sightings.join(revisits, "seq", "left_semi")

@@ -180,10 +180,23 @@ LOG_ROWS = (
     f'CAST(user_id AS VARCHAR) AS "Mac", CAST(-{K} AS INTEGER) AS "Rssi", '
     f"date_trunc('second', ts) AS \"TimeNow\" FROM events WHERE NOT ({BAD} OR {WORDS})"
 )
-FIRST_LOG_ROWS = (
-    'SELECT "SensorId", "Mac", arg_min("Rssi", seq) AS "Rssi", "TimeNow" '
-    f'FROM ({LOG_ROWS}) GROUP BY "SensorId", "Mac", "TimeNow"'
+FIRST_STRAY = (
+    f"(SELECT * FROM events WHERE event_type = 'view' AND {K} < 90 ORDER BY event_id LIMIT 1)"
 )
+WITH_STRAYS = (
+    "FROM (SELECT event_id, ts, user_id, event_type, value, props FROM events "
+    "UNION ALL SELECT -1, ts + INTERVAL 7 YEAR, user_id, event_type, value, props "
+    f"FROM {FIRST_STRAY} UNION ALL SELECT -2, ts - INTERVAL 10 DAY, user_id, event_type, value, props "
+    f"FROM {FIRST_STRAY})"
+)
+
+
+def first_log_rows(rows: str) -> str:
+    """The first row of each log key."""
+    return (
+        'SELECT "SensorId", "Mac", arg_min("Rssi", seq) AS "Rssi", "TimeNow" '
+        f'FROM ({rows}) GROUP BY "SensorId", "Mac", "TimeNow"'
+    )
 
 
 def decoded(log: bool) -> str:
@@ -247,8 +260,13 @@ def _messages() -> dict[str, str]:
         f"CAST(user_id AS VARCHAR) AS dev_id, {text('ts')} AS event_ts, {day('ts')} AS event_date "
         f"FROM events WHERE NOT {BAD}",
         "project_device_log": shown(LOG_ROWS, times='"TimeNow"'),
-        "dedup_device_log": shown(FIRST_LOG_ROWS, times='"TimeNow"'),
-        "snk_device_log": shown(FIRST_LOG_ROWS, times='"TimeNow"'),
+        "dedup_device_log": shown(first_log_rows(LOG_ROWS), times='"TimeNow"'),
+        "snk_device_log": shown(
+            first_log_rows(LOG_ROWS.replace("FROM events", WITH_STRAYS)), times='"TimeNow"'
+        ),
+        "snk_device_log_rejected": "SELECT m.* REPLACE (coalesce(problem, 'bad_sensor') AS problem) "
+        f"FROM ({messages(True)}) m JOIN events ON seq = event_id, generate_series(1, 2) "
+        f"WHERE problem IS NOT NULL OR {WORDS}",
     }
 
 
@@ -298,10 +316,23 @@ def _rules() -> dict[str, str]:
         "count_visits_split": visits(DENSE),
         "st_visits": visits(EVENTS),
         "st_microbatch": visits(DENSE),
+        "st_visits_dropped": shown(
+            f"SELECT {SIGHTING_COLUMNS}, 'future' AS reason FROM ({EVENTS.replace('FROM events', WITH_STRAYS)}) "
+            f"WHERE seq = -1 UNION ALL SELECT {SIGHTING_COLUMNS}, 'late' AS reason "
+            f"FROM ({EVENTS.replace('FROM events', WITH_STRAYS)}) WHERE seq = -2",
+            "event_date",
+            "event_ts",
+        ),
+        "st_microbatch_dropped": shown(
+            f"SELECT {SIGHTING_COLUMNS}, CASE WHEN event_date < DATE '2024-01-18' THEN 'late' ELSE 'future' END "
+            f"AS reason FROM ({DENSE}) WHERE event_date NOT BETWEEN {horizon}",
+            "event_date",
+            "event_ts",
+        ),
         "join_prev_state": visits(EVENTS, "hour >= 12"),
         "lookup_state": lookup,
         "filter_same_station": sightings(DENSE, "lagged WHERE prev_station_id = station_id"),
-        "filter_gap30": visits(DENSE, "kind = 'revisit'"),
+        "filter_gap30": sightings(DENSE, "s WHERE seq IN (SELECT seq FROM visits WHERE kind = 'revisit')"),
         "flow_move": flows,
         "device_state": state(),
         "src_device_state": state("start_date = DATE '2024-01-15'"),
@@ -371,6 +402,12 @@ def _months() -> dict[str, str]:
     return {
         "station_monthly": shape(f"SELECT * EXCLUDE (month) FROM ({stations})"),
         "flows_monthly": shape(f"SELECT * EXCLUDE (month) FROM ({flows})"),
+        "station_monthly_null_hours": shape(
+            null_hours("station_id", "visits", " + ".join(f"sum({c})" for c in HOUR_COLUMNS))
+        ),
+        "flows_monthly_null_hours": shape(null_hours(PAIR, "flows", f"sum({' + '.join(HOUR_COLUMNS)})")),
+        "snk_station_month_update_or_insert": shape(updated_or_inserted("station_id", "visits")),
+        "snk_flows_month_update_or_insert": shape(updated_or_inserted(PAIR, "flows")),
         "representative_date": shape(f"SELECT station_id, stat_date FROM ({stations})"),
         "distinct_by_group": shape(f"SELECT {PAIR}, month FROM ({flows})", "month"),
         "exists_month": shape(f"SELECT DISTINCT month FROM ({stations})", "month"),
@@ -388,6 +425,28 @@ def _months() -> dict[str, str]:
     }
 
 
+def null_hours(keys: str, facts: str, total: str) -> str:
+    """Monthly totals of wide rows with NULL hours; a total that comes out NULL is 0."""
+    rows = (
+        f"SELECT * REPLACE (CASE WHEN day(stat_date) % 3 <> 0 THEN hour_00 END AS hour_00, "
+        f"CASE WHEN month(stat_date) % 2 <> 0 THEN hour_07 END AS hour_07) FROM ({wide(keys, facts)})"
+    )
+    return (
+        f"SELECT {keys}, min(stat_date) AS stat_date, CAST(coalesce({total}, 0) AS BIGINT) AS count "
+        f"FROM ({rows}) GROUP BY {keys}, date_trunc('month', stat_date)"
+    )
+
+
+def updated_or_inserted(keys: str, facts: str) -> str:
+    """Totals up to 1996 updated from whole months, and the months that were missing."""
+    early = f"(SELECT * FROM {first_half(facts)} WHERE stat_date < DATE '1997-01-01')"
+    old, new = month_totals(keys, early), month_totals(keys, facts)
+    return (
+        f"SELECT {keys}, o.stat_date, n.count FROM ({old}) o JOIN ({new}) n USING ({keys}, month) "
+        f"UNION ALL SELECT {keys}, stat_date, count FROM ({new}) WHERE month NOT IN (SELECT month FROM ({old}))"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per registered query."""
     return _scalars() | _messages() | _rules() | _hourly() | _months()

@@ -30,7 +30,6 @@ from footfall.plans.refresh import hourly_refresh, monthly_refresh
 from footfall.schemas import (
     FLOW_KEY,
     HOUR_COLUMNS,
-    SIGHTING,
     STATION_KEY,
     VISIT_FACT,
     hourly_wide,
@@ -39,7 +38,7 @@ from footfall.session import scratch_path
 from footfall.sources import messages, samples, tables
 from footfall.streaming import devicelog as log_stream
 from footfall.streaming.ingest import Ingest
-from footfall.streaming.visits import count_visits_stream, write_facts
+from footfall.streaming.visits import accepted, count_visits_stream, dropped, write_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +46,7 @@ JANUARY = grid.days_between(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 MID_JANUARY = dt.date(2024, 1, 15)
 TODAY = dt.date(2024, 1, 20)
 LAST_DAYS = dt.datetime(2024, 1, 29, 22, 30)  # with +3 hours: 30 and 31 January
+LATE_MONTHS = dt.date(1997, 1, 1)  # months from here on are missing at first
 FEBRUARY = dt.datetime(2024, 2, 1, 0, 5)
 SIGHTING_COLUMNS = ["seq", "station_id", "dev_id", "event_ts", "event_date"]
 
@@ -110,7 +110,7 @@ def flow_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(rows: DataFrame, label: str, by: str) -> str:
     """Write a partitioned table below the shared folder and return its path."""
     path = scratch_path(rows.sparkSession, label)
-    sinks.append_rows(rows, path, [by], small=True)
+    sinks.append_rows(rows, path, [by])
     return path
 
 
@@ -298,16 +298,31 @@ def dedup_device_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _int_rssi(devicelog.dedup_device_log(rows.unionByName(again)))
 
 
+def _logged_stream(spark: SparkSession, sf_dir: str) -> log_stream.DeviceLog:
+    """The log stream over all messages, two strays among them, in two micro-batches.
+
+    The second brings every message again.
+    """
+    base = scratch_path(spark, "log")
+    job = log_stream.DeviceLog(f"{base}/out")
+    for _ in range(2):
+        rows = samples.event_messages(spark, sf_dir, log=True, strays=True)
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = messages.message_file_stream(spark, f"{base}/in", max_files_per_trigger=None)
+        job.start(stream, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
 @query
 def snk_device_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log stream: messages from files, copies dropped, rows appended by day."""
-    base = scratch_path(spark, "log")
-    samples.event_messages(spark, sf_dir, log=True).write.parquet(f"{base}/in")
-    rows = log_stream.device_log_stream(messages.message_file_stream(spark, f"{base}/in"))
-    log_stream.write_device_log(
-        rows, f"{base}/log", f"{base}/checkpoint", availableNow=True
-    ).awaitTermination()
-    return _int_rssi(spark.read.parquet(f"{base}/log").drop("log_date"))
+    """The stored log: every accepted row once, whatever its day."""
+    return _int_rssi(_logged_stream(spark, sf_dir).rows(spark))
+
+
+@query
+def snk_device_log_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log stream's rejected messages, as often as they came."""
+    return _logged_stream(spark, sf_dir).rejected(spark)
 
 
 # Counting rules.
@@ -356,7 +371,8 @@ def count_visits_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_gap30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visits.visits_of_kind(dense_visits(spark, sf_dir), "revisit")
+    sightings = samples.dense_sightings(spark, sf_dir).select(*SIGHTING_COLUMNS)
+    return visits.past_gap_sightings(sightings, dense_visits(spark, sf_dir))
 
 
 @query
@@ -456,49 +472,77 @@ def future_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams.
 
 
+def _counted_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sightings from files through the keyed state, and those set aside.
+
+    Each row is judged by the day it arrived on. Two strays come with the rest: one from a clock
+    seven years ahead, one ten days late.
+    """
+    base = scratch_path(spark, "stream")
+    rows = samples.arriving_sightings(spark, sf_dir)
+    rows.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    facts = count_visits_stream(accepted(stream, F.col("arrived")))
+    write_facts(facts, f"{base}/facts", f"{base}/c1", availableNow=True).awaitTermination()
+    aside = dropped(stream, F.col("arrived"))
+    write_facts(aside, f"{base}/dropped", f"{base}/c2", by="reason", availableNow=True).awaitTermination()
+    schema = T.StructType([*rows.schema.fields, T.StructField("reason", T.StringType())])
+    return (
+        spark.read.schema(VISIT_FACT).parquet(f"{base}/facts"),
+        spark.read.schema(schema).parquet(f"{base}/dropped"),
+    )
+
+
 @query
 def st_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sightings from files through the keyed streaming state."""
-    base = scratch_path(spark, "stream")
-    samples.event_sightings(spark, sf_dir).write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(SIGHTING).parquet(f"{base}/in")
-    write_facts(
-        count_visits_stream(stream), f"{base}/facts", f"{base}/checkpoint", availableNow=True
-    ).awaitTermination()
-    return spark.read.schema(VISIT_FACT).parquet(f"{base}/facts")
+    """Visits counted by the keyed streaming state."""
+    return _counted_stream(spark, sf_dir)[0]
+
+
+@query
+def st_visits_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side table of the keyed stream."""
+    return _counted_stream(spark, sf_dir)[1].select(*SIGHTING_COLUMNS, "reason")
+
+
+def _dense_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seq, value, event_date) of the dense variant."""
+    fields = F.struct(
+        F.col("sensor_id").alias("sensorID"),
+        F.lit("gate").alias("sensorType"),
+        F.col("station_id").alias("stationID"),
+        F.col("dev_id").alias("deviceID"),
+        F.lit(-50).alias("power"),
+        F.lit(1).alias("dsStatus"),
+        times.format_datetime(F.col("event_ts")).alias("datetime"),
+    )
+    rows = samples.dense_sightings(spark, sf_dir)
+    return rows.select("seq", F.to_json(fields).alias("value"), "event_date")
 
 
 @query
 def st_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of the dense variant in two micro-batches, each half of the days."""
+    """Messages of the dense variant in two micro-batches, each all files of half of the days."""
     base = scratch_path(spark, "ingest")
-    sightings = samples.dense_sightings(spark, sf_dir)
-    text = F.to_json(
-        F.struct(
-            F.col("sensor_id").alias("sensorID"),
-            F.lit("gate").alias("sensorType"),
-            F.col("station_id").alias("stationID"),
-            F.col("dev_id").alias("deviceID"),
-            F.lit(-50).alias("power"),
-            F.lit(1).alias("dsStatus"),
-            times.format_datetime(F.col("event_ts")).alias("datetime"),
-        )
-    ).alias("value")
-    for part, condition in (
-        ("a", F.col("event_date") < F.lit(MID_JANUARY)),
-        ("b", F.col("event_date") >= F.lit(MID_JANUARY)),
-    ):
-        batch = sightings.where(condition).select("seq", text)
-        batch.write.mode("append").parquet(f"{base}/in/{part}")
+    rows = _dense_messages(spark, sf_dir)
     job = Ingest(f"{base}/out")
-    source = spark.readStream.schema("seq bigint, value string").option(
-        "recursiveFileLookup", "true"
-    )
-    stream = source.option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    job.start(stream, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    first = F.col("event_date") < F.lit(MID_JANUARY)
+    for half in (first, ~first):
+        rows.where(half).select("seq", "value").write.mode("append").parquet(f"{base}/in")
+        stream = messages.message_file_stream(spark, f"{base}/in", max_files_per_trigger=None)
+        job.start(stream, f"{base}/checkpoint", availableNow=True).awaitTermination()
     return job.visits(spark)
 
 
+@query
+def st_microbatch_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side table of a micro-batch judged by 20 January."""
+    job = Ingest(scratch_path(spark, "ingest"), today=lambda: TODAY)
+    job.run_batch(_dense_messages(spark, sf_dir).select("seq", "value"), 0)
+    rows = spark.read.parquet(job.table("dropped"))
+    return rows.select(*SIGHTING_COLUMNS, "reason")
+
+
 # Hourly tables.
 
 
@@ -523,11 +567,12 @@ def pivot_hours_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _added_halves(spark: SparkSession, facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Count mornings into a stored table, then afternoons on top."""
+    """Count mornings into a stored table, then afternoons on top, and these once more."""
     path = scratch_path(spark, "hourly")
     facts = sinks.staged(facts, "facts")
-    for half in (F.col("hour") < 12, F.col("hour") >= 12):
-        sinks.add_hourly(stats.pivot_hours(facts.where(half), keys), path, keys)
+    morning = F.col("hour") < 12
+    for batch, half in ((0, morning), (1, ~morning), (1, ~morning)):
+        sinks.add_hourly(stats.pivot_hours(facts.where(half), keys), path, keys, batch)
     return spark.read.schema(hourly_wide(keys)).parquet(path)
 
 
@@ -630,6 +675,26 @@ def flows_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.flows_monthly(_order_flow_wide(spark, sf_dir))
 
 
+def _with_null_hours(wide: DataFrame) -> DataFrame:
+    """NULL at midnight on every third day, and at seven in even months."""
+    return wide.withColumns(
+        {
+            "hour_00": F.when(F.dayofmonth("stat_date") % 3 != 0, F.col("hour_00")),
+            "hour_07": F.when(F.month("stat_date") % 2 != 0, F.col("hour_07")),
+        }
+    )
+
+
+@query
+def station_monthly_null_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly.station_monthly(_with_null_hours(_order_station_wide(spark, sf_dir)))
+
+
+@query
+def flows_monthly_null_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly.flows_monthly(_with_null_hours(_order_flow_wide(spark, sf_dir)))
+
+
 @query
 def representative_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.representative_date(_order_station_wide(spark, sf_dir), STATION_KEY)
@@ -637,12 +702,14 @@ def representative_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def distinct_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.distinct_keys(order_flows(spark, sf_dir), FLOW_KEY)
+    table = monthly.flows_monthly(_order_flow_wide(spark, sf_dir))
+    return monthly.distinct_keys(table, FLOW_KEY)
 
 
 @query
 def exists_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.months_present(order_visits(spark, sf_dir))
+    """The months for which the monthly table has rows."""
+    return monthly.months_present(monthly.station_monthly(_order_station_wide(spark, sf_dir)))
 
 
 @query
@@ -669,13 +736,18 @@ def update_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.update_existing(old, monthly.flows_monthly(wide), FLOW_KEY)
 
 
-def _upserted(spark: SparkSession, wide: DataFrame, rollup, keys: list[str]) -> DataFrame:
-    """Save the totals of half months, then those of whole months, twice."""
+def _upserted(
+    spark: SparkSession, wide: DataFrame, rollup, keys: list[str], mode: str = "merge"
+) -> DataFrame:
+    """Save the totals of half months (but for the last years), then those of whole months, twice."""
     path = scratch_path(spark, "monthly")
     wide = sinks.staged(wide, "hourly")
-    sinks.save_monthly(rollup(_first_half(wide)), path, keys)
-    sinks.save_monthly(rollup(wide), path, keys)
-    sinks.save_monthly(rollup(wide), path, keys)
+    early = _first_half(wide)
+    if mode != "merge":
+        early = early.where(F.col("stat_date") < F.lit(LATE_MONTHS))
+    sinks.save_monthly(rollup(early), path, keys, mode)
+    sinks.save_monthly(rollup(wide), path, keys, mode)
+    sinks.save_monthly(rollup(wide), path, keys, mode)
     return sinks.read_monthly(spark, path, keys)
 
 
@@ -690,6 +762,18 @@ def snk_flows_month_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, _order_flow_wide(spark, sf_dir), monthly.flows_monthly, FLOW_KEY)
 
 
+@query
+def snk_station_month_update_or_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = _order_station_wide(spark, sf_dir)
+    return _upserted(spark, wide, monthly.station_monthly, STATION_KEY, "update_or_insert")
+
+
+@query
+def snk_flows_month_update_or_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = _order_flow_wide(spark, sf_dir)
+    return _upserted(spark, wide, monthly.flows_monthly, FLOW_KEY, "update_or_insert")
+
+
 @query
 def monthly_refresh_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both monthly tables after the refresh of 1 February."""

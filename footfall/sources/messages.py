@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from footfall.schemas import MESSAGE
 
+# What a micro-batch takes in at most, unless the caller says otherwise.
+MAX_OFFSETS, MAX_FILES = 1_000_000, 1000
+
 # The Kafka partition goes above the offset so that seq stays unique across partitions.
 OFFSET_BITS = 48
 
@@ -26,7 +29,7 @@ def kafka_stream(
     servers: str,
     topic: str,
     starting: str = "latest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Subscribe to one topic. Offsets live in the query's checkpoint, not in the broker."""
@@ -60,7 +63,7 @@ def message_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def message_file_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES
 ) -> DataFrame:
     """The same folder read as a stream, file by file."""
     reader = spark.readStream.schema(MESSAGE)

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _sightings(
-    rows: DataFrame, seq: str, device: Column, station: Column, ts: Column
+    rows: DataFrame, seq: str, device: Column, station: Column, ts: Column, more: list[str] = []
 ) -> DataFrame:
     return rows.select(
         F.col(seq).alias("seq"),
@@ -30,6 +30,7 @@ def _sightings(
         station.alias("station_id"),
         device.cast("string").alias("dev_id"),
         ts.cast("timestamp_ntz").alias("event_ts"),
+        *more,
     ).withColumn("event_date", event_date(F.col("event_ts")))
 
 
@@ -44,6 +45,23 @@ def event_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stray_events(events: DataFrame) -> DataFrame:
+    """Two copies of the first proper view: from a clock seven years ahead, and ten days older."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    first = events.where((F.col("event_type") == "view") & (k < 90)).orderBy("event_id").limit(1)
+    ahead = first.withColumns({"event_id": F.lit(-1).cast("long"), "ts": F.expr("ts + INTERVAL 7 YEAR")})
+    late = first.withColumns({"event_id": F.lit(-2).cast("long"), "ts": F.expr("ts - INTERVAL 10 DAY")})
+    return ahead.unionByName(late)
+
+
+def arriving_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users seen at event types, with the day of arrival; the strays arrive with their original."""
+    events = table(spark, sf_dir, "events").withColumn("arrived", event_date(F.col("ts").cast("timestamp_ntz")))
+    both = events.unionByName(stray_events(events))
+    ts = whole_seconds(F.col("ts"))
+    return _sightings(both, "event_id", F.col("user_id"), F.col("event_type"), ts, ["arrived"])
+
+
 def dense_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types seen at value bands: five devices, long runs, many re-sightings."""
     band = F.concat(F.lit("band-"), F.floor(F.col("value") / 100).cast("string"))
@@ -74,8 +92,10 @@ def event_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return types.distinct().unionByName(unused)
 
 
-def event_messages(spark: SparkSession, sf_dir: str, log: bool = False) -> DataFrame:
-    """Events as JSON messages, some broken in a way that follows from their own values.
+def event_messages(
+    spark: SparkSession, sf_dir: str, log: bool = False, strays: bool = False
+) -> DataFrame:
+    """Events, and the strays where asked, as JSON messages, some broken in a way that follows from their own values.
 
     ``k`` from the event's props decides: errors with k under 20 lose their last two characters,
     clicks with k under 10 carry the station as a number, views with k of 90 and more have a
@@ -83,6 +103,7 @@ def event_messages(spark: SparkSession, sf_dir: str, log: bool = False) -> DataF
     and purchases carry the station's name.
     """
     events = table(spark, sf_dir, "events")
+    events = events.unionByName(stray_events(events)) if strays else events
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     text = format_datetime(F.col("ts"))

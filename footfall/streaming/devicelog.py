@@ -1,32 +1,71 @@
-"""The raw device log as a stream: decode, set bad rows aside, drop copies, append."""
+"""The raw device log as a stream: decode, set bad rows aside, drop copies, append.
+
+Nothing is ever too late for the log, so there is no watermark: a copy is known by the rows
+stored for its own day. A micro-batch reads only the days it touches.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from footfall.operators.decode import decode_device_log, project_device_log, quarantine_bad
+from footfall.operators.devicelog import new_log_rows
+from footfall.operators.sinks import replace_partitions, replace_whole
+from footfall.operators.staging import staged
+from footfall.schemas import DEVICE_LOG, LOG_FLUSH_SECONDS
+from footfall.sources import folders
+
+_STORED = T.StructType([*DEVICE_LOG.fields, T.StructField("batch_id", T.LongType())])
+
+
+@dataclass(frozen=True)
+class DeviceLog:
+    """The log below ``root``: tables ``log`` (by log_date, batch_id) and ``rejected`` (by batch_id)."""
+
+    root: str
+
+    def _stored(self, spark: SparkSession, days: list, batch_id: int) -> DataFrame:
+        """Rows that earlier batches have stored for some days."""
+        rows = spark.createDataFrame([], _STORED)
+        for day in days:
+            path = f"{self.root}/log/log_date={day}"
+            if folders.exists(spark, path):
+                rows = rows.unionByName(spark.read.schema(_STORED).parquet(path))
+        return rows.where(F.col("batch_id") < batch_id)
+
+    def run_batch(self, messages: DataFrame, batch_id: int) -> None:
+        """Append the rows of one micro-batch whose key is new; a batch run again replaces its own."""
+        spark = messages.sparkSession
+        decoded = staged(decode_device_log(messages), "decoded")
+        replace_whole(quarantine_bad(decoded), f"{self.root}/rejected/batch_id={batch_id}")
+        rows = project_device_log(decoded).withColumn("log_date", F.to_date("TimeNow"))
+        # As many as a batch names; days, not batches, are what is listed here.
+        days = [r[0] for r in rows.select("log_date").distinct().collect()]
+        for name in folders.children(spark, f"{self.root}/log"):
+            if name.startswith("log_date="):
+                folders.remove(spark, f"{self.root}/log/{name}/batch_id={batch_id}")
+        fresh = new_log_rows(rows, self._stored(spark, days, batch_id))
+        fresh = fresh.withColumns({"log_date": F.to_date("TimeNow"), "batch_id": F.lit(batch_id).cast("long")})
+        replace_partitions(staged(fresh, "log"), f"{self.root}/log", ["log_date", "batch_id"])
+
+    def start(self, messages: DataFrame, checkpoint: str, **trigger):
+        """Run on a message stream; the trigger defaults to every few seconds."""
+        return (
+            messages.writeStream.foreachBatch(self.run_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": f"{LOG_FLUSH_SECONDS} seconds"}))
+            .start()
+        )
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The log written so far."""
+        return spark.read.schema(DEVICE_LOG).parquet(f"{self.root}/log").select(*DEVICE_LOG.names)
 
-from footfall.operators.decode import decode_device_log, project_device_log
-from footfall.operators.devicelog import LOG_KEY
-from footfall.schemas import LOG_FLUSH_SECONDS
-from footfall.streaming.visits import WATERMARK
-
-
-def device_log_stream(messages: DataFrame) -> DataFrame:
-    """Log rows of a message stream, the first of each key."""
-    rows = project_device_log(decode_device_log(messages)).drop("seq")
-    timed = rows.withColumn("event_time", F.col("TimeNow").cast("timestamp"))
-    unique = timed.withWatermark("event_time", WATERMARK).dropDuplicates([*LOG_KEY, "event_time"])
-    return unique.drop("event_time").withColumn("log_date", F.to_date("TimeNow"))
-
-
-def write_device_log(rows: DataFrame, path: str, checkpoint: str, **trigger):
-    """Append the log every few seconds, by day of sighting."""
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("log_date")
-        .trigger(**(trigger or {"processingTime": f"{LOG_FLUSH_SECONDS} seconds"}))
-        .start()
-    )
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """Text and reason of the rejected messages."""
+        schema = "seq long, value string, problem string"
+        return spark.read.schema(schema).parquet(f"{self.root}/rejected").select("seq", "value", "problem")

@@ -1,11 +1,18 @@
 """Messages to facts, state and hourly counts, one micro-batch at a time.
 
 Each micro-batch is counted by the batch operator, so hot device-days are split over tasks and
-nothing runs in Python. Every table a micro-batch writes is partitioned by ``batch_id`` first and
-written by partition overwrite: a batch that is run again after a failure replaces its own rows.
-
-Device state is a log. A batch appends the device-days it changed; every ``snapshot_every``
-batches it writes the whole kept state instead, and readers start from the last snapshot.
+nothing runs in Python. A micro-batch writes whole folders of its own, ``open/batch_id=N`` of each
+table, also when they are empty; run again after a failure it replaces them. The day by which
+rows are late or future is fixed in the first run of a batch and read in later ones.
+
+Device state is a log of the device-days each batch changed. A batch reads the state of the days
+it touches only, and keeps of it the device-days it touches, before anything is grouped.
+
+Every ``close_every`` batches the finished batches before the current one are closed: facts and
+counts go to one folder ``closed/through=N``, state to a snapshot without expired days, and their
+open folders are deleted. Readers take open folders only beyond the last finished closing, so a
+loss at any point shows no row twice. A batch opens the last snapshot and at most the open
+folders since, never a folder of all batches.
 """
 
 from __future__ import annotations
@@ -13,79 +20,149 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.functions.times import local_day
 from footfall.operators.decode import decode_sighting, project_sighting, quarantine_bad
 from footfall.operators.horizon import filter_horizon, future_drop, late_drop
-from footfall.operators.sinks import read_or_empty, replace_partitions, staged
+from footfall.operators.sinks import replace_whole
+from footfall.operators.staging import staged
 from footfall.operators.state import device_state, expire_state
 from footfall.operators.stats import flows_hourly, station_hourly, widen
 from footfall.operators.visits import count_visits, flows_from_visits
-from footfall.schemas import DEVICE_STATE, FLOW_KEY, HOUR_COLUMNS, STATION_KEY, VISIT_FACT
+from footfall.schemas import DEVICE_STATE, FLOW_KEY, HOUR_COLUMNS, STATION_KEY, VISIT_FACT, hourly_wide
+from footfall.sources import folders
 
-_BATCH = T.StructField("batch_id", T.LongType())
+_FACTS = {
+    "visits": VISIT_FACT,
+    "station_hourly": hourly_wide(STATION_KEY),
+    "flows_hourly": hourly_wide(FLOW_KEY),
+}
+_KEYS = {"station_hourly": STATION_KEY, "flows_hourly": FLOW_KEY}
 
 
 @dataclass(frozen=True)
 class Ingest:
-    """Where the tables are and how often state is written whole."""
+    """Where the tables are, which day is today, and how often batches are closed.
+
+    With ``tz_delta_hours`` a stream's rows are judged by the local day of their micro-batch's own
+    time, which the stream's offset log keeps. ``today`` gives the day instead, for rows that come
+    from elsewhere. With neither, every day is accepted.
+    """
 
     root: str
     today: Callable[[], dt.date] | None = None
-    snapshot_every: int = 50
+    tz_delta_hours: int | None = None
+    close_every: int = 50
 
     def table(self, name: str) -> str:
         """Path of one table."""
         return f"{self.root}/{name}"
 
-    def _save(self, rows: DataFrame, name: str, batch_id: int, *by: str) -> None:
-        tagged = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        replace_partitions(tagged, self.table(name), ["batch_id", *by])
-
-    def prior_state(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """State before a batch: the last snapshot and the changes logged since."""
-        schema = T.StructType([*DEVICE_STATE.fields, _BATCH])
-        snapshot = max(batch_id - 1, 0) // self.snapshot_every * self.snapshot_every
-        log = read_or_empty(spark, self.table("device_state"), schema).where(
-            F.col("batch_id").between(snapshot, batch_id - 1)
-        )
-        newest = F.max_by(F.struct("last_datetime", "station_id"), "batch_id").alias("row")
-        return log.groupBy("dev_id", "start_date").agg(newest).select(
-            "dev_id", "start_date", "row.*"
-        )
+    def _open(self, name: str, batch_id: int) -> str:
+        return f"{self.table(name)}/open/batch_id={batch_id}"
+
+    def _day(self, messages: DataFrame, batch_id: int) -> dt.date | None:
+        """The day of a batch: the one its first run has written down."""
+        spark, path = messages.sparkSession, f"{self.table('days')}/batch_id={batch_id}"
+        if folders.finished(spark, path):
+            return spark.read.schema("day date").parquet(path).first()[0]
+        if self.today is not None:
+            day = self.today()
+        elif self.tz_delta_hours is not None and "batch_time" in messages.columns:
+            first = messages.select(F.unix_timestamp("batch_time")).first()
+            if first is None:
+                return None
+            moment = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=first[0])
+            day = local_day(moment, self.tz_delta_hours)
+        else:
+            return None
+        replace_whole(spark.createDataFrame([(day,)], "day date"), path)
+        return day
+
+    def _read(self, spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
+        """Rows of some folders; no others are listed."""
+        if not paths:
+            return spark.createDataFrame([], schema)
+        one = spark.read.schema(schema)
+        return reduce(DataFrame.unionByName, [one.parquet(path) for path in paths])
+
+    def state(self, spark: SparkSession, batch_id: int, touched: DataFrame | None = None) -> DataFrame:
+        """State before a batch: the last snapshot and the changes logged since.
+
+        ``touched`` (dev_id, start_date) keeps only those device-days: its days prune the
+        folders' partitions, and the rows are filtered by a semi join before they are grouped.
+        """
+        snapshots = self.table("device_state") + "/snapshot"
+        known = [n for n in folders.numbers(spark, snapshots) if n < batch_id]
+        last = known[-1] if known else -1
+        paths = [f"{snapshots}/batch_id={last}"] if known else []
+        paths += [self._open("device_state", n) for n in range(last + 1, batch_id)]
+        paths = [path for path in paths if folders.exists(spark, path)]
+        days = None if touched is None else [r[0] for r in touched.select("start_date").distinct().collect()]
+        log = spark.createDataFrame([], T.StructType([*DEVICE_STATE.fields, T.StructField("place", T.IntegerType())]))
+        for place, path in enumerate(paths):
+            rows = spark.read.schema(DEVICE_STATE).parquet(path)
+            rows = rows if days is None else rows.where(F.col("start_date").isin(days))
+            log = log.unionByName(rows.withColumn("place", F.lit(place)))
+        if touched is not None:
+            log = log.join(touched, ["dev_id", "start_date"], "left_semi")
+        newest = F.max_by(F.struct("last_datetime", "station_id"), "place").alias("row")
+        return log.groupBy("dev_id", "start_date").agg(newest).select("dev_id", "start_date", "row.*")
 
     def run_batch(self, messages: DataFrame, batch_id: int) -> None:
         """Count one micro-batch of (seq, value) messages."""
         spark = messages.sparkSession
-        decoded = staged(decode_sighting(messages), "decoded")
-        self._save(quarantine_bad(decoded), "rejected", batch_id)
+        today = self._day(messages, batch_id)
+        decoded = staged(decode_sighting(messages.select("seq", "value")), "decoded")
+        replace_whole(quarantine_bad(decoded), f"{self.table('rejected')}/batch_id={batch_id}")
         sightings = project_sighting(decoded)
-        today = self.today() if self.today else None
         if today is not None:
             dropped = late_drop(sightings, today).unionByName(future_drop(sightings, today))
-            self._save(dropped, "dropped", batch_id)
+            replace_whole(dropped, f"{self.table('dropped')}/batch_id={batch_id}")
             sightings = filter_horizon(sightings, today)
 
-        prior = self.prior_state(spark, batch_id)
-        self._save(count_visits(sightings, prior), "visits", batch_id, "stat_date")
-        visits = self.visits(spark, batch_id)
+        touched = sightings.select("dev_id", F.col("event_date").alias("start_date")).distinct()
+        prior = self.state(spark, batch_id, staged(touched, "touched"))
+        replace_whole(count_visits(sightings, prior), self._open("visits", batch_id), ["stat_date"])
+        visits = self._read(spark, VISIT_FACT, [self._open("visits", batch_id)])
         stations = widen(station_hourly(visits), STATION_KEY)
         flows = widen(flows_hourly(flows_from_visits(visits)), FLOW_KEY)
-        self._save(stations, "station_hourly", batch_id, "stat_date")
-        self._save(flows, "flows_hourly", batch_id, "stat_date")
-
-        if batch_id % self.snapshot_every == 0:
-            state = device_state(visits, prior)
-            state = state if today is None else expire_state(state, today)
-        else:
-            state = device_state(visits)
-        self._save(state, "device_state", batch_id)
+        replace_whole(stations, self._open("station_hourly", batch_id), ["stat_date"])
+        replace_whole(flows, self._open("flows_hourly", batch_id), ["stat_date"])
+        replace_whole(device_state(visits), self._open("device_state", batch_id), ["start_date"])
+        if batch_id and batch_id % self.close_every == 0:
+            self.close(spark, batch_id - 1, today)
+
+    def close(self, spark: SparkSession, through: int, today: dt.date | None = None) -> None:
+        """Gather the batches up to ``through``, which are all finished, and delete their folders."""
+        for name, schema in _FACTS.items():
+            target = f"{self.table(name)}/closed/through={through}"
+            if not folders.finished(spark, target):
+                rows = self._read(spark, schema, self._paths(spark, name, through)[1])
+                rows = rows if name == "visits" else self._added(rows, _KEYS[name])
+                replace_whole(rows, target, ["stat_date"])
+        snapshots = self.table("device_state") + "/snapshot"
+        target = f"{snapshots}/batch_id={through}"
+        if not folders.finished(spark, target):
+            state = self.state(spark, through + 1)
+            replace_whole(state if today is None else expire_state(state, today), target, ["start_date"])
+        for name in [*_FACTS, "device_state"]:
+            for batch in folders.numbers(spark, f"{self.table(name)}/open"):
+                if batch <= through:
+                    folders.remove(spark, self._open(name, batch))
+        for batch in folders.numbers(spark, snapshots):
+            if batch < through:
+                folders.remove(spark, f"{snapshots}/batch_id={batch}")
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger):
         """Run on a message stream; the trigger defaults to every three seconds."""
+        if self.tz_delta_hours is not None:
+            messages = messages.withColumn("batch_time", F.current_timestamp())
         return (
             messages.writeStream.foreachBatch(self.run_batch)
             .option("checkpointLocation", checkpoint)
@@ -93,15 +170,25 @@ class Ingest:
             .start()
         )
 
-    def visits(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """Visit facts written so far, or those of one micro-batch."""
-        schema = T.StructType([*VISIT_FACT.fields, _BATCH])
-        facts = read_or_empty(spark, self.table("visits"), schema)
-        if batch_id is not None:
-            facts = facts.where(F.col("batch_id") == batch_id)
-        return facts.drop("batch_id")
-
-    def hourly(self, spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
-        """Hourly counts: the per-batch rows, a few per key and day, added up."""
-        table = spark.read.parquet(self.table(name))
-        return table.groupBy(*keys, "stat_date").agg(*[F.sum(c).alias(c) for c in HOUR_COLUMNS])
+    def _paths(self, spark: SparkSession, name: str, through: int | None = None) -> tuple[list[str], list[str]]:
+        """The closed folders, and the open ones beyond them."""
+        closed = folders.numbers(spark, f"{self.table(name)}/closed")
+        beyond = [
+            n
+            for n in folders.numbers(spark, f"{self.table(name)}/open")
+            if n > max(closed, default=-1) and (through is None or n <= through)
+        ]
+        return [f"{self.table(name)}/closed/through={n}" for n in closed], [self._open(name, n) for n in beyond]
+
+    @staticmethod
+    def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys, "stat_date").agg(*[F.sum(c).alias(c) for c in HOUR_COLUMNS])
+
+    def visits(self, spark: SparkSession) -> DataFrame:
+        """Visit facts written so far."""
+        return self._read(spark, VISIT_FACT, sum(self._paths(spark, "visits"), []))
+
+    def hourly(self, spark: SparkSession, name: str) -> DataFrame:
+        """Hourly counts: the rows of each closing and open batch, a few per key and day, added up."""
+        rows = self._read(spark, _FACTS[name], sum(self._paths(spark, name), []))
+        return self._added(rows, _KEYS[name])

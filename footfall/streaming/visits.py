@@ -8,21 +8,27 @@ late sighting at another station counts and moves the last counted time back.
 A device-day has few sightings in a micro-batch, so rows are handed to Python as they are: a
 pandas frame per device-day costs several times more than the counting. One device-day's share
 of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
-admission limit of the source (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``), never by the
-length of the stream. Catching up on a long backlog is a batch job: ``streaming.ingest`` counts
+admission limit of the source, which is on by default, never by the length of the stream.
+
+Rows are judged by the day of their micro-batch before the watermark sees them (``accepted``): a
+bad clock can't move it, and what it would drop has gone to the side table (``dropped``) before.
+Catching up on a long backlog is a batch job: ``streaming.ingest`` counts
 each micro-batch with the batch operator, which splits hot device-days.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from footfall.functions.times import hour_of
+from footfall.operators.horizon import judged
 from footfall.schemas import DEVICE_DAY, GAP_MINUTES, KEEP_DAYS_AHEAD, KEEP_DAYS_BACK
 
 # An accepted sighting is never older than this below the newest accepted one.
@@ -107,12 +113,24 @@ def from_epoch_seconds(seconds: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
+def accepted(sightings: DataFrame, today: Column) -> DataFrame:
+    """Sightings of a stream whose event date is accepted on the day they are judged by."""
+    return judged(sightings, today).where(F.col("reason").isNull()).drop("reason")
+
+
+def dropped(sightings: DataFrame, today: Column) -> DataFrame:
+    """The complement, with the reason."""
+    return judged(sightings, today).where(F.col("reason").isNotNull())
+
+
 def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Visit facts of a stream of accepted sightings, in append mode.
 
     The state store must be RocksDB; a session that names another one gets it set here.
     """
     sightings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
+    # The counter travels with the query, so that workers need not have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     keyed = (
         sightings.select(*DEVICE_DAY, "station_id", "event_ts", "seq")
         .withColumn("event_s", epoch_seconds(F.col("event_ts")))
@@ -139,14 +157,14 @@ def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) ->
     )
 
 
-def write_facts(facts: DataFrame, path: str, checkpoint: str, **trigger):
-    """Append visit facts to a parquet table, exactly once, by day."""
+def write_facts(facts: DataFrame, path: str, checkpoint: str, by: str = "stat_date", **trigger):
+    """Append rows of a stream to a parquet table, exactly once, by day (or another column)."""
     return (
         facts.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("stat_date")
+        .partitionBy(by)
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
         .start()
     )

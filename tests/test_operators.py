@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions import times
-from footfall.operators import decode, devicelog, grid, horizon, monthly, skew, state, stats
+from footfall.operators import decode, devicelog, grid, horizon, monthly, sinks, skew, state, stats
 from footfall.plans.refresh import grid_days
 from footfall.schemas import (
     DEVICE_LOG,
@@ -21,9 +21,9 @@ from footfall.streaming.visits import epoch_seconds, from_epoch_seconds
 
 D = dt.date
 GOOD = {
-    "sensorID": "00027", "sensorType": "platform", "stationID": "station-3",
-    "deviceID": "02:1E:31:79:E6:E5", "power": -86, "dsStatus": 2,
-    "datetime": "2018-05-29 10:40:15",
+    "sensorID": "0419", "sensorType": "door", "stationID": "harbour-east",
+    "deviceID": "device-0b1c", "power": -41, "dsStatus": 3,
+    "datetime": "2021-11-07 06:05:09",
 }
 
 
@@ -35,7 +35,7 @@ def changed(**fields):
 SIGHTING_CASES = [
     (json.dumps(GOOD), None),
     (changed(extra={"stationID": 5}), None),
-    (changed(power=-86.0), None),
+    (changed(power=-41.0), None),
     (changed(sensorID="gate"), None),
     ("{", "not_json"),
     ("", "not_json"),
@@ -43,26 +43,30 @@ SIGHTING_CASES = [
     ("[1, 2]", "bad_field"),
     ("7", "bad_field"),
     ("{}", "bad_field"),
-    (changed(stationID=28), "bad_field"),
+    (changed(stationID=5), "bad_field"),
     (changed(stationID=None), "bad_field"),
     (changed(stationID={"id": "x"}), "bad_field"),
     (changed(deviceID="absent"), "bad_field"),
-    (changed(power="-86"), "bad_field"),
+    (changed(power="-41"), None),
+    (changed(power="-41.0"), None),
+    (changed(power=" -41"), "bad_field"),
+    (json.dumps(GOOD)[:-1] + ', "power": -7}', None),
+    (json.dumps(GOOD) + " x", "not_json"),
     (changed(power="loud"), "bad_field"),
     (changed(power=1.5), "bad_field"),
     (changed(power=True), "bad_field"),
     (changed(dsStatus=99999999999), "bad_field"),
-    (changed(datetime="2018-05-29T10:40:15"), "bad_datetime"),
-    (changed(datetime="2018-05-29 10:40"), "bad_datetime"),
-    (changed(datetime="2018-02-30 10:40:15"), "bad_datetime"),
-    (changed(datetime="2018-05-29 24:00:00"), "bad_datetime"),
+    (changed(datetime="2021-11-07T06:05:09"), "bad_datetime"),
+    (changed(datetime="2021-11-07 06:05"), "bad_datetime"),
+    (changed(datetime="2021-02-30 06:05:09"), "bad_datetime"),
+    (changed(datetime="2021-11-07 24:00:00"), "bad_datetime"),
 ]
 LOG_CASES = [
-    (changed(sensorID="2804", stationName="Florya"), None),
-    (changed(sensorID="2804"), None),
-    (changed(sensorID="2804", stationName=None), None),
+    (changed(sensorID="518", stationName="Harbour"), None),
+    (changed(sensorID="518"), None),
+    (changed(sensorID="518", stationName=None), None),
     (changed(sensorID="-7"), None),
-    (changed(sensorID="2804", stationName=5), "bad_field"),
+    (changed(sensorID="518", stationName=5), "bad_field"),
     (changed(sensorID="gate-7"), "bad_sensor"),
     (changed(sensorID="7.0"), "bad_sensor"),
     (changed(sensorID="99999999999"), "bad_sensor"),
@@ -83,14 +87,14 @@ def test_decode(spark, read, cases):
 
 
 def test_decoded_values(spark):
-    messages = spark.createDataFrame([(1, json.dumps(GOOD)), (2, changed(sensorID="2804"))], MESSAGE)
+    messages = spark.createDataFrame([(1, json.dumps(GOOD)), (2, changed(sensorID="518"))], MESSAGE)
     row = decode.project_sighting(decode.decode_sighting(messages)).where("seq = 1").collect()[0]
     assert row.asDict() == {
-        "seq": 1, "sensor_id": "00027", "station_id": "station-3", "dev_id": "02:1E:31:79:E6:E5",
-        "event_ts": dt.datetime(2018, 5, 29, 10, 40, 15), "event_date": D(2018, 5, 29),
+        "seq": 1, "sensor_id": "0419", "station_id": "harbour-east", "dev_id": "device-0b1c",
+        "event_ts": dt.datetime(2021, 11, 7, 6, 5, 9), "event_date": D(2021, 11, 7),
     }
     logs = decode.project_device_log(decode.decode_device_log(messages)).orderBy("seq").collect()
-    assert [(r.SensorId, r.Rssi) for r in logs] == [(27, -86), (2804, -86)]
+    assert [(r.SensorId, r.Rssi) for r in logs] == [(419, -41), (518, -41)]
 
 
 def test_parsing_happens_once_per_message(spark):
@@ -232,7 +236,7 @@ def test_horizon_and_expiry(spark):
 
 
 def test_device_log_keeps_the_first_of_equal_keys(spark):
-    t = dt.datetime(2018, 9, 3, 11, 43, 45)
+    t = dt.datetime(2021, 6, 8, 17, 2, 33)
     rows = [(3, 7, "m", -1, t), (1, 7, "m", -20, t), (2, 8, "m", None, t), (9, 8, "m", 5, t)]
     log = spark.createDataFrame(rows, "seq long, SensorId int, Mac string, Rssi byte, TimeNow timestamp_ntz")
     got = {(r.SensorId, r.Rssi) for r in devicelog.dedup_device_log(log).collect()}
@@ -241,15 +245,45 @@ def test_device_log_keeps_the_first_of_equal_keys(spark):
     assert [r.SensorId for r in devicelog.new_log_rows(log, stored).collect()] == [8]
 
 
-def test_hot_device_days_are_found_and_bounded(spark):
-    """One device-day has a third of all rows; thousands of others share the rest."""
-    rows = spark.range(300_000).select(
-        F.when(F.col("id") < 100_000, "hot").otherwise(
-            F.concat(F.lit("d"), (F.col("id") % 20_000).cast("string"))
-        ).alias("dev_id"),
-        F.lit(D(2018, 1, 1)).alias("event_date"),
-    )
-    hot = skew.find_hot_device_days(rows, 50_000)
-    want = rows.where("dev_id = 'hot'").select(skew.device_day_hash()).first()[0]
-    assert hot == [want]
-    assert skew.find_hot_device_days(rows, 10**6) == []
+def test_hot_device_days_are_found_exactly(spark):
+    """Two million small device-days, and two hundred of just enough rows, many in one bucket of 64."""
+    small = spark.range(2_000_000).select(F.concat(F.lit("s"), "id").alias("dev_id"))
+    hot = spark.range(200 * 60).select(F.concat(F.lit("h"), (F.col("id") % 200).cast("string")).alias("dev_id"))
+    less = spark.range(50 * 59).select(F.concat(F.lit("l"), (F.col("id") % 50).cast("string")).alias("dev_id"))
+    rows = small.union(hot).union(less).withColumn("event_date", F.lit(D(2018, 1, 1)))
+    found = {r.day_key: r["rows"] for r in skew.find_hot_device_days(rows, 60).collect()}
+    want = hot.distinct().withColumn("event_date", F.lit(D(2018, 1, 1))).select(skew.device_day_hash())
+    assert found == {r[0]: 60 for r in want.collect()}
+    assert skew.find_hot_device_days(rows, 61).isEmpty()
+
+
+def test_grid_of_many_stations_is_written_by_several_tasks(spark, tmp_path):
+    stations = spark.range(400).select(F.concat(F.lit("st"), "id").alias("station_id"))
+    day = D(2018, 1, 1)
+    pairs = grid.flow_grid(stations, [day])
+    assert pairs.count() == pairs.distinct().count() == 400 * 399
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")  # at which these few rows are many
+    grid.zero_rows(pairs).repartition(8).write.parquet(f"{tmp_path}/rows")  # eight tasks have rows
+    sinks.append_rows(spark.read.parquet(f"{tmp_path}/rows"), f"{tmp_path}/flows", ["stat_date"])
+    spark.conf.set(size, before)
+    table = spark.read.schema(hourly_wide(FLOW_KEY)).parquet(f"{tmp_path}/flows")
+    assert table.count() == 400 * 399
+    assert len(list((tmp_path / "flows" / "stat_date=2018-01-01").glob("part-*"))) > 3
+
+
+def test_hourly_counts_are_added_once(spark, tmp_path):
+    def rows(key, day, n):
+        data = [(key, day, *[n if h == 3 else 0 for h in range(24)])]
+        return spark.createDataFrame(data, hourly_wide(STATION_KEY))
+
+    path, one, two = f"{tmp_path}/hourly", D(2018, 1, 1), D(2018, 1, 2)
+    sinks.add_hourly(rows("a", one, 5), path, STATION_KEY, 0)
+    both = rows("a", one, 2).unionByName(rows("b", two, 4))
+    # The first run was lost after the first day's partition.
+    sinks.add_hourly(rows("a", one, 2), path, STATION_KEY, 1)
+    for _ in range(2):
+        sinks.add_hourly(both, path, STATION_KEY, 1)
+    table = spark.read.schema(hourly_wide(STATION_KEY)).parquet(path)
+    assert {(r.station_id, r.stat_date, r.hour_03) for r in table.collect()} == {("a", one, 7), ("b", two, 4)}

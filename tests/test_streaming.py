@@ -1,15 +1,28 @@
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
+import pytest
+from compare import TESTDATA
 from fold import as_set, as_sightings, as_state, at, fold_visits
+from pyspark.sql import functions as F
 from test_visits import random_sightings
 
+from footfall.operators.horizon import batch_day
 from footfall.operators.state import device_state
 from footfall.operators.visits import count_visits
-from footfall.schemas import MESSAGE, SIGHTING, STATION_KEY, VISIT_FACT
+from footfall.plans import registry
+from footfall.schemas import MESSAGE, SIGHTING, VISIT_FACT
+from footfall.sources import folders
 from footfall.sources.messages import message_file_stream
+from footfall.streaming.devicelog import DeviceLog
 from footfall.streaming.ingest import Ingest
-from footfall.streaming.visits import count_visits_stream, write_facts
+from footfall.streaming.visits import accepted, count_visits_stream, dropped, write_facts
+
+ROOT = Path(__file__).resolve().parent.parent
 
 
 def land(spark, rows, path, part, make):
@@ -64,7 +77,7 @@ def messages(spark, rows):
 def test_ingest_batches_are_repeatable(spark, tmp_path):
     """Three micro-batches with a snapshot every two; the last one is run a second time."""
     rows = random_sightings(23, ["x", "x", "y"], "AAB", 900, 86_400)
-    job = Ingest(str(tmp_path), snapshot_every=2)
+    job = Ingest(str(tmp_path), close_every=2)
     state, want = {}, set()
     for batch in range(3):
         chunk = rows[batch * 300 : (batch + 1) * 300]
@@ -74,9 +87,9 @@ def test_ingest_batches_are_repeatable(spark, tmp_path):
     job.run_batch(messages(spark, rows[600:]), 2)
     assert as_set(job.visits(spark)) == want
     stored = {(r.dev_id, r.start_date): (r.last_datetime, r.station_id)
-              for r in job.prior_state(spark, 3).collect()}
+              for r in job.state(spark, 3).collect()}
     assert stored == state
-    total = job.hourly(spark, "station_hourly", STATION_KEY).selectExpr(
+    total = job.hourly(spark, "station_hourly").selectExpr(
         "sum(" + "+".join(f"hour_{h:02d}" for h in range(24)) + ") as n"
     ).collect()[0].n
     assert total == len(want)
@@ -113,13 +126,13 @@ def test_state_after_batch(spark):
 
 
 def test_state_is_cleared_once_its_day_is_over(spark, tmp_path):
-    """Ten days later the first day's state is gone; its sightings are no longer accepted."""
+    """Ten days later the first day's state is gone."""
     later = dt.timedelta(days=10)
     parts = [
         [(1, "A", "x", at("10:00")), (2, "A", "y", at("11:00"))],
         [(3, "A", "x", at("10:00") + later)],
         [(4, "B", "x", at("10:05") + later)],
-        [(5, "B", "x", at("12:00")), (6, "A", "x", at("10:10") + later)],
+        [(6, "A", "x", at("10:10") + later)],
     ]
     source, progress = f"{tmp_path}/in", []
     for part, rows in enumerate(parts):
@@ -136,3 +149,133 @@ def test_state_is_cleared_once_its_day_is_over(spark, tmp_path):
         (1, "first"), (2, "first"), (3, "first"), (4, "move"), (6, "move"),
     }
     assert progress[-1] < max(progress)
+
+
+def test_a_bad_clock_does_not_stop_the_stream(spark, tmp_path):
+    """Rows from far ahead and long ago go to the side table; all others count, in every batch."""
+    today = at("00:00").date()
+    rows = [
+        [(1, "A", "x", at("10:00")), (2, "A", "x", at("10:00") + dt.timedelta(days=2500))],
+        [(3, "A", "y", at("10:00")), (4, "A", "x", at("10:00") - dt.timedelta(days=10))],
+        [(5, "B", "y", at("10:00") - dt.timedelta(days=2)), (6, "B", "x", at("09:00") + dt.timedelta(days=1))],
+    ]
+    source = f"{tmp_path}/in"
+    for part, some in enumerate(rows):
+        land(spark, some, source, part, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(source)
+        day = F.lit(today)
+        counted = count_visits_stream(accepted(stream, day))
+        write_facts(counted, f"{tmp_path}/facts", f"{tmp_path}/c1", availableNow=True).awaitTermination()
+        aside = dropped(stream, day)
+        write_facts(aside, f"{tmp_path}/aside", f"{tmp_path}/c2", by="reason", availableNow=True).awaitTermination()
+    facts = spark.read.schema(VISIT_FACT).parquet(f"{tmp_path}/facts").collect()
+    assert {r.seq for r in facts} == {1, 3, 5, 6}
+    aside = spark.read.parquet(f"{tmp_path}/aside").collect()
+    assert {(r.seq, r.reason) for r in aside} == {(2, "future"), (4, "late")}
+
+
+def test_batch_day_is_the_local_day(spark):
+    row = spark.range(1).select(
+        batch_day(0).alias("day"), batch_day(24).alias("next"), F.unix_timestamp(F.current_timestamp()).alias("now")
+    ).first()
+    assert row.day == dt.datetime.fromtimestamp(row.now, dt.timezone.utc).date()
+    assert row.next == row.day + dt.timedelta(days=1)
+
+
+@pytest.mark.parametrize("files", [3, 8])
+def test_microbatches_do_not_depend_on_files(spark, tmp_path, files):
+    events = spark.read.parquet(f"{TESTDATA}/sf0.001/events.parquet")
+    events.repartition(files).write.parquet(f"{tmp_path}/events.parquet")
+    names = [f.name for f in (tmp_path / "events.parquet").iterdir() if f.name.startswith("part")]
+    assert len(names) == files
+    queries = registry.queries()
+    want = queries["count_visits_dense"](spark, f"{TESTDATA}/sf0.001")
+    got = queries["st_microbatch"](spark, str(tmp_path)).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def stored(spark, job):
+    tables = {"visits": job.visits(spark), "state": job.state(spark, 9)}
+    tables |= {n: job.hourly(spark, n) for n in ("station_hourly", "flows_hourly")}
+    tables |= {n: spark.read.parquet(job.table(n)).drop("batch_id") for n in ("dropped", "rejected")}
+    return {n: sorted(map(str, t.collect())) for n, t in tables.items()}
+
+
+def test_a_batch_run_again_on_another_day_changes_nothing(spark, tmp_path):
+    rows = random_sightings(25, ["x", "y"], "AB", 200, 5 * 86_400)
+    days = iter([at("00:00").date(), at("00:00").date() + dt.timedelta(days=1)] * 9)
+    once = Ingest(f"{tmp_path}/once", today=lambda: at("00:00").date())
+    twice = Ingest(f"{tmp_path}/twice", today=lambda: next(days))
+    once.run_batch(messages(spark, rows), 0)
+    for _ in range(2):
+        twice.run_batch(messages(spark, rows), 0)
+    assert stored(spark, twice) == stored(spark, once)
+
+
+def test_a_batch_replaces_all_it_wrote(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    job.run_batch(messages(spark, [(1, "A", "x", at("10:00"))]), 0)
+    job.run_batch(messages(spark, []), 0)
+    assert job.visits(spark).isEmpty() and job.state(spark, 1).isEmpty()
+
+
+def test_closing_keeps_every_row_once(spark, tmp_path):
+    rows = random_sightings(26, ["x", "y", "z"], "AB", 240, 86_400)
+    plain, closing = Ingest(f"{tmp_path}/a", close_every=99), Ingest(f"{tmp_path}/b", close_every=2)
+    for batch in range(6):
+        for job in (plain, closing):
+            job.run_batch(messages(spark, rows[batch * 40 : batch * 40 + 40]), batch)
+            if job is closing and batch == 4:  # a loss after the closing, before the commit
+                job.run_batch(messages(spark, rows[batch * 40 : batch * 40 + 40]), batch)
+    for make in (lambda j: j.visits(spark), lambda j: j.state(spark, 6), lambda j: j.hourly(spark, "flows_hourly")):
+        assert sorted(map(str, make(closing).collect())) == sorted(map(str, make(plain).collect()))
+    assert folders.numbers(spark, closing.table("device_state") + "/open") == [4, 5]
+    assert folders.numbers(spark, closing.table("device_state") + "/snapshot") == [3]
+    assert folders.numbers(spark, closing.table("visits") + "/closed") == [1, 3]
+
+
+def test_state_is_filtered_before_it_is_grouped(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    job.run_batch(messages(spark, [(i, "A", f"d{i}", at("10:00") + dt.timedelta(days=i % 3)) for i in range(30)]), 0)
+    touched = spark.createDataFrame([("d3", at("10:00").date())], "dev_id string, start_date date")
+    rows = job.state(spark, 1, touched)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert "start_date" in rows._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
+
+
+LOG_FIELDS = {"sensorType": "gate", "stationID": "A", "power": -3, "dsStatus": 1}
+
+
+def log_messages(spark, rows):
+    bodies = [
+        (seq, json.dumps({**LOG_FIELDS, "sensorID": sensor, "deviceID": "m", "datetime": when}))
+        for seq, sensor, when in rows
+    ]
+    return spark.createDataFrame(bodies, MESSAGE)
+
+
+def test_device_log_keeps_every_row_once(spark, tmp_path):
+    job = DeviceLog(str(tmp_path))
+    first = log_messages(spark, [(1, "7", "2024-05-01 10:00:00"), (2, "8", "2031-01-01 00:00:00"), (3, "x", "2024-05-01 10:00:00")])
+    second = log_messages(spark, [(4, "7", "2024-05-01 10:00:00"), (5, "9", "2024-04-01 10:00:00"), (6, "9", "2024-04-01 10:00:00")])
+    job.run_batch(first, 0)
+    for _ in range(2):
+        job.run_batch(second, 1)
+    assert sorted((r.SensorId, r.TimeNow.year) for r in job.rows(spark).collect()) == [(7, 2024), (8, 2031), (9, 2024)]
+    assert [(r.seq, r.problem) for r in job.rejected(spark).collect()] == [(3, "bad_sensor")]
+
+
+def test_package_reaches_workers_from_another_folder(tmp_path):
+    """A session started elsewhere, with nothing on the workers' path, runs batch and stream."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as entry
+from footfall.session import local_session
+spark = local_session("2", "elsewhere", "2g")
+print("rows", entry.queries()["st_visits"](spark, "{TESTDATA}/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert "rows " in run.stdout, run.stderr[-2000:]
