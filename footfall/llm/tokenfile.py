@@ -9,27 +9,30 @@ holds the ids of some consecutive documents:
     offsets         the first word of every block of 1024 ids, and the end
     words           the packed 64-bit words, little-endian
 
-A chunk ends with the document that brings it to CHUNK_IDS ids, so a document is never cut.
+A chunk has about CHUNK_IDS ids at most and ends with a document, so a document is never cut.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.simple8b import pack, unpack
+from footfall.llm.text import LOWER, chunks
 
 CHUNK_IDS = 1 << 18
 #: Words whose ids a worker keeps in each of two generations.
-KEPT_WORDS = 250_000
-#: Texts whose unknown words are encoded in one call.
-TEXTS = 64
+KEPT_WORDS = 600_000
+#: Bytes of text that are encoded together, unless a single text is longer.
+SLICE_BYTES = 1 << 22
 
 FILE = (
     "part int, chunk int, first long, n_ids long, doc_ids array<long>, counts array<int>, "
@@ -37,62 +40,128 @@ FILE = (
 )
 
 
+#: Letters below this code point are composed by themselves, so that a word of them is one piece.
+_SIMPLE_BELOW = "\u0250"
+_MARKS = ".,!?;:"
+#: Bytes, with a space for each tab and line end.
+_SPACED = np.arange(256, dtype=np.uint8)
+_SPACED[[9, 10, 13]] = 32
+
+
+def _simple(word: str) -> bool:
+    """Lower-case letters only, none of them with accents that stand apart."""
+    return word.isalpha() and word.islower() and (word.isascii() or max(word) < _SIMPLE_BELOW)
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library; the ids of a word between white space are kept.
 
     The vocabulary splits at white space, so a text's ids are those of its words one after another.
+    Words are split and numbered by Arrow, and each different word of a slice is looked up once.
+    Unknown words are encoded in one call. Words of lower-case letters are one piece each and end
+    with a vocabulary string that ends a word; the library is spared the patterns that would find
+    that out. Other words are encoded with a special token between them: special tokens are cut
+    out before anything else.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        spec = json.loads(vocabulary)
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.cut_id, self.cut = min((t["id"], t["content"]) for t in spec["added_tokens"] if t["special"])
+        suffix, ids = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+        self.last = np.zeros(max(ids.values()) + 1, dtype=bool)
+        self.last[[number for string, number in ids.items() if string.endswith(suffix)]] = True
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        split = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}
+        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": split}))
+        self.marks = {mark: self._ids(self.tokenizer, mark).tobytes() for mark in _MARKS}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype="<u4")
+
+    @staticmethod
+    def _cut_up(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+
+    def _learn(self, words: list[str]) -> None:
+        """Make words known that are not."""
+        old, letters, others, marked = self.old, {}, {}, []
+        for word in words:
+            known = old.get(word)
+            if known is not None:
+                self.young[word] = known
+            elif _simple(word):
+                letters[word] = None
+            elif word[-1:] in self.marks and _simple(word[:-1]):
+                # Letters and a mark are two pieces, so their ids stand side by side.
+                marked.append(word)
+                if word[:-1] not in self.young:
+                    letters[word[:-1]] = None
+            elif "<|" in word or not word:
+                self.young[word] = self._ids(self.tokenizer, word).tobytes()
+            else:
+                others[word] = None
+        if letters:
+            ids = self._ids(self.letters, " ".join(letters))
+            ends = np.flatnonzero(self.last[ids]) + 1
+            found = self._cut_up(ids, np.concatenate([[0], ends[:-1]]), ends)
+            self.young.update(zip(letters, found, strict=True))
+        if others:
+            ids = self._ids(self.tokenizer, self.cut.join(others))
+            cuts = np.flatnonzero(ids == self.cut_id)
+            found = self._cut_up(ids, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]]))
+            self.young.update(zip(others, found, strict=True))
+        self.young.update((word, self.young[word[:-1]] + self.marks[word[-1]]) for word in marked)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a chunk one after another, first id of each text and the end)."""
+        # Lower-casing, which the vocabulary does itself, makes more words alike. It must not come
+        # before accents are composed, or make a special token of a string like "<|...|>". White
+        # space other than this stays inside words, where the library finds it.
+        odd = data >= 0xCC
+        odd[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+        lowered = LOWER[_SPACED][data]
+        if odd.any():
+            seen = np.concatenate([[0], np.cumsum(odd)])[offsets]
+            keep_case = np.repeat(np.diff(seen) > 0, np.diff(offsets))
+            lowered = np.where(keep_case, _SPACED[data], lowered)
+        buffers = [pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(lowered)]
+        lists = pc.split_pattern(pa.LargeStringArray.from_buffers(len(offsets) - 1, *buffers), " ")
+        words = lists.flatten().dictionary_encode()
+        different = words.dictionary.to_pylist()
         if len(self.young) >= KEPT_WORDS:
             self.old, self.young = self.young, {}
-        words = []
-        for text in texts:
-            if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # only Python splits at these
-                words.append(None)
-            else:
-                # Lower-casing makes more words alike; only strings like "<|...|>" depend on case.
-                words.append((text.lower() if text.isascii() and "<|" not in text else text).split())
-        young, fresh = self.young, []
-        for word in {w for own in words if own for w in own}.difference(young):
-            known = self.old.get(word)
-            if known is None:
-                fresh.append(word)
-            else:
-                young[word] = known
-        young.update(zip(fresh, self._bytes(fresh)))
-        out = [b"" if own is None else b"".join(map(young.__getitem__, own)) for own in words]
-        for i, own in enumerate(words):
-            if own is None:
-                out[i] = self._bytes([texts[i]])[0]
-        return out
+        self._learn([word for word in different if word not in self.young])
+        known = list(map(self.young.__getitem__, different))
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        index = words.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[index])])
+        places = np.arange(ends[-1]) + np.repeat(first[index] - ends[:-1], sizes[index])
+        offsets = lists.offsets.to_numpy()
+        return flat[places], ends[offsets - offsets[0]]
 
 
 _encoders: dict[int, WordEncoder] = {}
 
 
-def _chunk(part: int, chunk: int, first: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
-    values = np.frombuffer(b"".join(ids), dtype="<u4")
-    words, offsets = pack(values)
+def _chunk(part: int, chunk: int, first: int, doc_ids: pa.Array, counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    words, offsets = pack(ids)
     columns = [
         pa.array([part], pa.int32()), pa.array([chunk], pa.int32()), pa.array([first], pa.int64()),
-        pa.array([len(values)], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
-        pa.array([[len(x) // 4 for x in ids]], pa.list_(pa.int32())),
+        pa.array([len(ids)], pa.int64()), pa.ListArray.from_arrays([0, len(doc_ids)], doc_ids),
+        pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
         pa.array([offsets.astype(np.int32)], pa.list_(pa.int32())),
         pa.array([words.astype("<u8").tobytes()], pa.binary()),
     ]
@@ -108,30 +177,27 @@ def write_token_file(docs: DataFrame, vocabulary_file: str, path: str, end_id: i
     """
     with open(vocabulary_file, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
         key = hash(vocabulary.value)
         if key not in _encoders:
             _encoders.clear()
             _encoders[key] = WordEncoder(vocabulary.value)
-        encoder = _encoders[key]
-        part, chunk, first = TaskContext.get().partitionId(), 0, 0
-        doc_ids, ids, size = [], [], 0
+        part, chunk, written = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(at, TEXTS)
-                texts = [x or "" for x in some.column("text").to_pylist()]
-                for doc_id, found in zip(some.column("doc_id").to_pylist(), encoder.encode(texts)):
-                    doc_ids.append(doc_id)
-                    ids.append(found + end)
-                    size += len(found) // 4 + 1
-                    if size >= CHUNK_IDS:
-                        yield _chunk(part, chunk, first, doc_ids, ids)
-                        chunk, first = chunk + 1, first + size
-                        doc_ids, ids, size = [], [], 0
-        if ids:
-            yield _chunk(part, chunk, first, doc_ids, ids)
+            for first, data, offsets in chunks(batch.column("text"), SLICE_BYTES):
+                some = batch.slice(first, len(offsets) - 1)
+                ids, starts = _encoders[key].encode(data, offsets)
+                ids = np.insert(ids, starts[1:], end_id)
+                starts = starts + np.arange(len(starts))
+                # A chunk ends with the text that fills it; the last one of a slice may be short.
+                filled = np.flatnonzero(np.diff(starts // CHUNK_IDS)) + 1
+                edges = np.unique(np.concatenate([[0], filled, [len(starts) - 1]]))
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                    own = ids[starts[a] : starts[b]]
+                    doc_ids = some.column("doc_id").slice(a, b - a)
+                    yield _chunk(part, chunk, written, doc_ids, np.diff(starts[a : b + 1]), own)
+                    chunk, written = chunk + 1, written + len(own)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = ["doc_id", "tie"]
