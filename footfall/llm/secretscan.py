@@ -48,7 +48,7 @@ ALLOWED = [
     rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     rb"[0-9]{4}-[0-9]{2}-[0-9]{2}([T_][0-9.+-]*)?",
     rb"[0-9.+=/_-]+",
-    rb"/?([A-Za-z]*[0-9]{0,4}[/._=-]+)+[A-Za-z]*[0-9]{0,4}",
+    rb"(?:[A-Za-z]*+[0-9]{0,4}+[/._=-]++)++[A-Za-z]*+[0-9]{0,4}+",
     rb"[A-Za-z]+[0-9]{0,4}",
 ]
 _ALLOWED = re.compile(rb"|".join(b"(?:%s)" % x for x in ALLOWED))

@@ -56,6 +56,11 @@ def test_allow_list_and_prose():
     assert [s.high_entropy(x) for x in harmless] == [[]] * len(harmless)
 
 
+def test_long_runs_stay_linear():
+    for run in (b"=" * 100_000 + b"1a+", b"a1-" * 50_000 + b"+", b"abc_" * 30_000 + b"12345+", b"0" * 100_000 + b"a"):
+        assert s.high_entropy(run) == [] or run.endswith(b"+")
+
+
 def test_entropy_adds_and_base_stays():
     key = "Q7xZ9pLm3Kt8Vw2Rb6Yc1Hd5Ng4Js0"
     texts = [f"ünder {key} end", f"token={key}"]
