@@ -10,6 +10,7 @@ from footfall.schemas import DEVICE_DAY
 # A device-day below this many rows is sorted by one task without trouble.
 HOT_ROWS = 2_000_000
 
+
 def device_day_hash() -> Column:
     """64-bit hash of a device-day."""
     return F.xxhash64(*DEVICE_DAY)
