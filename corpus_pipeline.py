@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import bpe, decontaminate, language, neardup, secretscan
-from footfall.llm.shared import table, written
+from footfall.llm.shared import batch_whole_texts, table, written
 from footfall.session import ship_package
 
 #: Not expressible in SQL: trained models and token merges.
@@ -39,12 +41,21 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(docs, VOCABULARY, ["doc_id", "lang", "source"])
 
 
+def _in_batches(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        batch_whole_texts(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language ID", identify_language),
-    ("MinHash near-dedup", remove_near_duplicates),
-    ("benchmark decontamination", remove_contaminated),
-    ("secret scans", redact_secrets),
-    ("BPE encoding and decoding", encode),
+    ("language ID", _in_batches(identify_language)),
+    ("MinHash near-dedup", _in_batches(remove_near_duplicates)),
+    ("benchmark decontamination", _in_batches(remove_contaminated)),
+    ("secret scans", _in_batches(redact_secrets)),
+    ("BPE encoding and decoding", _in_batches(encode)),
 ]
 
 

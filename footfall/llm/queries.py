@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
 from footfall.llm import language, personal, quality, secretscan, sharding
 from footfall.llm.neighbours import nearest
-from footfall.llm.shared import table
+from footfall.llm.shared import batch_whole_texts, table
 from footfall.llm.tokenfile import read_token_file, write_token_file
 from footfall.session import scratch_path
 
@@ -63,8 +64,17 @@ def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find_personal(table(spark, sf_dir, "documents")))
 
 
+def _in_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        batch_whole_texts(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_secrets": op1_secrets,
         "op2_decontaminate": op2_decontaminate,
         "op3_bpe": op3_bpe,
@@ -76,3 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neardup": op9_neardup,
         "op10_personal": op10_personal,
     }
+    return {name: _in_batches(query) for name, query in found.items()}

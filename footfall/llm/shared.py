@@ -21,6 +21,18 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of an Arrow batch. Spark's own number suits short rows; whole texts are long, and a worker
+#: and the JVM hold some batches at a time.
+BATCH_ROWS = 2000
+
+
+def batch_whole_texts(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in smaller batches than it does by default."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
