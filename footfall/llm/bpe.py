@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Words whose ids a worker keeps in each of two generations; a full one becomes the older.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 200_000
 
 
 def byte_letters() -> list[str]:

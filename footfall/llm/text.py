@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text in a chunk, unless a single text is longer.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)

@@ -29,10 +29,10 @@ from footfall.llm.simple8b import pack, unpack
 from footfall.llm.text import LOWER, chunks
 
 CHUNK_IDS = 1 << 18
-#: Words whose ids a worker keeps in each of two generations.
-KEPT_WORDS = 600_000
+#: Words whose ids a worker keeps; beyond that the older half goes.
+KEPT_WORDS = 800_000
 #: Bytes of text that are encoded together, unless a single text is longer.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 
 FILE = (
     "part int, chunk int, first long, n_ids long, doc_ids array<long>, counts array<int>, "
@@ -40,28 +40,23 @@ FILE = (
 )
 
 
-#: Letters below this code point are composed by themselves, so that a word of them is one piece.
-_SIMPLE_BELOW = "\u0250"
-_MARKS = ".,!?;:"
+#: Words of small letters, none with an accent that stands apart, and perhaps a run of marks other
+#: than apostrophes: one piece, or two.
+_PLAIN = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{FF}]+[!-&(-/:-@\[-`{-~]*$"
+_MARK = r"([!-&(-/:-@\[-`{-~]+)$"
 #: Bytes, with a space for each tab and line end.
 _SPACED = np.arange(256, dtype=np.uint8)
 _SPACED[[9, 10, 13]] = 32
 
 
-def _simple(word: str) -> bool:
-    """Lower-case letters only, none of them with accents that stand apart."""
-    return word.isalpha() and word.islower() and (word.isascii() or max(word) < _SIMPLE_BELOW)
-
-
 class WordEncoder:
     """Ids of whole texts by the tokenizers library; the ids of a word between white space are kept.
 
     The vocabulary splits at white space, so a text's ids are those of its words one after another.
-    Words are split and numbered by Arrow, and each different word of a slice is looked up once.
-    Unknown words are encoded in one call. Words of lower-case letters are one piece each and end
-    with a vocabulary string that ends a word; the library is spared the patterns that would find
-    that out. Other words are encoded with a special token between them: special tokens are cut
-    out before anything else.
+    Words are split, numbered and looked up by Arrow, each different word of a slice once. Unknown
+    words are encoded in one call. Plain ones are given to the library as pieces, which end with a
+    vocabulary string that ends a word; it is spared the patterns that find pieces. Others are
+    encoded with a special token between them: special tokens are cut out before anything else.
     """
 
     def __init__(self, vocabulary: str):
@@ -78,50 +73,57 @@ class WordEncoder:
         self.last[[number for string, number in ids.items() if string.endswith(suffix)]] = True
         byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         split = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}
-        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": split}))
-        self.marks = {mark: self._ids(self.tokenizer, mark).tobytes() for mark in _MARKS}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": split}))
+        # Known words, their ids one after another, and how many each has.
+        self.words = pa.array([""], pa.large_string())
+        self.flat, self.sizes = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     @staticmethod
     def _ids(tokenizer, text: str) -> np.ndarray:
         (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype="<u4")
 
-    @staticmethod
-    def _cut_up(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
-
-    def _learn(self, words: list[str]) -> None:
-        """Make words known that are not."""
-        old, letters, others, marked = self.old, {}, {}, []
-        for word in words:
-            known = old.get(word)
-            if known is not None:
-                self.young[word] = known
-            elif _simple(word):
-                letters[word] = None
-            elif word[-1:] in self.marks and _simple(word[:-1]):
-                # Letters and a mark are two pieces, so their ids stand side by side.
-                marked.append(word)
-                if word[:-1] not in self.young:
-                    letters[word[:-1]] = None
-            elif "<|" in word or not word:
-                self.young[word] = self._ids(self.tokenizer, word).tobytes()
-            else:
-                others[word] = None
-        if letters:
-            ids = self._ids(self.letters, " ".join(letters))
-            ends = np.flatnonzero(self.last[ids]) + 1
-            found = self._cut_up(ids, np.concatenate([[0], ends[:-1]]), ends)
-            self.young.update(zip(letters, found, strict=True))
-        if others:
-            ids = self._ids(self.tokenizer, self.cut.join(others))
-            cuts = np.flatnonzero(ids == self.cut_id)
-            found = self._cut_up(ids, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]]))
-            self.young.update(zip(others, found, strict=True))
-        self.young.update((word, self.young[word[:-1]] + self.marks[word[-1]]) for word in marked)
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after another, and how many each has."""
+        parted = pc.replace_substring_regex(words, _MARK, r" \1")
+        pieces = 1 + (pc.binary_length(parted).to_numpy() > pc.binary_length(words).to_numpy())
+        ids = self._ids(self.pieces, " ".join(parted.to_pylist()))
+        ends = np.flatnonzero(self.last[ids])[np.cumsum(pieces) - 1] + 1
+        return ids, np.diff(ends, prepend=0)
+
+    def _other(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any words."""
+        words = words.to_pylist()
+        special = [self._ids(self.tokenizer, word) if "<|" in word else None for word in words]
+        ids = self._ids(self.tokenizer, self.cut.join("" if x is not None else word for word, x in zip(words, special)))
+        cuts = np.flatnonzero(ids == self.cut_id)
+        found = np.split(ids, cuts)
+        found = [x[1:] if i else x for i, x in enumerate(found)]
+        found = [x if own is None else own for x, own in zip(found, special, strict=True)]
+        return np.concatenate(found), np.array([len(x) for x in found], dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Drop the older half of too many words."""
+        if len(self.words) > KEPT_WORDS:
+            half = len(self.words) // 2
+            self.flat = self.flat[self.sizes[:half].sum() :]
+            self.words, self.sizes = self.words.slice(half), self.sizes[half:]
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Make words known that are not; their places among the known ones."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        parts = [(self.words, self.flat, self.sizes)]
+        places = np.empty(len(words), dtype=np.int64)
+        at = len(self.words)
+        for mask, encode in ((plain, self._plain), (pc.invert(plain), self._other)):
+            some = words.filter(mask)
+            places[np.flatnonzero(mask.to_numpy(zero_copy_only=False))] = at + np.arange(len(some))
+            at += len(some)
+            if len(some):
+                parts.append((some, *encode(some)))
+        names, flat, sizes = zip(*parts)
+        self.words, self.flat, self.sizes = pa.concat_arrays(names), np.concatenate(flat), np.concatenate(sizes)
+        return places
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a chunk one after another, first id of each text and the end)."""
@@ -138,19 +140,17 @@ class WordEncoder:
         buffers = [pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(lowered)]
         lists = pc.split_pattern(pa.LargeStringArray.from_buffers(len(offsets) - 1, *buffers), " ")
         words = lists.flatten().dictionary_encode()
-        different = words.dictionary.to_pylist()
-        if len(self.young) >= KEPT_WORDS:
-            self.old, self.young = self.young, {}
-        self._learn([word for word in different if word not in self.young])
-        known = list(map(self.young.__getitem__, different))
-        flat = np.frombuffer(b"".join(known), dtype="<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        index = words.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes[index])])
-        places = np.arange(ends[-1]) + np.repeat(first[index] - ends[:-1], sizes[index])
-        offsets = lists.offsets.to_numpy()
-        return flat[places], ends[offsets - offsets[0]]
+        self._forget()
+        known = pc.index_in(words.dictionary, value_set=self.words)
+        place = known.fill_null(-1).to_numpy().astype(np.int64)
+        if known.null_count:
+            place[place < 0] = self._learn(words.dictionary.filter(pc.is_null(known)))
+        index = place[words.indices.to_numpy()]
+        first, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes[index]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(ends[-1]) + np.repeat(first[index] - ends[:-1], sizes)
+        starts = lists.offsets.to_numpy()
+        return self.flat[places], ends[starts - starts[0]]
 
 
 _encoders: dict[int, WordEncoder] = {}
