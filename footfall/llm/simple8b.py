@@ -54,8 +54,8 @@ def _selectors(widths: np.ndarray) -> np.ndarray:
             window = np.maximum(window[: len(window) - step], window[step:])
             size += step
         fits = np.flatnonzero(window <= BITS[selector])
-        if not len(fits) and BITS[selector] < widths.min():
-            break
+        if not len(fits):
+            break  # more numbers of fewer bits can't fit either
         best[fits] = selector
     return best
 
