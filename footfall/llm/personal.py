@@ -1,15 +1,16 @@
 """Personal data: fixed patterns, and terms that reveal an entity by co-occurrence.
 
-Protected entities are the values that the patterns find. A term (a word) within CONTEXT
-characters of an entity co-occurs with it. Over the whole corpus of N words, with n(c) contexts of
-entity c, n(t) uses of term t and n(c, t) contexts of c that hold t,
+Protected entities are the values that the patterns find. A term (a word) co-occurs with every
+entity of the same text, however far from it. Of N texts, n(c) hold entity c, n(t) term t and
+n(c, t) both:
 
     IC(c)     = log2(N / n(c))                        information in the entity
     PMI(c; t) = log2(N * n(c, t) / (n(c) * n(t)))     information about it in the term
 
-and the term's disclosure is PMI / IC: 1 when the term is never used elsewhere. Terms above
-GENERALISE are replaced by a general word, terms above REMOVE are removed; a term needs
-contexts in LEAST_SUPPORT texts before it counts as evidence. All of it is built-in expressions.
+and the term's disclosure is PMI / IC: 1 when the term is in no other text. Terms above
+GENERALISE are replaced by a general word, terms above REMOVE are removed, wherever they stand in
+a text that holds the entity; a term needs LEAST_SUPPORT texts with the entity before it counts as
+evidence. All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -35,13 +36,18 @@ HINTS = {
     "email": "@", "phone": r"\+",
     "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}",
 }
-CONTEXT = 80
+#: Characters beside an entity in which a word co-occurs with it: any text's length.
+CONTEXT = (1 << 31) - 1
 LEAST_SUPPORT = 3
+#: Terms in more than one of so many texts are common. There are at most so many times the words of
+#: a text on average, whatever the number of texts.
+COMMON = 1000
 GENERALISE, REMOVE = 0.9, 0.97
 #: Words that stand for a generalised term and for values of each kind in sanitised texts.
 MARKERS = {kind: f"[{kind}]" for kind in KINDS[:4]} | {"generalise": "[term]", "remove": ""}
 
-_SPAN = "struct<start:int,end:int,value:string,before:string,after:string>"
+_SPAN = "struct<start:int,end:int,value:string>"
+_WORD = r"\p{L}{2,}+"
 
 
 def _digits(value: Column) -> Column:
@@ -68,22 +74,19 @@ _CHECKS = {
 }
 
 
-def _located(text: Column, pattern: str) -> Column:
-    """All matches with their places, and the characters before and after: what splitting leaves
-    between the matches, and the matches themselves, give every place by their lengths."""
+def _located(text: Column, pattern: str, wanted=lambda value: F.lit(True)) -> Column:
+    """The wanted matches with their places: the lengths of what splitting leaves between the
+    matches, and of the matches themselves, give every place."""
     rest, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    places = F.arrays_zip(rest.alias("rest"), F.slice(rest, 2, F.size(rest)).alias("next"), matches.alias("match"))
+    places = F.arrays_zip(rest.alias("rest"), matches.alias("match"))
     start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{_SPAN}>)").alias("found"))
 
     def step(done, x):
         begin = done["at"] + F.length(x["rest"])
         end = begin + F.length(x["match"])
-        span = F.struct(
-            begin.alias("start"), end.alias("end"), x["match"].alias("value"),
-            F.right(x["rest"], F.lit(CONTEXT + 1)).alias("before"), F.left(x["next"], F.lit(CONTEXT + 1)).alias("after"),
-        )
-        more = F.when(x["match"].isNull(), done["found"]).otherwise(F.concat(done["found"], F.array(span)))
-        return F.struct(F.coalesce(end, begin).alias("at"), more.alias("found"))
+        span = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("value"))
+        more = F.when(wanted(x["match"]), F.concat(done["found"], F.array(span))).otherwise(done["found"])
+        return F.struct(F.coalesce(end, begin).alias("at"), F.when(x["match"].isNull(), done["found"]).otherwise(more).alias("found"))
 
     return F.aggregate(places, start, step, lambda done: done["found"])
 
@@ -98,58 +101,52 @@ def _numbered(kind: str) -> Column:
     return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), number, x["end"].alias("end")))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, email, ip, card, phone): arrays of the spans of each kind, in order."""
+def base_spans(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, text_hash, email, ip, card, phone, *more): arrays of the spans of each kind, in order."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
-        *(_spans(text, kind).alias(kind) for kind in PATTERNS),
+        *(_spans(text, kind).alias(kind) for kind in PATTERNS), *more,
     )
 
 
-def _context_terms(rows: DataFrame) -> DataFrame:
-    """(row, context, entity, term, start, end): the whole words beside each entity."""
-    sides = None
-    for kind in PATTERNS:
-        spans = rows.select("row", F.inline(kind))
-        entity = F.concat_ws(":", F.lit(kind), F.lower("value")).alias("entity")
-        # One character more than the context tells whether its outermost word was cut.
-        cut = F.length("before") > CONTEXT
-        word_cut = F.when(cut, F.regexp_replace("before", r"^\p{L}+", "")).otherwise(F.col("before"))
-        before = spans.select(
-            "row", "start", "end", entity, word_cut.alias("side"), (F.col("start") - F.length(word_cut)).alias("at")
-        )
-        whole = F.when(F.length("after") > CONTEXT, F.regexp_replace("after", r"\p{L}+$", "")).otherwise(F.col("after"))
-        after = spans.select("row", "start", "end", entity, whole.alias("side"), F.col("end").alias("at"))
-        both = before.union(after)
-        sides = both if sides is None else sides.union(both)
-    words = F.inline(_located(F.col("side"), r"\p{L}{2,}+"))
-    sides = sides.select("row", F.struct("start", "end").alias("context"), "entity", "at", "side")
-    located = sides.select("row", "context", "entity", "at", words)
-    return located.select(
-        "row", "context", "entity", F.lower("value").alias("term"),
-        (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"),
-    )
+def _words(text: Column) -> Column:
+    """Each word of a text once."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), lambda x: F.lower(x)))
+
+
+def entities(rows: DataFrame) -> DataFrame:
+    """(row, entity, n_entity): the entities of each text, and in how many texts each is."""
+    named = (F.transform(kind, lambda x, kind=kind: F.concat_ws(":", F.lit(kind), F.lower(x["value"]))) for kind in PATTERNS)
+    held = rows.where("text IS NOT NULL").select("row", F.explode(F.array_distinct(F.concat(*named))).alias("entity"))
+    counts = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    return held.join(counts, "entity").select("row", "entity", "n_entity")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, uses) of every word in the corpus, counted within tasks before the shuffle."""
-    words = F.split(F.lower("text"), r"[^\p{L}]+")
-    return docs.select(F.explode(words).alias("term")).where("length(term) >= 2").groupBy("term").agg(F.count("*").alias("uses"))
-
-
-def disclosing_terms(terms: DataFrame, uses: DataFrame) -> DataFrame:
-    """(entity, term, kind) of the pairs whose disclosure exceeds a threshold."""
-    context = terms.select("entity", "row", "context").distinct()
-    entities = context.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = terms.select("entity", "term", "row", "context").distinct()
-    pairs = pairs.groupBy("entity", "term", "row").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("n_texts"))
-    pairs = pairs.where(f"n_texts >= {LEAST_SUPPORT}")
-    total = uses.agg(F.sum("uses").alias("n"))
-    scored = pairs.join(entities, "entity").join(uses, "term").join(F.broadcast(total))
-    information = F.log2(F.col("n") / F.col("n_entity"))
-    shared = F.log2(F.col("n") * F.col("n_pair") / (F.col("n_entity") * F.col("uses")))
+    """(term, n_term) of every word in the corpus: its texts, counted within tasks before the shuffle."""
+    return docs.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+
+
+def disclosing_terms(rows: DataFrame, held: DataFrame, uses: DataFrame, total: int) -> DataFrame:
+    """(entity, term, kind) of the pairs whose disclosure exceeds a threshold; ``total`` texts."""
+    mine = held.groupBy("row").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held"))
+    terms = rows.where("text IS NOT NULL").select("row", _words(F.col("text")).alias("words")).join(mine, "row")
+    terms = terms.select("held", F.explode("words").alias("term"))
+    # As n(c, t) <= n(c), a term in more texts than this stays below the thresholds for the entity.
+    # Common words are most of a text: they are left out before they meet its entities.
+    common = uses.where(F.col("n_term") * COMMON > total).withColumnRenamed("n_term", "n_common")
+
+    def possible(x):
+        most = x["n_entity"] * F.pow(F.lit(float(total)) / x["n_entity"], F.lit(1 - GENERALISE)) * 1.001
+        return F.col("n_common").isNull() | (F.col("n_common") <= most)
+
+    terms = terms.join(F.broadcast(common), "term", "left")
+    pairs = terms.select("term", F.inline(F.filter("held", possible)))
+    pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_pair"))
+    scored = pairs.where(f"n_pair >= {LEAST_SUPPORT}").join(uses, "term")
+    information = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    shared = F.log2(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
     disclosure = F.when(information > 0, shared / information).otherwise(F.lit(0.0))
     kind = F.when(disclosure > REMOVE, "remove").when(disclosure > GENERALISE, "generalise")
     return scored.select("entity", "term", kind.alias("kind")).where("kind IS NOT NULL")
@@ -162,16 +159,24 @@ def find_personal(docs: DataFrame) -> DataFrame:
     the same text, where they overlap no base span. Null and empty texts have none. Repeated rows
     get equal results, and each counts in the corpus. Other columns are ignored; no rows give no rows.
     """
-    found = base_spans(docs).withColumn("row", F.monotonically_increasing_id())
-    rows = written(found, "personal")
-    terms = written(_context_terms(rows.where(" OR ".join(f"size({k}) > 0" for k in PATTERNS))), "terms")
-    uses = term_counts(docs)
-    flagged = written(disclosing_terms(terms, written(uses, "uses")), "flagged")
+    found = base_spans(docs, "text").withColumn("row", F.monotonically_increasing_id())
+    holds = F.greatest(*(F.size(kind) for kind in PATTERNS)) > 0
+    rows = written(found.withColumn("text", F.when(holds, F.col("text"))), "personal")
+    held = written(entities(rows), "entities")
+    flagged = written(disclosing_terms(rows, held, written(term_counts(docs), "uses"), rows.count()), "flagged")
+    # From the rows that hold a flagged term to those that also hold its entity.
+    places = rows.where("text IS NOT NULL").select("row", F.explode(_words(F.col("text"))).alias("term"))
+    revealing = places.join(flagged, "term").join(held.select("row", "entity"), ["row", "entity"])
     number = F.when(F.col("kind") == "generalise", KINDS.index("generalise")).otherwise(KINDS.index("remove"))
-    revealing = terms.join(flagged, ["entity", "term"]).select("row", F.struct("start", number.alias("kind"), "end").alias("span"))
-    revealing = revealing.groupBy("row").agg(F.collect_set("span").alias("more"))
+    revealing = revealing.groupBy("row", "term").agg(F.max(number).alias("number"))
+    revealing = revealing.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "number"))).alias("terms"))
     base = F.sort_array(F.concat(*(_numbered(kind) for kind in PATTERNS))).alias("base")
-    joined = rows.select("row", "doc_id", "text_hash", base).join(revealing, "row", "left")
+    joined = rows.select("row", "doc_id", "text_hash", "text", base).join(revealing, "row", "left")
+    revealed = _located(F.col("text"), _WORD, lambda value: F.map_contains_key("terms", F.lower(value)))
+    more = F.transform(
+        revealed, lambda x: F.struct(x["start"].alias("start"), F.col("terms")[F.lower(x["value"])].alias("kind"), x["end"].alias("end"))
+    )
+    joined = joined.withColumn("more", F.when(F.col("terms").isNotNull(), more))
     free = F.filter(
         F.coalesce("more", F.slice("base", 1, 0)),
         lambda x: ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"])),

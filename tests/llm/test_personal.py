@@ -85,6 +85,17 @@ def test_revealing_terms(spark):
     assert clean == ["Call agent  at [phone] now"] * 4 + TEXTS[4:]
 
 
+def test_terms_reveal_entities_far_away(spark):
+    far = "the agent will call now and at noon " * 5
+    texts = [f"Zorblax! {far}+1 (436) 555-6159 {far}Zorblax"] * 4 + [far, "Zorblaxian at noon"] * 100
+    rows = p.digest(p.find_personal(edge.texts(spark, *texts))).orderBy("doc_id").collect()
+    last = texts[0].rindex("Zorblax")
+    assert [r.spans for r in rows[:4]] == [f"remove:0:7,phone:189:206,remove:{last}:{last + 7}"] * 4
+    assert all(r.spans == "" for r in rows[4:])
+    clean = [r.text for r in p.sanitise(edge.texts(spark, *texts)).collect()]
+    assert not any(re.search(r"Zorblax\b", text) for text in clean)
+
+
 def test_edges(spark):
     docs = edge.documents(spark)
     rows = p.digest(p.find_personal(docs)).collect()
