@@ -42,26 +42,48 @@ _CANDIDATE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789
 _DIGIT = np.zeros(256, dtype=np.int64)
 _DIGIT[48:58] = 1
 _HEX_ONLY = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
-#: Harmless strings: uuids, dates and times, versions and numbers, dotted names, paths, words
-#: with a number or joined by hyphens, underscores or dots.
+#: Character classes of a window, from narrow to wide, and the least entropy of each.
+CLASSES = [(re.compile(x), bits) for x, bits in [(rb"[a-z]+|[A-Z]+", 3.35), (rb"[A-Za-z]+", 3.6)]]
+#: Harmless strings: uuids, dates and times, versions and numbers; and what SEGMENT, split at
+#: SEPARATORS, takes for words, each with a number of up to four digits.
 ALLOWED = [
     rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     rb"[0-9]{4}-[0-9]{2}-[0-9]{2}([T_][0-9.+-]*)?",
     rb"[0-9.+=/_-]+",
-    rb"(?:[A-Za-z]*+[0-9]{0,4}+[/._=-]++)++[A-Za-z]*+[0-9]{0,4}+",
-    rb"[A-Za-z]+[0-9]{0,4}",
 ]
 _ALLOWED = re.compile(rb"|".join(b"(?:%s)" % x for x in ALLOWED))
+SEPARATORS = re.compile(rb"[/._=-]+")
+#: A word of one case, camel case of parts that look like words, or up to four letters.
+SEGMENT = re.compile(
+    rb"(?:[A-Z]?[a-z]*|[A-Z]+|[A-Za-z]{0,4}"
+    rb"|[a-z]*(?:[A-Z]{2,5}(?![A-Za-z])|[A-Z]{2,4}(?=[A-Z][a-z]{2})|[A-Z][a-z]{2,}|[A-Z][aeiouy]|[AEIOUY][a-z])+)[0-9]{0,4}"
+)
+#: What no word has: seven consonants or five vowels in a row, or a q without u.
+NO_WORD = re.compile(rb"(?i:[bcdfghjklmnpqrstvwxz]{7}|[aeiouy]{5}|q(?=[a-tv-z]))")
 _NLOGN = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
 
+def harmless(run: bytes) -> bool:
+    if _ALLOWED.fullmatch(run):
+        return True
+    parts = SEPARATORS.split(run)
+    return all(map(SEGMENT.fullmatch, parts)) and not any(len(x) >= WINDOW and NO_WORD.search(x) for x in parts)
+
+
+def _least_bits(window: bytes, kind: str) -> float:
+    if kind == "entropy_hex":
+        return LEAST_BITS[kind]
+    return next((bits for x, bits in CLASSES if x.fullmatch(window)), LEAST_BITS[kind])
+
+
 def high_entropy(run: bytes) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the joined windows of one candidate run that are too random for text."""
-    if len(run) < WINDOW or _ALLOWED.fullmatch(run):
+    if len(run) < WINDOW or harmless(run):
         return []
     kind = "entropy_hex" if _HEX_ONLY.fullmatch(run) else "entropy_token"
     # entropy = log2(window) - (sum of n log n) / window
-    most = (log2(WINDOW) - LEAST_BITS[kind]) * WINDOW
+    least = LEAST_BITS[kind] if kind == "entropy_hex" else min(LEAST_BITS[kind], *(bits for _, bits in CLASSES))
+    most = (log2(WINDOW) - least) * WINDOW + 1e-9
     counts, load, found = [0] * 256, 0.0, []
     for at, entering in enumerate(run):
         start = at - WINDOW + 1
@@ -73,12 +95,12 @@ def high_entropy(run: bytes) -> list[tuple[str, int, int]]:
         n = counts[entering]
         load += _NLOGN[n + 1] - _NLOGN[n]
         counts[entering] = n + 1
-        if start >= 0 and load <= most + 1e-9:
+        if start >= 0 and load <= most and log2(WINDOW) - load / WINDOW >= _least_bits(run[start : at + 1], kind) - 1e-9:
             if found and start <= found[-1][1]:
                 found[-1][1] = at + 1
             else:
                 found.append([start, at + 1])
-    return [(kind, start, end) for start, end in found if not _ALLOWED.fullmatch(run[start:end])]
+    return [(kind, start, end) for start, end in found if not harmless(run[start:end])]
 
 
 def pattern_spans(text: str, lower: bytes) -> list[tuple[int, int, int]]:
@@ -92,13 +114,13 @@ def pattern_spans(text: str, lower: bytes) -> list[tuple[int, int, int]]:
 
 
 def _long_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate runs that hold a window, a digit and something else."""
+    """Candidate runs that hold a window and not only digits."""
     starts, ends, text = spans(data, offsets, _CANDIDATE)
     long = ends - starts >= WINDOW
     starts, ends, text = starts[long], ends[long], text[long]
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])]) if len(starts) else np.zeros(len(data) + 1, np.int64)
     count = digits[ends] - digits[starts]
-    mixed = (count > 0) & (count < ends - starts)
+    mixed = count < ends - starts
     return starts[mixed], ends[mixed], text[mixed]
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import edge
@@ -56,6 +57,23 @@ def test_allow_list_and_prose():
     assert [s.high_entropy(x) for x in harmless] == [[]] * len(harmless)
 
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def recall(alphabet, length, end=""):
+    rng = random.Random(3)
+    keys = ["".join(rng.choices(alphabet, k=length)) + end for _ in range(200)]
+    return sum(x != [] for x in s.scan(pa.array(keys))) / len(keys)
+
+
+def test_keys_of_letters_are_found():
+    assert recall(LOWER + LOWER.upper(), 20) > 0.85 and recall(LOWER + LOWER.upper(), 24, "2024") > 0.9
+    assert recall(LOWER, 32) > 0.8
+    words = ["InternationalizationProviderFactory", "getElementsByTagNameAndClass", "parseXMLHttpRequestHeaders2024"]
+    words += ["Rechtsschutzversicherungsgesellschaften", "well-known/security_policy.Overview", "ANTICONSTITUTIONNELLEMENT"]
+    assert list(s.scan(pa.array(words))) == [[]] * len(words)
+
+
 def test_long_runs_stay_linear():
     for run in (b"=" * 100_000 + b"1a+", b"a1-" * 50_000 + b"+", b"abc_" * 30_000 + b"12345+", b"0" * 100_000 + b"a"):
         assert s.high_entropy(run) == [] or run.endswith(b"+")
