@@ -74,6 +74,15 @@ def test_keys_of_letters_are_found():
     assert list(s.scan(pa.array(words))) == [[]] * len(words)
 
 
+def test_keys_of_every_class_are_found():
+    digits, upper = "0123456789", LOWER.upper()
+    classes = [
+        digits + "abcdef", digits + "abcdefABCDEF", upper + "234567", LOWER + "234567", LOWER + digits, upper + digits,
+        LOWER + upper + digits, LOWER + upper + digits + "+/",
+    ]
+    assert [x for x in classes if min(recall(x, n) for n in (20, 24, 32, 40)) < 0.9] == []
+
+
 def test_long_runs_stay_linear():
     for run in (b"=" * 100_000 + b"1a+", b"a1-" * 50_000 + b"+", b"abc_" * 30_000 + b"12345+", b"0" * 100_000 + b"a"):
         assert s.high_entropy(run) == [] or run.endswith(b"+")
