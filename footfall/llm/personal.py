@@ -10,7 +10,9 @@ n(c, t) both:
 and the term's disclosure is PMI / IC: 1 when the term is in no other text. Terms above
 GENERALISE are replaced by a general word, terms above REMOVE are removed, wherever they stand in
 a text that holds the entity; a term needs LEAST_SUPPORT texts with the entity before it counts as
-evidence. All of it is built-in expressions.
+evidence. Entities in fewer texts are one entity per kind; as such a one is in many texts, its terms
+also need n(c, t) * PMI bits, so many that chance would flag a term of it in about one of 2^CHANCE_BITS corpora.
+All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ HINTS = {
 #: Characters beside an entity in which a word co-occurs with it: any text's length.
 CONTEXT = (1 << 31) - 1
 LEAST_SUPPORT = 3
+#: What stands for the value of all rare entities of a kind; no value is like it.
+RARE = "*"
+CHANCE_BITS = 10
 #: Terms in more than one of so many texts are common. There are at most so many times the words of
 #: a text on average, whatever the number of texts.
 COMMON = 1000
@@ -116,11 +121,17 @@ def _words(text: Column) -> Column:
 
 
 def entities(rows: DataFrame) -> DataFrame:
-    """(row, entity, n_entity): the entities of each text, and in how many texts each is."""
+    """(row, entity, n_entity): the entities of each text, rare ones as one per kind, and in how many texts each is."""
     named = (F.transform(kind, lambda x, kind=kind: F.concat_ws(":", F.lit(kind), F.lower(x["value"]))) for kind in PATTERNS)
     held = rows.where("text IS NOT NULL").select("row", F.explode(F.array_distinct(F.concat(*named))).alias("entity"))
     counts = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    return held.join(counts, "entity").select("row", "entity", "n_entity")
+    held = held.join(counts, "entity").select("row", "entity", "n_entity")
+    # The rare entities of a kind are one, and a text holds it once.
+    is_rare = F.col("n_entity") < LEAST_SUPPORT
+    kind = F.concat_ws(":", F.substring_index("entity", ":", 1), F.lit(RARE))
+    rare = written(held.where(is_rare).select("row", kind.alias("entity")).distinct(), "rare")
+    counts = F.broadcast(rare.groupBy("entity").agg(F.count("*").alias("n_entity")))  # one row for each kind
+    return held.where(~is_rare).union(rare.join(counts, "entity").select("row", "entity", "n_entity"))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -149,7 +160,9 @@ def disclosing_terms(rows: DataFrame, held: DataFrame, uses: DataFrame, total: i
     shared = F.log2(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
     disclosure = F.when(information > 0, shared / information).otherwise(F.lit(0.0))
     kind = F.when(disclosure > REMOVE, "remove").when(disclosure > GENERALISE, "generalise")
-    return scored.select("entity", "term", kind.alias("kind")).where("kind IS NOT NULL")
+    chance = F.log2(F.greatest(F.lit(1), F.lit(uses.count()))) + CHANCE_BITS
+    sure = ~F.endswith("entity", F.lit(":" + RARE)) | (F.col("n_pair") * shared >= chance)
+    return scored.where(sure).select("entity", "term", kind.alias("kind")).where("kind IS NOT NULL")
 
 
 def find_personal(docs: DataFrame) -> DataFrame:

@@ -96,6 +96,14 @@ def test_terms_reveal_entities_far_away(spark):
     assert not any(re.search(r"Zorblax\b", text) for text in clean)
 
 
+def test_terms_reveal_rare_entities(spark):
+    texts = [f"Call Zorblax at +1 (436) 555-61{i} now" for i in range(50, 56)]
+    texts += ["call now and at noon"] * 200 + ["only here +1 (436) 555-7000 at noon"]
+    rows = p.digest(p.find_personal(edge.texts(spark, *texts))).orderBy("doc_id").collect()
+    assert [r.spans for r in rows[:6]] == ["remove:5:12,phone:16:33"] * 6
+    assert rows[-1].spans == "phone:10:27" and all(r.spans == "" for r in rows[6:-1])
+
+
 def test_edges(spark):
     docs = edge.documents(spark)
     rows = p.digest(p.find_personal(docs)).collect()
