@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from footfall.llm import centroids as c
 from footfall.llm.decontaminate import SHARE, WINDOW
 from footfall.llm.neardup import PERCENT, SHINGLE
 from footfall.llm.sharding import SHARDS, TABLE_SIZE, shard_names
@@ -74,6 +75,31 @@ SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id
 FROM s JOIN least USING (doc_id)"""
 
 
+def clustering() -> str:
+    """The rounds written out one after another, each distance summed component by component."""
+    points = f"""p AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding,
+  lambda x: CAST(floor(greatest(least({c.SCALE} * CAST(x AS DOUBLE), {c.LARGEST}), -{c.LARGEST})) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {c.DIMENSIONS} AND
+  len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY draw, v) - 1 AS c, v FROM (
+  SELECT sha256('{c.SEED}:' || vec_id) AS draw, v FROM p WHERE vec_id IS NOT NULL ORDER BY draw, v LIMIT {c.CLUSTERS}))"""
+    parts = [points]
+    for i in range(c.ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT r, min({{'d': d, 'c': c}}) AS m FROM (SELECT r, c, list_sum(
+  list_transform(list_zip(p.v, c{i}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM p, c{i}) GROUP BY r)""")
+        if i < c.ROUNDS:
+            parts.append(f"""s{i} AS MATERIALIZED (SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+  SELECT m.c AS c, unnest(range(1, {c.DIMENSIONS + 1})) AS i, unnest(v) AS x FROM a{i} JOIN p USING (r)) GROUP BY c, i),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(w, v) AS v FROM c{i} LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS w FROM s{i} GROUP BY c) t ON c{i}.c = t.c)""")
+    last = c.ROUNDS
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance,
+  CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{last}.v, ',')) AS centroid_sha256
+FROM a{last} JOIN p USING (r) JOIN c{last} ON c{last}.c = m.c"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query. The others train models, merge tokens, add spans from corpus statistics or
     entropy, or search approximately; tests hold them against brute force, libraries and held-out rows."""
@@ -81,4 +107,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontaminate": contamination(),
         "op5_sharding": placement(),
         "op9_neardup": near_duplicates(),
+        "op11_centroids": clustering(),
     }

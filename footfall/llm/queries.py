@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
-from footfall.llm import language, personal, quality, secretscan, sharding
+from footfall.llm import centroids, language, personal, quality, secretscan, sharding
 from footfall.llm.neighbours import nearest
 from footfall.llm.shared import batch_whole_texts, table
 from footfall.llm.tokenfile import read_token_file, write_token_file
@@ -64,6 +64,10 @@ def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find_personal(table(spark, sf_dir, "documents")))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))[0]
+
+
 def _in_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,5 +89,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_neardup": op9_neardup,
         "op10_personal": op10_personal,
+        "op11_centroids": op11_centroids,
     }
     return {name: _in_batches(query) for name, query in found.items()}
