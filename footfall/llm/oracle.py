@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from footfall.llm import centroids as c
+from footfall.llm import spelling as sp
 from footfall.llm.decontaminate import SHARE, WINDOW
 from footfall.llm.neardup import PERCENT, SHINGLE
 from footfall.llm.sharding import SHARDS, TABLE_SIZE, shard_names
@@ -100,6 +101,33 @@ SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance,
 FROM a{last} JOIN p USING (r) JOIN c{last} ON c{last}.c = m.c"""
 
 
+def spelling() -> str:
+    """Hashes byte by byte, near words by joining what is left when one letter goes, roots by recursion."""
+    return f"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+  lambda s, i: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384 ELSE 0 END), b)) AS t),
+runs AS (SELECT p, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS p,
+  unnest(regexp_extract_all({LOWERED}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE len(run) >= {sp.LEAST_LENGTH} GROUP BY p, run),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(p || run, ''),
+  lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END))),
+  lambda s, b: xor(t[(xor(s, b) & 255) + 1], s >> 8))) AS h FROM runs, crc),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % {sp.MISSPELL} = 0
+  THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE len(word) >= {sp.LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {sp.LEAST_COUNT}),
+gone AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (
+  SELECT word, unnest(range(1, len(word) + 1)) AS i FROM w)),
+near AS (SELECT a.word, b.word AS other FROM gone a JOIN gone b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM gone WHERE rest IN (SELECT word FROM w)
+  UNION SELECT rest, word FROM gone WHERE rest IN (SELECT word FROM w)),
+first AS (SELECT near.word, count(*) AS n_near, min({{'n': -w.n, 'form': other}}) AS f FROM near JOIN w ON w.word = other GROUP BY near.word),
+found AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -f.n >= {sp.RATIO} * w.n THEN f.form END AS form,
+  CASE WHEN -f.n >= {sp.RATIO} * w.n THEN -f.n END AS form_n FROM w LEFT JOIN first USING (word)),
+chain AS (SELECT word, word AS root FROM found
+  UNION ALL SELECT chain.word, found.form FROM chain JOIN found ON chain.root = found.word WHERE found.form IS NOT NULL)
+SELECT found.word, found.form, chain.root, found.n, found.n_near, CAST(found.form_n AS BIGINT) AS form_n
+FROM found JOIN chain ON chain.word = found.word JOIN found e ON e.word = chain.root AND e.form IS NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query. The others train models, merge tokens, add spans from corpus statistics or
     entropy, or search approximately; tests hold them against brute force, libraries and held-out rows."""
@@ -108,4 +136,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_sharding": placement(),
         "op9_neardup": near_duplicates(),
         "op11_centroids": clustering(),
+        "op13_spelling": spelling(),
     }
