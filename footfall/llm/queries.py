@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm.bpe import encode_and_decode
 from footfall.llm.decontaminate import contamination
 from footfall.llm.neardup import near_duplicates
-from footfall.llm import centroids, language, personal, quality, secretscan, sharding, spelling
+from footfall.llm import centroids, extraction, language, personal, quality, secretscan, sharding, spelling
 from footfall.llm.neighbours import nearest
 from footfall.llm.shared import batch_whole_texts, table
 from footfall.llm.tokenfile import read_token_file, write_token_file
@@ -68,6 +68,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"))[0]
 
 
+def op12_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neardup": op9_neardup,
         "op10_personal": op10_personal,
         "op11_centroids": op11_centroids,
+        "op12_maintext": op12_maintext,
         "op13_spelling": op13_spelling,
     }
     return {name: _in_batches(query) for name, query in found.items()}
