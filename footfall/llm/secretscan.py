@@ -10,6 +10,8 @@ harmless, and spans inside a pattern's match, are suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 from math import log2
 
 import numpy as np
@@ -64,10 +66,12 @@ ALLOWED = [
 ]
 _ALLOWED = re.compile(rb"|".join(b"(?:%s)" % x for x in ALLOWED))
 SEPARATORS = re.compile(rb"[/._=-]+")
-#: A word of one case, camel case of parts that look like words, or up to four letters.
+#: A word of one case, camel case of parts that look like words, or up to four letters. Of the parts, at
+#: most one fits at any place, so that matching is linear.
 SEGMENT = re.compile(
     rb"(?:[A-Z]?[a-z]*|[A-Z]+|[A-Za-z]{0,4}"
-    rb"|[a-z]*(?:[A-Z]{2,5}(?![A-Za-z])|[A-Z]{2,4}(?=[A-Z][a-z]{2})|[A-Z][a-z]{2,}|[A-Z][aeiouy]|[AEIOUY][a-z])+)[0-9]{0,4}"
+    rb"|[a-z]*(?:[A-Z]{2,5}(?![A-Za-z])|[A-Z]{2,4}(?=[A-Z][a-z]{2})|[A-Z][a-z]{2,}|[A-Z][aeiouy](?![a-z])"
+    rb"|[AEIOUY][bcdfghjklmnpqrstvwxz](?![a-z]))+)[0-9]{0,4}"
 )
 #: What no word has: seven consonants or five vowels in a row, or a q without u.
 NO_WORD = re.compile(rb"(?i:[bcdfghjklmnpqrstvwxz]{7}|[aeiouy]{5}|q(?=[a-tv-z]))")
@@ -149,6 +153,8 @@ def scan(column: pa.Array):
         whole = data.tobytes()
         lowered = whole.lower()
         run_start, run_end, run_text = _long_runs(data, offsets)
+        # Code points before each byte, where a chunk has others than ASCII.
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(run_start) and (data >= 128).any() else None
         runs_at = np.searchsorted(run_text, np.arange(len(offsets)))
         with_hex = _hex_runs(data, offsets)
         for i, (at, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
@@ -162,14 +168,15 @@ def scan(column: pa.Array):
             found = pattern_spans(text, lower)
             if i in with_hex:
                 found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
-            base = [(s, e) for s, e, _ in found]
-            narrow = len(raw) == len(text)
+            base = sorted((s, e) for s, e, _ in found)
+            reach = list(accumulate((e for _, e in base), max))
             for run in mine:
                 start, stop = int(run_start[run]) - at, int(run_end[run]) - at
-                shift = start if narrow else len(raw[:start].decode())
+                shift = start if points is None else int(points[start + at] - points[at])
                 for kind, s, e in high_entropy(raw[start:stop]):
                     s, e = s + shift, e + shift
-                    if not any(b <= s and e <= c for b, c in base):
+                    before = bisect_right(base, (s, len(text) + 1))
+                    if not before or reach[before - 1] < e:
                         found.append((s, e, KINDS.index(kind)))
             yield sorted(found, key=lambda x: (x[0], x[2], x[1]))
 

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import random
 import re
+import time
 
 import edge
 import pyarrow as pa
@@ -88,6 +90,37 @@ def test_long_runs_stay_linear():
         assert s.high_entropy(run) == [] or run.endswith(b"+")
 
 
+def test_every_pair_of_letter_shapes_repeated_is_linear():
+    shapes = [*"Yobx5-Q", "Th", "AB", "Ab", "ya"]
+    for pair in itertools.product(shapes, repeat=2):
+        for end in ("", "12345", "+x"):
+            start = time.time()
+            s.harmless("".join(pair).encode() * 50_000 + end.encode())
+            assert time.time() - start < 1, (pair, end)
+
+
+def test_parts_of_camel_case_are_as_before():
+    """The rule with its alternatives overlapping, on short strings."""
+    loose = re.compile(
+        rb"(?:[A-Z]?[a-z]*|[A-Z]+|[A-Za-z]{0,4}"
+        rb"|[a-z]*(?:[A-Z]{2,5}(?![A-Za-z])|[A-Z]{2,4}(?=[A-Z][a-z]{2})|[A-Z][a-z]{2,}|[A-Z][aeiouy]|[AEIOUY][a-z])+)[0-9]{0,4}"
+    )
+    for size in range(1, 8):
+        for letters in itertools.product(b"AaBb1", repeat=size):
+            assert bool(s.SEGMENT.fullmatch(bytes(letters))) == bool(loose.fullmatch(bytes(letters))), bytes(letters)
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=24))
+    text = "ü " + " ".join(f"token={word()} {word()} é" for _ in range(15_000))
+    start = time.time()
+    (found,) = s.scan(pa.array([text]))
+    assert time.time() - start < 30
+    assert sum(k == 0 for *_, k in found) == 15_000 and sum(k > 2 for *_, k in found) > 14_000
+    assert all(text[a:b].isascii() and " " not in text[a:b] for a, b, _ in found)
+
+
 def test_entropy_adds_and_base_stays():
     key = "Q7xZ9pLm3Kt8Vw2Rb6Yc1Hd5Ng4Js0"
     texts = [f"ünder {key} end", f"token={key}"]
