@@ -73,6 +73,9 @@ STATE = (
     "arg_max(station_id, (event_ts, seq)) AS station_id FROM visits GROUP BY dev_id, stat_date"
 )
 
+# Where the watermark of a stream over all sightings ends: four days behind the newest.
+WATERMARK = "(SELECT max(event_ts) - INTERVAL 4 DAY FROM s)"
+
 
 def shown(body: str, dates: str = "", times: str = "") -> str:
     """``body`` with the named date and timestamp columns as text."""
@@ -315,6 +318,8 @@ def _rules() -> dict[str, str]:
         "count_visits_dense": visits(DENSE),
         "count_visits_split": visits(DENSE),
         "st_visits": visits(EVENTS),
+        "st_visits_from_state": visits(EVENTS, "hour >= 12"),
+        "st_device_state": state(f"start_date + INTERVAL 1 DAY > {WATERMARK}"),
         "st_microbatch": visits(DENSE),
         "st_visits_dropped": shown(
             f"SELECT {SIGHTING_COLUMNS}, 'future' AS reason FROM ({EVENTS.replace('FROM events', WITH_STRAYS)}) "
@@ -354,12 +359,14 @@ def _hourly() -> dict[str, str]:
     def shape(body: str) -> str:
         return with_visits(EVENTS, shown(body, "stat_date"))
 
-    def counts(keys: str, facts: str) -> str:
+    def counts(keys: str, facts: str, condition: str = "true") -> str:
         return shape(
             f"SELECT {keys}, stat_date, hour, count(*) AS count FROM {facts} "
-            f"GROUP BY {keys}, stat_date, hour"
+            f"WHERE {condition} GROUP BY {keys}, stat_date, hour"
         )
 
+    passed = f"stat_date + to_hours(hour + 1) <= {WATERMARK}"
+
     stations, flows = wide("station_id", "visits"), wide(PAIR, "flows")
     january = ("2024-01-01", "2024-01-31")
     all_stations = dense("station_id", "visits", station_grid(*january))
@@ -368,6 +375,8 @@ def _hourly() -> dict[str, str]:
     return {
         "station_hourly": counts("station_id", "visits"),
         "flows_hourly": counts(PAIR, "flows"),
+        "st_station_hourly": counts("station_id", "visits", passed),
+        "st_flows_hourly": counts(PAIR, "flows", passed),
         "pivot_hours_station": shape(stations),
         "pivot_hours_flow": shape(flows),
         "snk_station_hour": shape(stations),

@@ -38,7 +38,7 @@ from footfall.session import scratch_path
 from footfall.sources import messages, samples, tables
 from footfall.streaming import devicelog as log_stream
 from footfall.streaming.ingest import Ingest
-from footfall.streaming.visits import accepted, count_visits_stream, dropped, write_facts
+from footfall.streaming import visits as visit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -472,37 +472,71 @@ def future_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams.
 
 
-def _counted_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Sightings from files through the keyed state, and those set aside.
+def _replayed(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """Sightings in order of arrival, some files at a time, each judged by the day it arrived on.
 
-    Each row is judged by the day it arrived on. Two strays come with the rest: one from a clock
-    seven years ahead, one ten days late.
+    Two strays come with the rest: one from a clock seven years ahead, one ten days late.
     """
+    stream = samples.replayed_sightings(spark, sf_dir, f"{base}/in")
+    return visit_stream.count_visits_stream(stream, today=F.col("arrived"))
+
+
+def _counted_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Sightings through the keyed state; the folder with their table and the checkpoint."""
     base = scratch_path(spark, "stream")
-    rows = samples.arriving_sightings(spark, sf_dir)
-    rows.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-    facts = count_visits_stream(accepted(stream, F.col("arrived")))
-    write_facts(facts, f"{base}/facts", f"{base}/c1", availableNow=True).awaitTermination()
-    aside = dropped(stream, F.col("arrived"))
-    write_facts(aside, f"{base}/dropped", f"{base}/c2", by="reason", availableNow=True).awaitTermination()
-    schema = T.StructType([*rows.schema.fields, T.StructField("reason", T.StringType())])
-    return (
-        spark.read.schema(VISIT_FACT).parquet(f"{base}/facts"),
-        spark.read.schema(schema).parquet(f"{base}/dropped"),
-    )
+    rows = _replayed(spark, sf_dir, base)
+    visit_stream.write_judged(rows, f"{base}/judged", f"{base}/checkpoint", availableNow=True).awaitTermination()
+    return base
 
 
 @query
 def st_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits counted by the keyed streaming state."""
-    return _counted_stream(spark, sf_dir)[0]
+    return visit_stream.read_judged(spark, f"{_counted_stream(spark, sf_dir)}/judged", True)
 
 
 @query
 def st_visits_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The side table of the keyed stream."""
-    return _counted_stream(spark, sf_dir)[1].select(*SIGHTING_COLUMNS, "reason")
+    """The sightings that the keyed stream has set aside."""
+    rows = visit_stream.read_judged(spark, f"{_counted_stream(spark, sf_dir)}/judged", False)
+    return rows.select(*SIGHTING_COLUMNS, "reason")
+
+
+@query
+def st_visits_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Afternoons streamed from the state that a batch count of their mornings left."""
+    base = scratch_path(spark, "stream")
+    stream = samples.replayed_sightings(spark, sf_dir, f"{base}/in")
+    afternoon = stream.where((F.hour("event_ts") >= 12) & (F.col("seq") >= 0))
+    rows = visit_stream.count_visits_stream(afternoon, prior=_morning_state(spark, sf_dir))
+    visit_stream.write_judged(rows, f"{base}/judged", f"{base}/checkpoint", availableNow=True).awaitTermination()
+    return visit_stream.read_judged(spark, f"{base}/judged", True)
+
+
+@query
+def st_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device state looked up in the checkpoint of the keyed stream; days that are over are gone."""
+    return visit_stream.stored_state(spark, f"{_counted_stream(spark, sf_dir)}/checkpoint")
+
+
+def _hourly_of_stream(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
+    base = scratch_path(spark, "stream")
+    hours = visit_stream.hourly_stream(_replayed(spark, sf_dir, base), keys)
+    visit_stream.write_facts(hours, f"{base}/hours", f"{base}/checkpoint", availableNow=True).awaitTermination()
+    schema = ", ".join(f"{key} string" for key in keys) + ", stat_date date, hour int, count long"
+    return spark.read.schema(schema).parquet(f"{base}/hours")
+
+
+@query
+def st_station_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits per station and hour, counted behind the keyed operator; hours that can still change are out."""
+    return _hourly_of_stream(spark, sf_dir, STATION_KEY)
+
+
+@query
+def st_flows_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows per station pair and hour, likewise."""
+    return _hourly_of_stream(spark, sf_dir, FLOW_KEY)
 
 
 def _dense_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.times import event_date, format_datetime, whole_seconds
+from footfall.operators.sinks import append_rows
+from footfall.sources import folders
 
 UNUSED_STATION = "kiosk"  # listed, never seen: shows up as zero rows
 
@@ -62,6 +64,24 @@ def arriving_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sightings(both, "event_id", F.col("user_id"), F.col("event_type"), ts, ["arrived"])
 
 
+#: Files that a replayed stream takes in at a time.
+REPLAY_FILES = 12
+
+
+def replayed_sightings(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """``arriving_sightings`` as a stream of files in order of arrival.
+
+    The files lie in a folder per day of arrival. A stream takes files by their modification time,
+    so that is made to follow the days.
+    """
+    rows = arriving_sightings(spark, sf_dir)
+    append_rows(rows, path, ["arrived"])
+    days = [name for name in folders.children(spark, path) if name.startswith("arrived=")]
+    for place, name in enumerate(days):
+        folders.stamp(spark, f"{path}/{name}", 1_700_000_000_000 + place * 1000)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(path)
+
+
 def dense_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types seen at value bands: five devices, long runs, many re-sightings."""
     band = F.concat(F.lit("band-"), F.floor(F.col("value") / 100).cast("string"))

@@ -8,40 +8,69 @@ late sighting at another station counts and moves the last counted time back.
 A device-day has few sightings in a micro-batch, so rows are handed to Python as they are: a
 pandas frame per device-day costs several times more than the counting. One device-day's share
 of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
-admission limit of the source, which is on by default, never by the length of the stream.
+admission limit of the source, never by the length of the stream. Catching up on a long backlog
+is a batch job: ``streaming.ingest`` counts each micro-batch with the batch operator, which splits
+hot device-days; the state it leaves can start a stream.
 
-Rows are judged by the day of their micro-batch before the watermark sees them (``accepted``): a
-bad clock can't move it, and what it would drop has gone to the side table (``dropped``) before.
-Catching up on a long backlog is a batch job: ``streaming.ingest`` counts
-each micro-batch with the batch operator, which splits hot device-days.
+One query takes one decision per sighting. Given a day to judge by (that of the micro-batch, which
+the offset log keeps), every sighting is either counted by the rules or passed on with the reason
+why it is not accepted, and both go to one table by one sink. A sighting set aside touches no state
+and stands for the day it is judged on before the watermark, so a bad clock can't move that; its
+rows are spread over several keys, so a flood of them from one device is no hot key. What is
+accepted on a day is never older than the watermark as long as days arrive in order.
+
+State can be handed in (``prior``: device state that a batch job or another stream has left) and
+looked up while the stream runs (``stored_state``, Spark's state data source over the checkpoint).
+Hourly counts can follow the counting in the same query (``hourly_stream``): a windowed aggregate
+behind the keyed operator, which gives an hour out once the watermark has passed it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from footfall.functions.times import hour_of
 from footfall.operators.horizon import judged
-from footfall.schemas import DEVICE_DAY, GAP_MINUTES, KEEP_DAYS_AHEAD, KEEP_DAYS_BACK
+from footfall.schemas import (
+    DEVICE_DAY,
+    DEVICE_STATE,
+    FLOW_KEY,
+    GAP_MINUTES,
+    KEEP_DAYS_AHEAD,
+    KEEP_DAYS_BACK,
+    SIGHTING,
+    STATION_KEY,
+    VISIT_FACT,
+)
 
 # An accepted sighting is never older than this below the newest accepted one.
 WATERMARK = f"{KEEP_DAYS_BACK + KEEP_DAYS_AHEAD + 1} days"
 
+# Keys that a device-day's sightings are spread over when they are set aside.
+LANES = 64
+VISIT_KINDS = ["first", "revisit", "move"]
+REASONS = ["late", "future"]
+_KEY = [*DEVICE_DAY, "lane"]
+
 _OUTPUT = T.StructType(
     [
+        T.StructField("sensor_id", T.StringType()),
         T.StructField("dev_id", T.StringType()),
         T.StructField("station_id", T.StringType()),
         T.StructField("prev_station_id", T.StringType()),
         T.StructField("event_s", T.LongType()),
         T.StructField("seq", T.LongType()),
         T.StructField("kind", T.StringType()),
+        T.StructField("judged_on", T.DateType()),
+        T.StructField("event_time", T.TimestampType()),
     ]
 )
 _STATE = T.StructType(
@@ -62,15 +91,38 @@ class VisitCounter(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("last_counted", _STATE)
 
+    def _clear_after(self, day: dt.date) -> None:
+        self.handle.registerTimer(((day - dt.date(1970, 1, 1)).days + 1) * _DAY_SECONDS * 1000)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((initialState.last_s, initialState.station_id))
+        self._clear_after(key[1])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        def out(row, kind: str, before: str | None = None) -> Row:
+            return Row(
+                sensor_id=row.sensor_id,
+                dev_id=key[0],
+                station_id=row.station_id,
+                prev_station_id=before,
+                event_s=row.event_s,
+                seq=row.seq,
+                kind=kind,
+                judged_on=row.judged_on,
+                event_time=row.event_time,
+            )
+
+        if key[2]:  # a lane of sightings that were not accepted
+            for row in rows:
+                yield out(row, row.reason)
+            return
         stored = self.state.get()
         last, station = stored if stored is not None else (None, None)
-        arrived = sorted((row.event_s, row.seq, row.station_id) for row in rows)
         if stored is None:
-            day_end = (arrived[0][0] // _DAY_SECONDS + 1) * _DAY_SECONDS
-            self.handle.registerTimer(day_end * 1000)
+            self._clear_after(key[1])
         changed = False
-        for second, seq, here in arrived:
+        for row in sorted(rows, key=lambda row: (row.event_s, row.seq)):
+            second, here = row.event_s, row.station_id
             if station is None:
                 kind = "first"
             elif here != station:
@@ -79,14 +131,7 @@ class VisitCounter(StatefulProcessor):
                 kind = "revisit"
             else:
                 continue
-            yield Row(
-                dev_id=key[0],
-                station_id=here,
-                prev_station_id=station,
-                event_s=second,
-                seq=seq,
-                kind=kind,
-            )
+            yield out(row, kind, station)
             last, station, changed = second, here, True
         if changed:
             self.state.update((last, station))
@@ -113,52 +158,92 @@ def from_epoch_seconds(seconds: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
-def accepted(sightings: DataFrame, today: Column) -> DataFrame:
-    """Sightings of a stream whose event date is accepted on the day they are judged by."""
-    return judged(sightings, today).where(F.col("reason").isNull()).drop("reason")
-
-
-def dropped(sightings: DataFrame, today: Column) -> DataFrame:
-    """The complement, with the reason."""
-    return judged(sightings, today).where(F.col("reason").isNotNull())
-
+def count_visits_stream(
+    sightings: DataFrame,
+    gap_minutes: int = GAP_MINUTES,
+    today: Column | None = None,
+    prior: DataFrame | None = None,
+) -> DataFrame:
+    """Counted and set-aside sightings of a stream, in append mode.
 
-def count_visits_stream(sightings: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Visit facts of a stream of accepted sightings, in append mode.
+    ``kind`` is first, revisit or move for a visit, late or future for a sighting that is not
+    accepted on ``today``; without ``today``, all are accepted. ``visits_of`` and ``set_aside`` part
+    the two. ``prior`` is device state to begin with, used by the query's first batch.
 
     The state store must be RocksDB; a session that names another one gets it set here.
     """
     sightings.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
     # The counter travels with the query, so that workers need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    if today is None:
+        seen = sightings.withColumns({"reason": F.lit(None).cast("string"), "judged_on": F.lit(None).cast("date")})
+    else:
+        seen = judged(sightings, today).withColumn("judged_on", today)
+    day_s = F.datediff("judged_on", F.lit("1970-01-01").cast("date")).cast("long") * _DAY_SECONDS
+    aside = F.col("reason").isNotNull()
     keyed = (
-        sightings.select(*DEVICE_DAY, "station_id", "event_ts", "seq")
-        .withColumn("event_s", epoch_seconds(F.col("event_ts")))
-        .withColumn("event_time", F.timestamp_seconds("event_s"))
-        .drop("event_ts")
+        seen.withColumn("event_s", epoch_seconds(F.col("event_ts")))
+        .withColumn("event_time", F.timestamp_seconds(F.when(aside, day_s).otherwise(F.col("event_s"))))
+        .withColumn("lane", F.when(aside, F.pmod(F.hash("seq"), F.lit(LANES)) + 1).otherwise(0))
+        .select(*_KEY, "sensor_id", "station_id", "seq", "reason", "judged_on", "event_s", "event_time")
         .withWatermark("event_time", WATERMARK)
     )
-    facts = keyed.groupBy(*DEVICE_DAY).transformWithState(
+    state = None
+    if prior is not None:
+        rows = prior.select(
+            "dev_id", F.col("start_date").alias("event_date"), F.lit(0).alias("lane"),
+            epoch_seconds(F.col("last_datetime")).alias("last_s"), "station_id",
+        )
+        state = rows.groupBy(*_KEY)
+    found = keyed.groupBy(*_KEY).transformWithState(
         VisitCounter(gap_minutes),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
+        initialState=state,
+        eventTimeColumnName="event_time",
     )
-    timed = facts.withColumn("event_ts", from_epoch_seconds(F.col("event_s")))
-    return timed.select(
-        "dev_id",
-        "station_id",
-        "prev_station_id",
-        "event_ts",
-        "seq",
-        F.to_date("event_ts").alias("stat_date"),
-        hour_of(F.col("event_ts")).alias("hour"),
-        "kind",
-    )
+    timed = found.withColumn("event_ts", from_epoch_seconds(F.col("event_s")))
+    dated = timed.withColumns({"stat_date": F.to_date("event_ts"), "hour": hour_of(F.col("event_ts"))})
+    return dated.select(*VISIT_FACT.names, "sensor_id", "judged_on", "event_time")
+
+
+def visits_of(rows: DataFrame) -> DataFrame:
+    """The visit facts among the rows of ``count_visits_stream``."""
+    return rows.where(F.col("kind").isin(VISIT_KINDS)).select(*VISIT_FACT.names)
+
+
+def set_aside(rows: DataFrame) -> DataFrame:
+    """The sightings among them that were not accepted, with the reason."""
+    other = rows.where(F.col("kind").isin(REASONS)).withColumnsRenamed({"stat_date": "event_date", "kind": "reason"})
+    return other.select(*SIGHTING.names, "reason")
+
+
+def stored_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Device state as a stream's checkpoint has it after its last batch, or after a given one."""
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last_counted")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    rows = reader.load().select("key.dev_id", F.col("key.event_date").alias("start_date"), "value.*")
+    last = from_epoch_seconds(F.col("last_s")).alias("last_datetime")
+    return rows.select("dev_id", "start_date", last, "station_id").select(*DEVICE_STATE.names)
 
 
-def write_facts(facts: DataFrame, path: str, checkpoint: str, by: str = "stat_date", **trigger):
-    """Append rows of a stream to a parquet table, exactly once, by day (or another column)."""
+def hourly_stream(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Visits per station, or flows per station pair, of each hour that the watermark has passed."""
+    if keys == FLOW_KEY:
+        facts = rows.where(F.col("kind") == "move")
+        facts = facts.withColumnsRenamed({"prev_station_id": FLOW_KEY[0], "station_id": FLOW_KEY[1]})
+    else:
+        facts = rows.where(F.col("kind").isin(VISIT_KINDS))
+    hours = facts.groupBy(F.window("event_time", "1 hour").alias("hour"), *keys).count()
+    start = from_epoch_seconds(F.unix_timestamp("hour.start"))
+    return hours.select(*keys, F.to_date(start).alias("stat_date"), hour_of(start).alias("hour"), "count")
+
+
+def write_facts(facts: DataFrame, path: str, checkpoint: str, by: str | list[str] = "stat_date", **trigger):
+    """Append rows of a stream to a parquet table, exactly once, by day (or other columns)."""
     return (
         facts.writeStream.format("parquet")
         .outputMode("append")
@@ -168,3 +253,20 @@ def write_facts(facts: DataFrame, path: str, checkpoint: str, by: str = "stat_da
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
         .start()
     )
+
+
+def write_judged(rows: DataFrame, path: str, checkpoint: str, **trigger):
+    """Append all rows of ``count_visits_stream`` to one table: visits by event day, others by judged day."""
+    visit = F.col("kind").isin(VISIT_KINDS)
+    placed = rows.drop("event_time").withColumns(
+        {"counted": visit, "day": F.when(visit, F.col("stat_date")).otherwise(F.col("judged_on"))}
+    )
+    return write_facts(placed, path, checkpoint, ["counted", "day"], **trigger)
+
+
+def read_judged(spark: SparkSession, path: str, counted: bool) -> DataFrame:
+    """The visits of a table of ``write_judged``, or the sightings it has set aside."""
+    more = "sensor_id string, judged_on date, counted boolean, day date"
+    schema = T.StructType([*VISIT_FACT.fields, *T.StructType.fromDDL(more).fields])
+    rows = spark.read.schema(schema).parquet(path).where(F.col("counted") == counted)
+    return visits_of(rows) if counted else set_aside(rows)

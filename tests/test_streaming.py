@@ -20,11 +20,30 @@ from footfall.sources import folders
 from footfall.sources.messages import message_file_stream
 from footfall.streaming.devicelog import DeviceLog
 from footfall.streaming.ingest import Ingest
-from footfall.streaming.visits import accepted, count_visits_stream, dropped, write_facts
+from footfall.operators.stats import flows_hourly, station_hourly
+from footfall.operators.visits import flows_from_visits
+from footfall.schemas import FLOW_KEY, STATION_KEY
+from footfall.streaming.visits import (
+    count_visits_stream,
+    hourly_stream,
+    read_judged,
+    stored_state,
+    write_facts,
+    write_judged,
+)
 
 ROOT = Path(__file__).resolve().parent.parent
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each state partition starts a Python worker in every batch; two show all that eight do."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def land(spark, rows, path, part, make):
     make(spark, rows).coalesce(1).write.parquet(f"{path}/{part}")
 
@@ -163,15 +182,95 @@ def test_a_bad_clock_does_not_stop_the_stream(spark, tmp_path):
     for part, some in enumerate(rows):
         land(spark, some, source, part, as_sightings)
         stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(source)
-        day = F.lit(today)
-        counted = count_visits_stream(accepted(stream, day))
-        write_facts(counted, f"{tmp_path}/facts", f"{tmp_path}/c1", availableNow=True).awaitTermination()
-        aside = dropped(stream, day)
-        write_facts(aside, f"{tmp_path}/aside", f"{tmp_path}/c2", by="reason", availableNow=True).awaitTermination()
-    facts = spark.read.schema(VISIT_FACT).parquet(f"{tmp_path}/facts").collect()
+        counted = count_visits_stream(stream, today=F.lit(today))
+        write_judged(counted, f"{tmp_path}/out", f"{tmp_path}/c", availableNow=True).awaitTermination()
+    facts = read_judged(spark, f"{tmp_path}/out", True).collect()
     assert {r.seq for r in facts} == {1, 3, 5, 6}
-    aside = spark.read.parquet(f"{tmp_path}/aside").collect()
-    assert {(r.seq, r.reason) for r in aside} == {(2, "future"), (4, "late")}
+    aside = read_judged(spark, f"{tmp_path}/out", False).collect()
+    assert {(r.seq, r.reason, r.sensor_id) for r in aside} == {(2, "future", "1"), (4, "late", "1")}
+
+
+def arriving(spark, rows, path, part, judged_on):
+    as_sightings(spark, rows).withColumn("judged_on", F.lit(judged_on)).coalesce(1).write.parquet(f"{path}/{part}")
+
+
+def test_every_sighting_is_in_one_table_when_batches_cross_midnight(spark, tmp_path):
+    """Each batch is judged by its own day; the same old sighting is accepted before and set aside after."""
+    today = at("00:00").date()
+    old = [(dt.timedelta(days=-2), "x"), (dt.timedelta(days=-3), "y"), (dt.timedelta(days=2), "z"), (dt.timedelta(days=1), "w")]
+    seq, source = 0, f"{tmp_path}/in"
+    want = {}
+    for part in range(4):
+        day = today + dt.timedelta(days=part // 2)
+        rows = []
+        for shift, station in old:
+            seq += 1
+            moment = at("10:00") + shift
+            rows.append((seq, f"{station}{seq}", f"d{seq}", moment))
+            gap = (moment.date() - day).days
+            want[seq] = "late" if gap < -2 else "future" if gap > 1 else "first"
+        arriving(spark, rows, source, part, day)
+        schema = SIGHTING.jsonValue()
+        stream = spark.readStream.schema(type(SIGHTING).fromJson(schema).add("judged_on", "date"))
+        stream = stream.option("recursiveFileLookup", "true").parquet(source)
+        rows = count_visits_stream(stream, today=F.col("judged_on"))
+        write_judged(rows, f"{tmp_path}/out", f"{tmp_path}/c", availableNow=True).awaitTermination()
+    facts = [(r.seq, r.kind) for r in read_judged(spark, f"{tmp_path}/out", True).collect()]
+    aside = [(r.seq, r.reason) for r in read_judged(spark, f"{tmp_path}/out", False).collect()]
+    assert len(facts) + len(aside) == len(want) and dict(facts + aside) == want
+    assert {kind for _, kind in facts} == {"first"} and {r for _, r in aside} == {"late", "future"}
+
+
+def test_a_stream_goes_on_from_stored_state_and_shows_its_own(spark, tmp_path):
+    """Mornings in batch, afternoons streamed over a restart; the state read from the checkpoint is the batch's."""
+    rows = random_sightings(31, ["x", "y", "z"], "AAB", 900, 86_400)
+    rows.sort(key=lambda r: (r[3], r[0]))
+    half = len(rows) // 3
+    counted, state = fold_visits(rows[:half])
+    prior = device_state(count_visits(as_sightings(spark, rows[:half])))
+    assert {(r.dev_id, r.start_date): (r.last_datetime, r.station_id) for r in prior.collect()} == state
+    want, source = set(), f"{tmp_path}/in"
+    for part in (1, 2):
+        chunk = rows[part * half : (part + 1) * half] if part == 1 else rows[2 * half :]
+        found, state = fold_visits(chunk, state)
+        want |= found
+        land(spark, chunk, source, part, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(source)
+        rows_out = count_visits_stream(stream, prior=prior)
+        write_judged(rows_out, f"{tmp_path}/out", f"{tmp_path}/c", availableNow=True).awaitTermination()
+        shown = {(r.dev_id, r.start_date): (r.last_datetime, r.station_id) for r in stored_state(spark, f"{tmp_path}/c").collect()}
+        assert shown == state
+    assert as_set(read_judged(spark, f"{tmp_path}/out", True)) == want
+
+
+@pytest.mark.parametrize("keys", [STATION_KEY, FLOW_KEY])
+def test_hours_behind_the_keyed_operator(spark, tmp_path, keys):
+    """Once the watermark has passed them, the hours are those of the batch operators."""
+    rows = random_sightings(32, ["x", "y", "z"], "AAB", 600, 86_400)
+    rows.sort(key=lambda r: (r[3], r[0]))
+    end = [(10_000, "E", "x", rows[-1][3] + dt.timedelta(days=9)), (10_001, "E", "x", rows[-1][3] + dt.timedelta(days=9, hours=2))]
+    source = f"{tmp_path}/in"
+    for part, chunk in enumerate((rows[:300], rows[300:], end[:1], end[1:])):
+        land(spark, chunk, source, part, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(source)
+        hours = hourly_stream(count_visits_stream(stream), keys)
+        write_facts(hours, f"{tmp_path}/hours", f"{tmp_path}/c", availableNow=True).awaitTermination()
+    visits = count_visits(as_sightings(spark, rows))
+    want = station_hourly(visits) if keys == STATION_KEY else flows_hourly(flows_from_visits(visits))
+    got = spark.read.parquet(f"{tmp_path}/hours").select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_replayed_tables_of_many_files_take_several_batches(spark, tmp_path):
+    events = spark.read.parquet(f"{TESTDATA}/sf0.001/events.parquet")
+    events.repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    queries = registry.queries()
+    base = registry._counted_stream(spark, str(tmp_path))
+    assert len(folders.children(spark, f"{base}/checkpoint/commits")) > 2
+    want = queries["count_visits"](spark, f"{TESTDATA}/sf0.001")
+    got = registry._shown(read_judged(spark, f"{base}/judged", True)).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.reason for r in read_judged(spark, f"{base}/judged", False).collect()} == {"late", "future"}
 
 
 def test_batch_day_is_the_local_day(spark):
