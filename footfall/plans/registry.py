@@ -573,8 +573,7 @@ def st_microbatch_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side table of a micro-batch judged by 20 January."""
     job = Ingest(scratch_path(spark, "ingest"), today=lambda: TODAY)
     job.run_batch(_dense_messages(spark, sf_dir).select("seq", "value"), 0)
-    rows = spark.read.parquet(job.table("dropped"))
-    return rows.select(*SIGHTING_COLUMNS, "reason")
+    return job.dropped(spark).select(*SIGHTING_COLUMNS, "reason")
 
 
 # Hourly tables.

@@ -45,9 +45,9 @@ class DeviceLog:
         rows = project_device_log(decoded).withColumn("log_date", F.to_date("TimeNow"))
         # As many as a batch names; days, not batches, are what is listed here.
         days = [r[0] for r in rows.select("log_date").distinct().collect()]
-        for name in folders.children(spark, f"{self.root}/log"):
-            if name.startswith("log_date="):
-                folders.remove(spark, f"{self.root}/log/{name}/batch_id={batch_id}")
+        # A batch run again names the same days, so what its first run has left lies in them alone.
+        for day in days:
+            folders.remove(spark, f"{self.root}/log/log_date={day}/batch_id={batch_id}")
         fresh = new_log_rows(rows, self._stored(spark, days, batch_id))
         fresh = fresh.withColumns({"log_date": F.to_date("TimeNow"), "batch_id": F.lit(batch_id).cast("long")})
         replace_partitions(staged(fresh, "log"), f"{self.root}/log", ["log_date", "batch_id"])

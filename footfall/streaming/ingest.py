@@ -8,11 +8,18 @@ rows are late or future is fixed in the first run of a batch and read in later o
 Device state is a log of the device-days each batch changed. A batch reads the state of the days
 it touches only, and keeps of it the device-days it touches, before anything is grouped.
 
-Every ``close_every`` batches the finished batches before the current one are closed: facts and
-counts go to one folder ``closed/through=N``, state to a snapshot without expired days, and their
-open folders are deleted. Readers take open folders only beyond the last finished closing, so a
-loss at any point shows no row twice. A batch opens the last snapshot and at most the open
-folders since, never a folder of all batches.
+Every ``close_every`` batches the finished batches before the current one are closed: facts, side
+tables and counts go to one folder ``closed/through=N``, state to a snapshot without expired days, and
+their open folders are deleted. A batch opens the last snapshot and at most the open folders since,
+never a folder of all batches.
+
+Closed folders are merged upward, as a log-structured tree is: ``merge_every`` of them become one
+folder ``level-1/through=N``, as many of those one of ``level-2``, and so on. Hourly counts are added
+up in each merge, so a key and day has one row per folder. A row is written again once per level,
+and after B batches a table has fewer than ``close_every + merge_every * log(B)`` folders to open.
+Readers take of each level only the folders beyond the last finished one of the level above, so a
+loss at any point, also between writing a merged folder and deleting what went into it, shows no
+row twice and hides none.
 """
 
 from __future__ import annotations
@@ -34,14 +41,27 @@ from footfall.operators.staging import staged
 from footfall.operators.state import device_state, expire_state
 from footfall.operators.stats import flows_hourly, station_hourly, widen
 from footfall.operators.visits import count_visits, flows_from_visits
-from footfall.schemas import DEVICE_STATE, FLOW_KEY, HOUR_COLUMNS, STATION_KEY, VISIT_FACT, hourly_wide
+from footfall.schemas import (
+    DEVICE_STATE,
+    FLOW_KEY,
+    HOUR_COLUMNS,
+    MESSAGE,
+    SIGHTING,
+    STATION_KEY,
+    VISIT_FACT,
+    hourly_wide,
+)
 from footfall.sources import folders
 
 _FACTS = {
     "visits": VISIT_FACT,
     "station_hourly": hourly_wide(STATION_KEY),
     "flows_hourly": hourly_wide(FLOW_KEY),
+    "dropped": T.StructType([*SIGHTING.fields, T.StructField("reason", T.StringType())]),
+    "rejected": T.StructType([*MESSAGE.fields, T.StructField("problem", T.StringType())]),
 }
+#: Tables without days have their folders unpartitioned.
+_BY = {name: ["stat_date"] for name in ("visits", "station_hourly", "flows_hourly")}
 _KEYS = {"station_hourly": STATION_KEY, "flows_hourly": FLOW_KEY}
 
 
@@ -58,6 +78,7 @@ class Ingest:
     today: Callable[[], dt.date] | None = None
     tz_delta_hours: int | None = None
     close_every: int = 50
+    merge_every: int = 8
 
     def table(self, name: str) -> str:
         """Path of one table."""
@@ -85,11 +106,13 @@ class Ingest:
         return day
 
     def _read(self, spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
-        """Rows of some folders; no others are listed."""
-        if not paths:
-            return spark.createDataFrame([], schema)
-        one = spark.read.schema(schema)
-        return reduce(DataFrame.unionByName, [one.parquet(path) for path in paths])
+        """Rows of some folders ``kind/number=N``; no others are listed, and those of a kind are one scan."""
+        kinds: dict[str, list[str]] = {}
+        for path in paths:
+            kinds.setdefault(path.rsplit("/", 1)[0], []).append(path)
+        scans = [spark.read.schema(schema).option("basePath", kind).parquet(*own) for kind, own in kinds.items()]
+        rows = [scan.select(*schema.names) for scan in scans]
+        return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], schema)
 
     def state(self, spark: SparkSession, batch_id: int, touched: DataFrame | None = None) -> DataFrame:
         """State before a batch: the last snapshot and the changes logged since.
@@ -119,11 +142,11 @@ class Ingest:
         spark = messages.sparkSession
         today = self._day(messages, batch_id)
         decoded = staged(decode_sighting(messages.select("seq", "value")), "decoded")
-        replace_whole(quarantine_bad(decoded), f"{self.table('rejected')}/batch_id={batch_id}")
+        replace_whole(quarantine_bad(decoded), self._open("rejected", batch_id))
         sightings = project_sighting(decoded)
         if today is not None:
             dropped = late_drop(sightings, today).unionByName(future_drop(sightings, today))
-            replace_whole(dropped, f"{self.table('dropped')}/batch_id={batch_id}")
+            replace_whole(dropped, self._open("dropped", batch_id))
             sightings = filter_horizon(sightings, today)
 
         touched = sightings.select("dev_id", F.col("event_date").alias("start_date")).distinct()
@@ -140,12 +163,9 @@ class Ingest:
 
     def close(self, spark: SparkSession, through: int, today: dt.date | None = None) -> None:
         """Gather the batches up to ``through``, which are all finished, and delete their folders."""
-        for name, schema in _FACTS.items():
-            target = f"{self.table(name)}/closed/through={through}"
-            if not folders.finished(spark, target):
-                rows = self._read(spark, schema, self._paths(spark, name, through)[1])
-                rows = rows if name == "visits" else self._added(rows, _KEYS[name])
-                replace_whole(rows, target, ["stat_date"])
+        for name in _FACTS:
+            self._gather(spark, name, self._paths(spark, name, through)["open"], f"closed/through={through}")
+            self._merge(spark, name)
         snapshots = self.table("device_state") + "/snapshot"
         target = f"{snapshots}/batch_id={through}"
         if not folders.finished(spark, target):
@@ -158,6 +178,42 @@ class Ingest:
         for batch in folders.numbers(spark, snapshots):
             if batch < through:
                 folders.remove(spark, f"{snapshots}/batch_id={batch}")
+        for batch in folders.numbers(spark, self.table("days")):
+            if batch <= through:  # a finished batch is not judged again
+                folders.remove(spark, f"{self.table('days')}/batch_id={batch}")
+
+    def _gather(self, spark: SparkSession, name: str, paths: list[str], folder: str) -> None:
+        """The rows of some folders as one folder, unless that is finished already."""
+        target = f"{self.table(name)}/{folder}"
+        if not folders.finished(spark, target):
+            rows = self._read(spark, _FACTS[name], paths)
+            replace_whole(self._added(rows, _KEYS[name]) if name in _KEYS else rows, target, _BY.get(name))
+
+    def _merge(self, spark: SparkSession, name: str) -> None:
+        """Merge the folders of each level that has enough of them, from the lowest up."""
+        found = [k for k in folders.children(spark, self.table(name)) if k.startswith("level-")]
+        highest = max((int(k.split("-")[1]) for k in found), default=0)
+        known = [folders.numbers(spark, f"{self.table(name)}/{self._kind(n)}") for n in range(highest + 1)]
+        for level in range(highest + 2):
+            if level == len(known):
+                return
+            through = max((n for above in known[level + 1 :] for n in above), default=-1)
+            kind, above = self._kind(level), self._kind(level + 1)
+            for n in known[level]:
+                if n <= through:  # merged before a loss, not yet deleted
+                    folders.remove(spark, f"{self.table(name)}/{kind}/through={n}")
+            beyond = [n for n in known[level] if n > through]
+            if len(beyond) >= self.merge_every:
+                paths = [f"{self.table(name)}/{kind}/through={n}" for n in beyond]
+                self._gather(spark, name, paths, f"{above}/through={beyond[-1]}")
+                for path in paths:
+                    folders.remove(spark, path)
+                known += [[]] if level + 1 == len(known) else []
+                known[level + 1].append(beyond[-1])
+
+    @staticmethod
+    def _kind(level: int) -> str:
+        return f"level-{level}" if level else "closed"
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger):
         """Run on a message stream; the trigger defaults to every three seconds."""
@@ -170,15 +226,22 @@ class Ingest:
             .start()
         )
 
-    def _paths(self, spark: SparkSession, name: str, through: int | None = None) -> tuple[list[str], list[str]]:
-        """The closed folders, and the open ones beyond them."""
-        closed = folders.numbers(spark, f"{self.table(name)}/closed")
-        beyond = [
-            n
-            for n in folders.numbers(spark, f"{self.table(name)}/open")
-            if n > max(closed, default=-1) and (through is None or n <= through)
-        ]
-        return [f"{self.table(name)}/closed/through={n}" for n in closed], [self._open(name, n) for n in beyond]
+    def _paths(self, spark: SparkSession, name: str, through: int | None = None) -> dict[str, list[str]]:
+        """The folders to read of each kind, from the highest level to the open ones."""
+        kinds = [k for k in folders.children(spark, self.table(name)) if k.startswith("level-")]
+        kinds = sorted(kinds, key=lambda k: -int(k.split("-")[1])) + ["closed", "open"]
+        found, last = {}, -1
+        for kind in kinds:
+            known = [n for n in folders.numbers(spark, f"{self.table(name)}/{kind}") if n > last]
+            if kind == "open":
+                known = [n for n in known if through is None or n <= through]
+            label = "batch_id" if kind == "open" else "through"
+            found[kind] = [f"{self.table(name)}/{kind}/{label}={n}" for n in known]
+            last = max([last, *known])
+        return found
+
+    def _rows(self, spark: SparkSession, name: str) -> DataFrame:
+        return self._read(spark, _FACTS[name], sum(self._paths(spark, name).values(), []))
 
     @staticmethod
     def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -186,9 +249,16 @@ class Ingest:
 
     def visits(self, spark: SparkSession) -> DataFrame:
         """Visit facts written so far."""
-        return self._read(spark, VISIT_FACT, sum(self._paths(spark, "visits"), []))
+        return self._rows(spark, "visits")
+
+    def dropped(self, spark: SparkSession) -> DataFrame:
+        """Late and future sightings, with the reason."""
+        return self._rows(spark, "dropped")
+
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """Text and problem of the rejected messages."""
+        return self._rows(spark, "rejected")
 
     def hourly(self, spark: SparkSession, name: str) -> DataFrame:
-        """Hourly counts: the rows of each closing and open batch, a few per key and day, added up."""
-        rows = self._read(spark, _FACTS[name], sum(self._paths(spark, name), []))
-        return self._added(rows, _KEYS[name])
+        """Hourly counts: one row per key and day of each folder, added up."""
+        return self._added(self._rows(spark, name), _KEYS[name])

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -20,7 +21,8 @@ from footfall.sources import folders
 from footfall.sources.messages import message_file_stream
 from footfall.streaming.devicelog import DeviceLog
 from footfall.streaming.ingest import Ingest
-from footfall.operators.stats import flows_hourly, station_hourly
+from footfall.operators.sinks import replace_whole
+from footfall.operators.stats import flows_hourly, station_hourly, widen
 from footfall.operators.visits import flows_from_visits
 from footfall.schemas import FLOW_KEY, STATION_KEY
 from footfall.streaming.visits import (
@@ -333,6 +335,55 @@ def test_closing_keeps_every_row_once(spark, tmp_path):
     assert folders.numbers(spark, closing.table("visits") + "/closed") == [1, 3]
 
 
+def test_levels_bound_the_folders_and_keep_every_row_once(spark, tmp_path):
+    """Closings of one batch each, merged in pairs; then a loss before the deletions of the highest merge."""
+    visits = count_visits(as_sightings(spark, random_sightings(27, ["x", "y"], "AB", 120, 40_000))).cache()
+    job = Ingest(str(tmp_path), merge_every=2)
+    tables = {"visits": visits, "station_hourly": widen(station_hourly(visits), STATION_KEY)}
+    for name, rows in tables.items():
+        for n in range(7):
+            part = visits.where(F.col("seq") % 7 == n)
+            part = part if name == "visits" else widen(station_hourly(part), STATION_KEY)
+            replace_whole(part, job._open(name, n), ["stat_date"])
+            job._gather(spark, name, [job._open(name, n)], f"closed/through={n}")
+            job._merge(spark, name)
+        paths = job._paths(spark, name)
+        assert [len(paths[k]) for k in ("level-2", "level-1", "closed", "open")] == [1, 1, 1, 0]
+
+    def shown():
+        return [
+            sorted(map(str, rows.select(sorted(rows.columns)).collect()))
+            for rows in (job.visits(spark), job.hourly(spark, "station_hourly"))
+        ]
+
+    want = [sorted(map(str, rows.select(sorted(rows.columns)).collect())) for rows in tables.values()]
+    assert shown() == want
+    again = f"{job.table('visits')}/closed/through=3"
+    spark.read.parquet(job._paths(spark, "visits")["level-2"][0]).write.partitionBy("stat_date").parquet(again)
+    assert shown() == want
+    job._merge(spark, "visits")
+    assert shown() == want and not folders.exists(spark, again)
+
+
+def test_many_closings_are_read_from_few_folders(spark, tmp_path):
+    """What 400 closings of 50 batches leave, folder by folder, without running them."""
+    job = Ingest(str(tmp_path), merge_every=8)
+    row = spark.createDataFrame([(1, "1", "A", "x", at("10:00"), at("10:00").date(), "late")], "seq long, sensor_id string, station_id string, dev_id string, event_ts timestamp_ntz, event_date date, reason string").coalesce(1)
+    row.write.parquet(f"{tmp_path}/one")
+    source = Path(tmp_path, "one")
+    for n in range(400):
+        target = Path(job.table("dropped"), "closed", f"through={n}")
+        target.parent.mkdir(parents=True, exist_ok=True)
+        shutil.copytree(source, target)
+        if (n + 1) % 8 == 0:
+            job._merge(spark, "dropped")
+    paths = sum(job._paths(spark, "dropped").values(), [])
+    assert len(paths) <= 8 * 3
+    rows = job.dropped(spark)
+    assert rows.count() == 400
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4
+
+
 def test_state_is_filtered_before_it_is_grouped(spark, tmp_path):
     job = Ingest(str(tmp_path))
     job.run_batch(messages(spark, [(i, "A", f"d{i}", at("10:00") + dt.timedelta(days=i % 3)) for i in range(30)]), 0)
