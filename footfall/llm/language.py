@@ -26,8 +26,9 @@ ORDERS = (1, 2, 3)
 SAMPLE = 1000
 #: Share of the sample on which the temperature is fitted.
 CALIBRATION = 0.2
-#: More languages than this are refused: the model's table has a column for each.
-MOST_LANGUAGES = 1000
+#: So many languages are learned, the most frequent ones (of equal ones, those that sort first): the
+#: model's table has a column for each, 1 MB. Texts of others are predicted like any text.
+MOST_LANGUAGES = 200
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: N-gram shares are small numbers; training sees them times this.
@@ -143,14 +144,12 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """About ``per_language`` rows of each language, chosen by a hash of the id."""
-    sizes = docs.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    chance = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, per_language / n)])[F.col("lang")]
+    """About ``per_language`` rows of each of the most frequent languages, chosen by a hash of the id."""
+    sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    # A language that is not learned has no chance, which is null.
+    chance = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, per_language / n)])[F.col("lang")] if sizes else F.lit(0.0)
     place = (F.xxhash64("doc_id", "lang") / F.lit(2.0**64)) + 0.5
-    chosen = docs.where(place < chance) if sizes else docs.where("false")
-    return chosen.select("doc_id", "lang", "text")
+    return docs.where(place < chance).select("doc_id", "lang", "text")
 
 
 def _ftrl(rows: list, labels: np.ndarray, n_classes: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

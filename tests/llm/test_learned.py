@@ -83,3 +83,46 @@ def test_quality_ignores_held_out_labels(spark):
     spoiled = labels.withColumn("quality", F.when(held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
     one, two = (quality.train(docs, x) for x in (labels, spoiled))
     assert np.array_equal(one.table, two.table) and one.bias == two.bias
+
+
+def test_more_languages_than_are_learned_give_rows(spark, monkeypatch):
+    """1,500 languages; the most frequent ones are learned, and every text gets a row."""
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 20)
+    rows = [(i, f"{chr(97 + i % 20) * 4} {chr(97 + (i + 3) % 20) * 5}", f"l{i % 20:02d}", None, None) for i in range(400)]
+    rows += [(1000 + i, f"text number {i}", f"rare{i}", None, None) for i in range(1500)]
+    got = language.predictions(spark.createDataFrame(rows, edge.SCHEMA)).collect()
+    assert len(got) == 1900 and {r.lang_pred for r in got} <= {f"l{i:02d}" for i in range(20)}
+    held = [r for r in got if r.held_out and r.doc_id < 400]
+    assert sum(r.lang_pred == f"l{r.doc_id % 20:02d}" for r in held) > 0.9 * len(held)
+
+
+def test_training_steps_equal_plain_loops():
+    """FTRL-proximal, feature by feature and class by class."""
+    rng = np.random.RandomState(0)
+    rows = [(np.append(np.sort(rng.choice(30, 5, replace=False)), language.BUCKETS), rng.rand(6)) for _ in range(25)]
+    labels, order = rng.randint(0, 3, 25), rng.permutation(25)
+    z, n = {}, {}
+
+    def weight(i, c):
+        a = z.get((i, c), 0.0)
+        if abs(a) <= language.L1:
+            return 0.0
+        return -(a - np.sign(a) * language.L1) / ((language.BETA + np.sqrt(n.get((i, c), 0.0))) / language.ALPHA + language.L2)
+
+    for _ in range(language.EPOCHS):
+        for r in order:
+            index, value = rows[r]
+            scores = [sum(v * weight(i, c) for i, v in zip(index, value)) for c in range(3)]
+            total = sum(np.exp(x) for x in scores)
+            step = {}
+            for c in range(3):
+                error = np.exp(scores[c]) / total - (labels[r] == c)
+                for i, v in zip(index, value):
+                    step[i, c] = (v * error, weight(i, c))
+            for key, (g, w) in step.items():
+                old = n.get(key, 0.0)
+                z[key] = z.get(key, 0.0) + g - (np.sqrt(old + g * g) - np.sqrt(old)) / language.ALPHA * w
+                n[key] = old + g * g
+    table, bias = language._ftrl(rows, labels, 3, order)
+    assert all(abs(table[i, c] - weight(i, c)) < 1e-9 for i in range(30) for c in range(3))
+    assert all(abs(bias[c] - weight(language.BUCKETS, c)) < 1e-9 for c in range(3))
