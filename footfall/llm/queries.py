@@ -38,8 +38,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "documents").select("doc_id")
-    return sharding.place(ids, sharding.shard_names(sharding.SHARDS)).select("doc_id", "slot", "shard")
+    placed = sharding.place(table(spark, sf_dir, "documents"), sharding.shard_names(sharding.SHARDS))
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(placed, path)
+    return spark.read.schema(placed.schema).parquet(path).select("doc_id", "slot", "shard")
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
