@@ -10,10 +10,16 @@ brings it to the greatest length, and queries a zero; pivots see vectors in that
 
 Equal vectors are one entry of the index with their least ids, so a vector that many rows share
 costs as much as any other.
+
+A file is searched in blocks of members and blocks of queries, every pair of which is one group, so no
+task holds more than a block of each, whatever the table. Queries are looked at one by one: how they
+are dealt changes nothing. Of a file in several member blocks, the best share is taken block by block.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,7 +29,8 @@ from footfall.llm.shared import written
 
 NEAREST = 20
 QUERY_EVERY = 20
-#: Pivots, chosen from a sample of this many vectors by a hash of the id. More rows want more.
+#: Pivots at least, and the vectors they are chosen from, by a hash. With more entries there are as many
+#: as the root of their number, up to a quarter of the sample.
 PIVOTS, PIVOT_SAMPLE = 256, 4096
 POSTS, PROBES = 8, 48
 #: Nearest pivots of a query that the footrule is summed over.
@@ -32,6 +39,8 @@ PREFIX = 48
 RERANK, LEAST_RERANK = 0.4, 64
 #: Members of a block of an inverted file, about; longer files are searched block by block.
 BLOCK_MEMBERS = 8192
+#: Queries of a file that are searched together, about.
+BLOCK_QUERIES = 4096
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -69,11 +78,11 @@ def entries(embeddings: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(usual), "dims").drop("dims")
 
 
-def _pivots(index: DataFrame, longest: float) -> np.ndarray:
-    """Unit pivots, one per row; fewer where there are few entries."""
+def _pivots(index: DataFrame, longest: float, count: int) -> np.ndarray:
+    """Unit pivots, one per row, for ``count`` entries; fewer where there are few."""
     sample = index.orderBy(F.xxhash64("entry"), "entry").select("vector").limit(PIVOT_SAMPLE).toArrow()
     vectors = _augmented(_matrix(sample["vector"].combine_chunks()), longest)
-    return vectors[: max(1, min(PIVOTS, len(vectors) // 4))]
+    return vectors[: max(1, min(max(PIVOTS, isqrt(count)), len(vectors) // 4))]
 
 
 def _augmented(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -142,12 +151,19 @@ def _candidates(queries: DataFrame, index: DataFrame, pivots, longest: float, pr
     """(query, entry, score) found by ``queries`` in the files of their first ``probes`` pivots."""
     posted = _posted(index, pivots, longest, POSTS, False)
     asked = _posted(queries, pivots, longest, probes, True)
-    sizes = posted.groupBy("pivot").count()  # one row for each pivot
-    blocks = F.broadcast(sizes.select("pivot", F.ceil(F.col("count") / BLOCK_MEMBERS).cast("int").alias("blocks")))
-    posted = posted.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int"))
-    asked = asked.join(blocks, "pivot").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    key = ["pivot", "block"]
-    groups = asked.drop("blocks").groupBy(*key).cogroup(posted.drop("blocks").groupBy(*key))
+    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        sizes = rows.groupBy("pivot").count()  # one row for each pivot
+        return F.broadcast(sizes.select("pivot", F.ceil(F.col("count") / size).cast("int").alias(name)))
+
+    def dealt(rows: DataFrame, own: str, other: str, blocks: str, parts: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("entry", F.lit(own)), F.col(blocks)).cast("int")
+        return rows.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).drop("blocks", "parts")
+
+    members, questions = blocks(posted, BLOCK_MEMBERS, "blocks"), blocks(asked, BLOCK_QUERIES, "parts")
+    posted = dealt(posted.join(members, "pivot").join(questions, "pivot"), "block", "part", "blocks", "parts")
+    asked = dealt(asked.join(members, "pivot").join(questions, "pivot"), "part", "block", "parts", "blocks")
+    key = ["pivot", "block", "part"]
+    groups = asked.groupBy(*key).cogroup(posted.groupBy(*key))
     found = groups.applyInArrow(_search, "query string, entry string, score double")
     return found.distinct()
 
@@ -167,10 +183,10 @@ def nearest(embeddings: DataFrame) -> DataFrame:
     index = written(least.join(vectors, "entry"), "entries")
     asked = written(rows.where(f"vec_id % {QUERY_EVERY} = 0").select(F.col("vec_id").alias("query_id"), "entry").distinct(), "queries")
     queries = index.join(asked.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
-    longest, count = index.agg(F.max("square"), F.sum(F.size("ids"))).first()
+    longest, count, different = index.agg(F.max("square"), F.sum(F.size("ids")), F.count("*")).first()
     if longest is None:
         return asked.selectExpr("query_id", "0 AS rank", "query_id AS vec_id", "0D AS score").where("false")
-    pivots = embeddings.sparkSession.sparkContext.broadcast(_pivots(index, longest))
+    pivots = embeddings.sparkSession.sparkContext.broadcast(_pivots(index, longest, different))
     found = written(_candidates(queries, index, pivots, longest, PROBES), "found")
     # Entries have up to NEAREST + 1 ids, of which the query's own is none of its candidates.
     wanted = min(NEAREST + 1, count)

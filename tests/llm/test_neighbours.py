@@ -72,3 +72,19 @@ def test_long_files_are_searched_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(n, "BLOCK_MEMBERS", 10)
     got, want = result(frame(spark, ids, vectors)), brute(ids, vectors)
     assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 20 * len(want)
+
+
+def test_blocks_of_queries_change_nothing(spark, monkeypatch):
+    rng = np.random.RandomState(6)
+    ids, vectors = np.arange(0, 1500, 5), rng.randn(300, 8).astype(np.float32).astype(np.float64)
+    rows = frame(spark, ids, vectors)
+    want = result(rows)
+    monkeypatch.setattr(n, "BLOCK_QUERIES", 3)
+    assert result(rows) == want
+
+
+def test_pivots_follow_the_entries(spark, monkeypatch):
+    rng = np.random.RandomState(7)
+    index = spark.createDataFrame([(str(i), bytes(rng.randn(4).tobytes())) for i in range(200)], "entry string, vector binary")
+    monkeypatch.setattr(n, "PIVOTS", 8)
+    assert [len(n._pivots(index, 99.0, count)) for count in (10, 400, 10**8)] == [8, 20, 50]
