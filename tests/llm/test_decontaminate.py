@@ -3,6 +3,7 @@ import random
 import re
 
 import edge
+import numpy as np
 from pyspark.sql import types as T
 
 from footfall.llm import decontaminate as d
@@ -66,3 +67,42 @@ def test_stage_drops_contaminated_only(spark):
     kept = d.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert kept.count() == len(edge.ROWS) - sum((t or "").startswith(edge.PROSE) for _, t, _ in edge.ROWS)
+
+
+def test_posts_are_thinned_and_still_meet():
+    """Neighbouring windows share posts; of any two texts with 13 words in common, a post agrees in place."""
+    rng = np.random.RandomState(2)
+    texts = [rng.randint(0, 1 << 40, n).astype(np.uint64) for n in (12, 13, 40, 400, 2000)]
+    words, first = np.concatenate(texts), np.cumsum([0] + [len(t) for t in texts])
+    place, prints = d._posts(words, first)
+    own = np.searchsorted(first, place, side="right") - 1
+    assert (own == 0).sum() == 0 and (own == 1).sum() == 1
+    assert (own == 4).sum() < 0.45 * 2000
+    at = {int(p) for p in place}
+    for begin in range(first[4], first[5] - 12):
+        assert any(begin <= p <= begin + 5 for p in at & set(range(begin, begin + 6)))
+    again, marks = d._posts(np.concatenate([texts[0], texts[4][100:140], texts[1]]), np.array([0, 12, 52, 65]))
+    shared = {int(p) - 12 + 100 for p in again if 12 <= p < 52}
+    assert shared <= {int(p - first[4]) for p in place[own == 4]}
+
+
+def test_the_join_is_on_fingerprints_alone(spark):
+    schema = "row long, print long, start int, size int, gram array<long>, before array<long>, after array<long>, context string"
+    gram = list(range(8))
+    mine = [(1, 5, 20, 0, gram, [1, 2, 3], [4, 5, 6], ""), (2, 5, 20, 0, gram, [1, 9], [4, 9], ""), (3, 5, 20, 0, [7] * 8, [1, 2, 3], [4, 5], "")]
+    theirs = [(0, 5, 0, 0, gram, [1, 2], [4, 5, 6, 7, 8], "c")]
+    posts, contexts = spark.createDataFrame(mine, schema), spark.createDataFrame(theirs, schema)
+    found = d.hits(posts.drop("context"), contexts.drop("row", "start"))
+    assert [tuple(r) for r in found.collect()] == [(1, 18, 13, "c")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "(print#" in plan
+
+
+def test_long_shared_spans_with_repeated_grams(spark):
+    """Texts of few words, where grams repeat and ties abound."""
+    rng = random.Random(9)
+    items = [(i, " ".join(rng.choice("ab") for _ in range(rng.choice([13, 14, 40])))) for i in range(6)]
+    items += [(20, "a " * 60), (21, "b a " * 30)]
+    texts = [" ".join(rng.choice("ab") for _ in range(80)) for _ in range(12)] + ["a " * 100, "a b " * 20, "b " * 12]
+    texts += [" ".join(["x"] * 3 + items[i][1].split() + ["y"]) for i in range(8)]
+    check(spark, edge.texts(spark, *texts), items)
