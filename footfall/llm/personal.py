@@ -38,8 +38,6 @@ HINTS = {
     "email": "@", "phone": r"\+",
     "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}",
 }
-#: Characters beside an entity in which a word co-occurs with it: any text's length.
-CONTEXT = (1 << 31) - 1
 LEAST_SUPPORT = 3
 #: What stands for the value of all rare entities of a kind; no value is like it.
 RARE = "*"
@@ -52,6 +50,9 @@ GENERALISE, REMOVE = 0.9, 0.97
 MARKERS = {kind: f"[{kind}]" for kind in KINDS[:4]} | {"generalise": "[term]", "remove": ""}
 
 _SPAN = "struct<start:int,end:int,value:string>"
+#: Elements of a list that are worked through together. What has been found so far is copied once per
+#: block, not once per element, so that a text with very many matches takes little longer per match.
+_BLOCK = 256
 _WORD = r"\p{L}{2,}+"
 
 
@@ -79,21 +80,48 @@ _CHECKS = {
 }
 
 
+def _in_blocks(rows: Column, empty: str, step) -> Column:
+    """Works through a list from left to right; an array of what each of its blocks gave, with where it began.
+
+    ``step(at, x)`` gives the place after an element, the element made of it, and whether that is kept.
+    The result is array<struct<at:int, found:array<...>, end:int>>.
+    """
+    nothing = F.expr(f"cast(array() as array<{empty}>)")
+    blocks = F.expr(f"cast(array() as array<struct<at:int,found:array<{empty}>,end:int>>)")
+
+    def one(done, x):
+        at, made, kept = step(done["at"], x)
+        found = F.when(kept, F.concat(done["found"], F.array(made))).otherwise(done["found"])
+        return F.struct(at.cast("int").alias("at"), found.alias("found"))
+
+    def block(done, part):
+        inner = F.aggregate(part, F.struct(done["at"].alias("at"), nothing.alias("found")), one)
+        whole = F.transform(F.array(inner), lambda x: F.struct(done["at"].alias("at"), x["found"].alias("found"), x["at"].alias("end")))
+        return F.transform(F.array(whole), lambda w: F.struct(w[0]["end"].alias("at"), F.concat(done["blocks"], w).alias("blocks")))[0]
+
+    start = F.struct(F.lit(0).alias("at"), blocks.alias("blocks"))
+    # The list is computed once: it is the lambda's own variable inside.
+    def through(all_rows):
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(all_rows) - 1), F.lit(_BLOCK))
+        parts = F.transform(starts, lambda i: F.slice(all_rows, i + 1, _BLOCK))
+        return F.aggregate(parts, start, block, lambda done: done["blocks"])
+
+    return F.transform(F.array(rows), through)[0]
+
+
 def _located(text: Column, pattern: str, wanted=lambda value: F.lit(True)) -> Column:
     """The wanted matches with their places: the lengths of what splitting leaves between the
     matches, and of the matches themselves, give every place."""
     rest, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    places = F.arrays_zip(rest.alias("rest"), matches.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{_SPAN}>)").alias("found"))
+    places = F.arrays_zip(F.transform(rest, F.length).alias("rest"), matches.alias("match"))
 
-    def step(done, x):
-        begin = done["at"] + F.length(x["rest"])
+    def step(at, x):
+        begin = at + x["rest"]
         end = begin + F.length(x["match"])
         span = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("value"))
-        more = F.when(wanted(x["match"]), F.concat(done["found"], F.array(span))).otherwise(done["found"])
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(x["match"].isNull(), done["found"]).otherwise(more).alias("found"))
+        return F.coalesce(end, begin), span, x["match"].isNotNull() & wanted(x["match"])
 
-    return F.aggregate(places, start, step, lambda done: done["found"])
+    return F.flatten(F.transform(_in_blocks(places, _SPAN, step), lambda block: block["found"]))
 
 
 def _spans(text: Column, kind: str) -> Column:
@@ -121,17 +149,26 @@ def _words(text: Column) -> Column:
 
 
 def entities(rows: DataFrame) -> DataFrame:
-    """(row, entity, n_entity): the entities of each text, rare ones as one per kind, and in how many texts each is."""
-    named = (F.transform(kind, lambda x, kind=kind: F.concat_ws(":", F.lit(kind), F.lower(x["value"]))) for kind in PATTERNS)
-    held = rows.where("text IS NOT NULL").select("row", F.explode(F.array_distinct(F.concat(*named))).alias("entity"))
-    counts = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    held = held.join(counts, "entity").select("row", "entity", "n_entity")
+    """(row, entity, n_entity): what each text holds, and in how many texts it is.
+
+    Entities that are in the same texts disclose and are disclosed alike, so they are one, named by
+    hashes of their texts; rare ones are one per kind.
+    """
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda x: F.concat_ws(":", F.lit(kind), F.lower(x["value"])))
+
+    held = rows.where("text IS NOT NULL").select("row", F.explode(F.array_distinct(F.concat(*map(named, PATTERNS)))).alias("entity"))
+    mark = F.xxhash64("row")
+    texts = F.concat_ws(":", F.lit("in"), F.count("*"), F.bit_xor(mark), F.bit_xor(F.xxhash64(mark, F.lit(1))))
+    counts = held.groupBy("entity").agg(F.count("*").alias("n_entity"), texts.alias("texts"))
+    held = held.join(counts, "entity").select("row", "entity", "n_entity", "texts")
     # The rare entities of a kind are one, and a text holds it once.
     is_rare = F.col("n_entity") < LEAST_SUPPORT
     kind = F.concat_ws(":", F.substring_index("entity", ":", 1), F.lit(RARE))
     rare = written(held.where(is_rare).select("row", kind.alias("entity")).distinct(), "rare")
     counts = F.broadcast(rare.groupBy("entity").agg(F.count("*").alias("n_entity")))  # one row for each kind
-    return held.where(~is_rare).union(rare.join(counts, "entity").select("row", "entity", "n_entity"))
+    often = held.where(~is_rare).select("row", F.col("texts").alias("entity"), "n_entity").distinct()
+    return often.union(rare.join(counts, "entity").select("row", "entity", "n_entity"))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -146,13 +183,14 @@ def disclosing_terms(rows: DataFrame, held: DataFrame, uses: DataFrame, total: i
     terms = terms.select("held", F.explode("words").alias("term"))
     # As n(c, t) <= n(c), a term in more texts than this stays below the thresholds for the entity.
     # Common words are most of a text: they are left out before they meet its entities.
-    common = uses.where(F.col("n_term") * COMMON > total).withColumnRenamed("n_term", "n_common")
+    common = written(uses.where(F.col("n_term") * COMMON > total).withColumnRenamed("n_term", "n_common"), "common")
 
     def possible(x):
         most = x["n_entity"] * F.pow(F.lit(float(total)) / x["n_entity"], F.lit(1 - GENERALISE)) * 1.001
         return F.col("n_common").isNull() | (F.col("n_common") <= most)
 
-    terms = terms.join(F.broadcast(common), "term", "left")
+    # A written table: its size on disk decides between broadcast and shuffle.
+    terms = terms.join(common, "term", "left")
     pairs = terms.select("term", F.inline(F.filter("held", possible)))
     pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_pair"))
     scored = pairs.where(f"n_pair >= {LEAST_SUPPORT}").join(uses, "term")
@@ -209,16 +247,27 @@ def sanitise(docs: DataFrame) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(found["doc_id"]) & (F.xxhash64(text) == found["text_hash"])
     joined = docs.join(found, same, "left")
     markers = F.array(*(F.lit(MARKERS[k]) for k in KINDS))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(done, x):
-        gap = F.substring(text, done["at"] + 1, F.greatest(x["start"] - done["at"], F.lit(0)))
-        grown = F.concat(done["out"], gap, F.when(x["start"] >= done["at"], F.get(markers, x["kind"])).otherwise(""))
-        return F.struct(F.greatest(done["at"], x["end"]).alias("at"), grown.alias("out"))
 
-    clean = F.aggregate(
-        found["spans"], start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    def step(at, x):
+        gap = F.struct(at.alias("start"), F.greatest(x["start"], at).alias("end"), F.when(x["start"] >= at, F.get(markers, x["kind"])).otherwise("").alias("value"))
+        return F.greatest(at, x["end"]), gap, F.lit(True)
+
+    def cleaned(block):
+        # The block's own piece of the text, so that no gap is looked for from the text's beginning.
+        piece = F.substring(text, block["at"] + 1, block["end"] - block["at"])
+        gaps = F.transform(
+            F.array(piece),
+            lambda own: F.array_join(
+                F.transform(block["found"], lambda x: F.concat(F.substring(own, x["start"] - block["at"] + 1, x["end"] - x["start"]), x["value"])), ""
+            ),
+        )
+        return gaps[0]
+
+    pieces = F.transform(
+        F.array(_in_blocks(found["spans"], _SPAN, step)),
+        lambda blocks: F.concat(F.array_join(F.transform(blocks, cleaned), ""), F.substring(text, F.element_at(blocks, -1)["end"] + 1, F.length(text))),
     )
+    clean = F.when(found["spans"].isNotNull(), pieces[0])
     return joined.select(*(F.coalesce(clean, text).alias("text") if c == "text" else docs[c] for c in docs.columns))
 
 
