@@ -301,10 +301,10 @@ def dedup_device_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _logged_stream(spark: SparkSession, sf_dir: str) -> log_stream.DeviceLog:
     """The log stream over all messages, two strays among them, in two micro-batches.
 
-    The second brings every message again.
+    The second brings every message again, and gathers what the first has stored.
     """
     base = scratch_path(spark, "log")
-    job = log_stream.DeviceLog(f"{base}/out")
+    job = log_stream.DeviceLog(f"{base}/out", buckets=8, close_every=1)
     for _ in range(2):
         rows = samples.event_messages(spark, sf_dir, log=True, strays=True)
         rows.write.mode("append").parquet(f"{base}/in")

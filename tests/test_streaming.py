@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import random
 import shutil
 import subprocess
 import sys
@@ -12,6 +13,7 @@ from fold import as_set, as_sightings, as_state, at, fold_visits
 from pyspark.sql import functions as F
 from test_visits import random_sightings
 
+from footfall.operators.decode import decode_device_log, project_device_log
 from footfall.operators.horizon import batch_day
 from footfall.operators.state import device_state
 from footfall.operators.visits import count_visits
@@ -416,6 +418,57 @@ def test_device_log_keeps_every_row_once(spark, tmp_path):
     assert [(r.seq, r.problem) for r in job.rejected(spark).collect()] == [(3, "bad_sensor")]
 
 
+def test_device_log_is_gathered_in_buckets_and_compared_without_a_shuffle(spark, tmp_path):
+    """Random batches with repeats of all ages, closed and merged often, against a plain set of keys."""
+    rng = random.Random(5)
+    job = DeviceLog(str(tmp_path), buckets=4, close_every=2, merge_every=2)
+    want, seq = set(), 0
+    for batch in range(6):
+        rows = []
+        for _ in range(30):
+            seq += 1
+            key = (str(rng.randrange(4)), f"2024-05-0{rng.randrange(1, 4)} 10:00:{rng.randrange(20):02d}")
+            want.add(key)
+            rows.append((seq, *key))
+        for _ in range(1 + (batch == 4)):  # a batch run again, also one that closes others
+            job.run_batch(log_messages(spark, rows), batch)
+        got = [(str(r.SensorId), str(r.TimeNow)) for r in job.rows(spark).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert [x.split('/')[-2:] for x in job._log.gathered(spark)] == [["level-1", "through=3"]]
+    assert len(job._log.pending(spark)) == 2
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("footfall_log_")]
+
+    again = project_device_log(decode_device_log(log_messages(spark, rows + [(seq + 1, "99", "2024-05-01 10:00:00")])))
+    fresh = job.new_rows(again, 6, "footfall_log_plan")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert [r.SensorId for r in fresh.collect()] == [99]
+    spark.sql("DROP TABLE footfall_log_plan")
+    # What the bucketed scan goes through up to the join: no exchange.
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth, above = lines[scan].index("- "), []
+    for line in reversed(lines[:scan]):
+        if "- " in line and line.index("- ") < depth:
+            depth = line.index("- ")
+            above.append(line[depth + 2 :].split()[0])
+    assert above[: above.index("SortMergeJoin")] == ["Filter", "Project", "Sort"], plan
+
+
+def test_device_log_survives_a_loss_between_merging_and_deleting(spark, tmp_path, monkeypatch):
+    job = DeviceLog(str(tmp_path), buckets=2, close_every=100, merge_every=2)
+    for batch in range(2):
+        job.run_batch(log_messages(spark, [(batch, str(batch), "2024-05-01 10:00:00")]), batch)
+        with monkeypatch.context() as patch:
+            patch.setattr(folders, "remove", lambda *_: None)
+            job.close(spark, batch)
+        assert sorted(r.SensorId for r in job.rows(spark).collect()) == list(range(batch + 1))
+    job.run_batch(log_messages(spark, [(5, "1", "2024-05-01 10:00:00"), (6, "x", "")]), 2)
+    job.close(spark, 2)
+    assert sorted(r.SensorId for r in job.rows(spark).collect()) == [0, 1]
+    assert job.rejected(spark).count() == 1
+    assert len(folders.numbers(spark, f"{tmp_path}/log/open")) == 0
+
+
 def test_package_reaches_workers_from_another_folder(tmp_path):
     """A session started elsewhere, with nothing on the workers' path, runs batch and stream."""
     script = f"""
