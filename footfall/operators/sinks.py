@@ -19,6 +19,9 @@ from footfall.operators.staging import staged
 from footfall.operators.stats import add_hours
 from footfall.schemas import LOG_FLUSH_ROWS, hourly_wide, monthly
 
+#: Small row groups let a look-up skip more; whole scans read them one after another.
+STATE_ROW_GROUP_BYTES = 16 << 20
+
 
 def _writer(rows: DataFrame, by: list[str]):
     """A partitioned writer: a value with many rows is written by several tasks, values with few
@@ -103,8 +106,18 @@ def read_monthly(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def save_state(state: DataFrame, path: str) -> None:
-    """Replace the state of the event dates that occur in ``state``."""
-    replace_partitions(staged(state, "state"), path, ["start_date"])
+    """Replace the state of the event dates that occur in ``state``.
+
+    Rows are cut into ranges of (day, device) and sorted, with a Bloom filter per row group, so that
+    the reader of some devices skips files, row groups and pages. A device has one row per day, so
+    no range is large.
+    """
+    order = ["start_date", "dev_id"]
+    rows = staged(state, "state").repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = rows.write.partitionBy("start_date").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("parquet.bloom.filter.enabled#dev_id", "true")
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.option("parquet.block.size", STATE_ROW_GROUP_BYTES).parquet(path)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +47,27 @@ def flows_month(spark: SparkSession, path: str, year: int, month: int) -> DataFr
     return hourly_month(spark, path, FLOW_KEY, year, month)
 
 
+#: Values that Spark pushes to a file as they are; of more it pushes their least and greatest only.
+_PUSHED = 10
+
+
 def device_state(
-    spark: SparkSession, path: str, day: dt.date | None = None, dev_id: str | None = None
+    spark: SparkSession,
+    path: str,
+    day: dt.date | None = None,
+    dev_id: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Stored device state: the whole table, one day partition, or one device of a day."""
+    """Stored device state: the whole table, one day partition, one device or some devices.
+
+    Days are partitions. Devices are looked up by the sorted files' statistics and Bloom filters
+    (``operators.sinks.save_state``); for more than some hundreds of them, join instead
+    (``operators.state.lookup_state``).
+    """
     table = spark.read.schema(DEVICE_STATE).parquet(path)
     if day is not None:
         table = table.where(F.col("start_date") == F.lit(day))
     if dev_id is not None:
-        table = table.where(F.col("dev_id") == F.lit(dev_id))
+        wanted = [dev_id] if isinstance(dev_id, str) else list(dev_id)
+        groups = [wanted[i : i + _PUSHED] for i in range(0, len(wanted), _PUSHED)]
+        table = table.where(reduce(or_, [F.col("dev_id").isin(g) for g in groups], F.lit(False)))
     return table

@@ -50,6 +50,7 @@ from footfall.schemas import (
     STATION_KEY,
     VISIT_FACT,
 )
+from footfall.streaming.metrics import observe_judged
 
 # An accepted sighting is never older than this below the newest accepted one.
 WATERMARK = f"{KEEP_DAYS_BACK + KEEP_DAYS_AHEAD + 1} days"
@@ -168,7 +169,7 @@ def count_visits_stream(
 
     ``kind`` is first, revisit or move for a visit, late or future for a sighting that is not
     accepted on ``today``; without ``today``, all are accepted. ``visits_of`` and ``set_aside`` part
-    the two. ``prior`` is device state to begin with, used by the query's first batch.
+    the two, and ``streaming.metrics`` has their counts per batch. ``prior`` is device state to begin with, used by the query's first batch.
 
     The state store must be RocksDB; a session that names another one gets it set here.
     """
@@ -178,7 +179,7 @@ def count_visits_stream(
     if today is None:
         seen = sightings.withColumns({"reason": F.lit(None).cast("string"), "judged_on": F.lit(None).cast("date")})
     else:
-        seen = judged(sightings, today).withColumn("judged_on", today)
+        seen = observe_judged(judged(sightings, today)).withColumn("judged_on", today)
     day_s = F.datediff("judged_on", F.lit("1970-01-01").cast("date")).cast("long") * _DAY_SECONDS
     aside = F.col("reason").isNotNull()
     keyed = (

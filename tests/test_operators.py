@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 
 import pytest
@@ -17,6 +18,7 @@ from footfall.schemas import (
     hourly_wide,
 )
 from footfall.schemas import monthly as monthly_schema
+from footfall.sources import tables
 from footfall.streaming.visits import epoch_seconds, from_epoch_seconds
 
 D = dt.date
@@ -287,3 +289,27 @@ def test_hourly_counts_are_added_once(spark, tmp_path):
         sinks.add_hourly(both, path, STATION_KEY, 1)
     table = spark.read.schema(hourly_wide(STATION_KEY)).parquet(path)
     assert {(r.station_id, r.stat_date, r.hour_03) for r in table.collect()} == {("a", one, 7), ("b", two, 4)}
+
+
+def rows_scanned(frame):
+    """Rows that the only scan of a collected frame has handed on."""
+    (leaf,) = [frame._jdf.queryExecution().executedPlan().collectLeaves().apply(0)]
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_state_look_up_reads_few_of_the_rows(spark, tmp_path):
+    """Ten devices, one of them unknown, among six million rows of two days."""
+    ids = F.sha2(F.col("id").cast("string"), 256).substr(1, 20)
+    day = F.date_add(F.lit("2024-05-01").cast("date"), (F.col("id") % 2).cast("int"))
+    state = spark.range(6_000_000).select(
+        ids.alias("dev_id"), day.alias("start_date"), F.col("id").cast("string").alias("station_id"),
+        F.lit("2024-05-01 10:00:00").cast("timestamp_ntz").alias("last_datetime"),
+    )
+    sinks.save_state(state, f"{tmp_path}/state")
+    wanted = [hashlib.sha256(str(n).encode()).hexdigest()[:20] for n in [*range(0, 5_400_000, 600_000), -1]]
+    found = tables.device_state(spark, f"{tmp_path}/state", dev_id=wanted)
+    assert sorted(int(r.station_id) for r in found.collect()) == list(range(0, 5_400_000, 600_000))
+    assert 0 < rows_scanned(found) < 0.05 * 6_000_000
+    many = tables.device_state(spark, f"{tmp_path}/state", dev_id=[*wanted, *map(str, range(40))])
+    assert many.count() == 9
+    assert tables.device_state(spark, f"{tmp_path}/state", dev_id=[]).count() == 0
