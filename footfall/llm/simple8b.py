@@ -109,29 +109,37 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, offsets.astype(np.int64)
 
 
-def unpack(words: np.ndarray, n: int) -> np.ndarray:
-    """The n numbers of packed blocks."""
-    out = np.zeros(n, dtype=np.uint64)
-    if not n:
-        return out
+def unpack(words: np.ndarray, offsets: np.ndarray, n: int, first: int = 0, last: int | None = None) -> np.ndarray:
+    """The numbers of the blocks ``first`` to ``last`` (exclusive; all if None) of ``n`` packed numbers.
+
+    ``offsets`` says which words a block has. Blocks are placed by their own numbers, so all words of
+    all of them are decoded at once, whatever lies before; no other block's words are touched. Words
+    that do not fill their block exactly raise ValueError.
+    """
+    last = len(offsets) - 1 if last is None else last
+    ends = np.minimum((np.arange(first, last) + 1) * BLOCK, n) - first * BLOCK
+    if last <= first:
+        return np.zeros(0, dtype=np.uint64)
+    bounds = np.asarray(offsets[first : last + 1], dtype=np.int64)
+    words, bounds = words[bounds[0] : bounds[-1]], bounds - bounds[0]
     selector = (words >> np.uint64(60)).astype(np.int64)
-    # The word after an escape is a number; two escapes in a row can't be told apart by themselves.
-    raw = np.zeros(len(words), dtype=bool)
-    at = np.flatnonzero(selector == ESCAPE)
-    for i in at.tolist():
-        if not raw[i]:
-            raw[i + 1] = True
-    head = np.flatnonzero(~raw)
-    selector = selector[head]
+    # An escaped number has more than 60 bits, so it never looks like an escape itself.
+    escapes = np.flatnonzero(selector == ESCAPE)
     count = COUNTS[selector]
-    first = np.concatenate([[0], np.cumsum(count)[:-1]])
+    count[escapes + 1] = 0
+    before = np.concatenate([[0], np.cumsum(count)])
+    if not np.array_equal(before[bounds[1:]], ends):
+        raise ValueError("packed words do not fill their blocks")
+    block = np.repeat(np.arange(last - first), np.diff(bounds))
+    at = block * BLOCK + (before[:-1] - before[bounds[:-1]][block])
+    selector[escapes + 1] = ESCAPE
+    out = np.zeros(ends[-1], dtype=np.uint64)
     for kind in range(1, 15):
-        mine = selector == kind
-        if mine.any():
+        mine = np.flatnonzero(selector == kind)
+        if len(mine):
             mask = np.uint64((1 << int(BITS[kind])) - 1)
-            word, to = words[head[mine]], first[mine]
+            word, to = words[mine], at[mine]
             for i in range(COUNTS[kind]):
                 out[to + i] = (word >> np.uint64(i * BITS[kind])) & mask
-    escaped = selector == ESCAPE
-    out[first[escaped]] = words[head[escaped] + 1]
+    out[at[escapes]] = words[escapes + 1]
     return out

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.simple8b import pack, unpack
+from footfall.llm.simple8b import BLOCK, pack, unpack
 from footfall.llm.text import LOWER, chunks
 
 CHUNK_IDS = 1 << 18
@@ -209,10 +209,11 @@ def write_token_file(docs: DataFrame, vocabulary_file: str, path: str, end_id: i
 def _documents(batches):
     names = ["part", "doc_id", "place", "n_tokens", "ids_crc32"]
     for batch in batches:
-        columns = [batch.column(c) for c in ("part", "first", "n_ids", "doc_ids", "counts", "words")]
-        for part, first, n_ids, doc_ids, counts, words in zip(*columns):
+        columns = [batch.column(c) for c in ("part", "first", "n_ids", "doc_ids", "counts", "offsets", "words")]
+        for part, first, n_ids, doc_ids, counts, offsets, words in zip(*columns):
             counts = counts.values.to_numpy()
-            ids = unpack(np.frombuffer(words.as_py(), dtype="<u8"), n_ids.as_py()).astype("<u4")
+            packed = np.frombuffer(words.as_py(), dtype="<u8")
+            ids = unpack(packed, offsets.values.to_numpy(), n_ids.as_py()).astype("<u4")
             ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
             sums = [crc32(ids[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -233,3 +234,33 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     found = chunks.mapInArrow(_documents, "part int, doc_id long, place long, n_tokens long, ids_crc32 long")
     found = found.join(F.broadcast(starts), "part")
     return found.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def read_documents(spark: SparkSession, path: str, wanted: list[int]) -> DataFrame:
+    """The ids (with the end id) of some documents: doc_id, ids.
+
+    Only chunks that hold one of them leave the scan, and of a chunk only the blocks a document lies
+    in are decoded. A doc_id that several rows have comes as often; one that no row has does not come.
+    The list travels with the plan; for many documents read the whole file and join.
+    """
+    wanted = sorted(set(wanted))
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c) for c in ("n_ids", "doc_ids", "counts", "offsets", "words")]
+            for n_ids, doc_ids, counts, offsets, words in zip(*columns):
+                mine = np.flatnonzero(pc.is_in(doc_ids.values, pa.array(wanted, pa.int64())).to_numpy(zero_copy_only=False))
+                ends = np.concatenate([[0], np.cumsum(counts.values.to_numpy(), dtype=np.int64)])
+                packed, offsets = np.frombuffer(words.as_py(), dtype="<u8"), offsets.values.to_numpy()
+                found = []
+                for a, b in zip(ends[mine].tolist(), ends[mine + 1].tolist()):
+                    first = a // BLOCK
+                    own = unpack(packed, offsets, n_ids.as_py(), first, -(-b // BLOCK))
+                    found.append(own[a - first * BLOCK : b - first * BLOCK].astype(np.int64))
+                if found:
+                    lists = pa.array(found, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([doc_ids.values.take(pa.array(mine)), lists], ["doc_id", "ids"])
+
+    some = F.arrays_overlap("doc_ids", F.array(*[F.lit(n).cast("long") for n in wanted]).cast("array<bigint>"))
+    rows = spark.read.schema(FILE).parquet(path).where(some)
+    return rows.select("n_ids", "doc_ids", "counts", "offsets", "words").mapInArrow(run, "doc_id long, ids array<long>")

@@ -5,11 +5,12 @@ import zlib
 import edge
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from footfall.llm import simple8b
 from footfall.llm.bpe import Bpe, encode_and_decode
-from footfall.llm.tokenfile import read_token_file, write_token_file
+from footfall.llm.tokenfile import read_documents, read_token_file, write_token_file
 from footfall.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -73,7 +74,31 @@ def test_packing_round_trips():
             if n > 10:
                 values[n // 3 : n // 2] = 0
             words, offsets = simple8b.pack(values)
-            assert (simple8b.unpack(words, n) == values).all()
-            for block, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-                part = values[block * simple8b.BLOCK :][: simple8b.BLOCK]
-                assert (simple8b.unpack(words[a:b], len(part)) == part).all()
+            assert (simple8b.unpack(words, offsets, n) == values).all()
+            for first in range(len(offsets) - 1):
+                for last in (first + 1, len(offsets) - 1):
+                    part = values[first * simple8b.BLOCK : last * simple8b.BLOCK]
+                    assert (simple8b.unpack(words, offsets, n, first, last) == part).all()
+
+
+def test_escaped_numbers_side_by_side():
+    values = np.array([2**64 - 1, 2**60, 5, 2**60, 2**63, 0] * 700, dtype=np.uint64)
+    words, offsets = simple8b.pack(values)
+    assert (simple8b.unpack(words, offsets, len(values)) == values).all()
+
+
+def test_words_that_do_not_fill_their_block_are_refused():
+    words, offsets = simple8b.pack(np.arange(3000, dtype=np.uint64))
+    with pytest.raises(ValueError):
+        simple8b.unpack(words, offsets + np.array([0, 1, 0, 0]), 3000)
+
+
+def test_single_documents_are_read_by_their_blocks(spark):
+    """Documents of many blocks, two of one id, one without text, one that is not there."""
+    texts = [(n, f"alpha {n} " * (n * 40)) for n in range(1, 60)] + [(7, "again"), (60, None), (None, "nobody's")]
+    path = scratch_path(spark, "test-tokens")
+    write_token_file(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), PATH, path, end_id=1)
+    got = sorted((r.doc_id, r.ids) for r in read_documents(spark, path, [7, 59, 60, 1000, 7]).collect())
+    want = [(n, [*LIBRARY.encode(t or "", add_special_tokens=False).ids, 1]) for n, t in texts if n in (7, 59, 60)]
+    assert got == sorted(want)
+    assert read_documents(spark, path, []).collect() == []
