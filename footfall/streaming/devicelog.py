@@ -77,8 +77,10 @@ class DeviceLog:
         rows = _read(spark, _STORED, paths).repartition(buckets, *LOG_KEY)
         writer = rows.write.format("parquet").partitionBy("log_date").bucketBy(buckets, *LOG_KEY)
         # Only a table of the catalog can be bucketed; its files stay when it is dropped.
-        writer.mode("overwrite").option("path", target).saveAsTable(name)
-        spark.sql(f"DROP TABLE {name}")
+        try:
+            writer.mode("overwrite").option("path", target).saveAsTable(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def _gathered(self, spark: SparkSession, days: list, name: str) -> DataFrame:
         """A bucketed table ``name`` over the gathered files of some days; the caller drops it."""
