@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import written
+from footfall.llm.shared import join_split, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    moved = join_split(both.where("v > u"), least, ["u"], "v")
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the least of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = join_split(edges, least, ["u"], "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -36,8 +37,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     are then the least nodes. Self-links and repeated links are allowed; no edges give no rows.
     """
     stars = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    stars = written(stars, "stars")
     while True:
-        stars = written(_small_star(_large_star(stars)), "stars")
+        stars = written(_small_star(written(_large_star(stars), "stars")), "stars")
         if _are_stars(stars):
             break
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

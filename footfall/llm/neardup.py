@@ -4,8 +4,11 @@ Texts with equal sets form a class at once; only one document of a class is comp
 signature is cut into bands, and classes that share a band meet in its bucket. A bucket is never
 expanded into pairs: first its members are compared with one centre, links are confirmed, and
 members that are already connected need no comparison any more. Buckets that still hold several
-components are then looked at in blocks of bounded size, pair of blocks by pair of blocks: a task
-compares members of different components and returns only the links that join two of them.
+components are then looked at in blocks of bounded size, first block by block, then, where that
+left several components, pair of blocks by pair of blocks. Tasks see sizes and signatures and name
+the members that have a likely partner in another component; only these members' full sets are
+sent, and only links that join two components are returned. Frequent buckets and centres are
+split in every join.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import connected_components
-from footfall.llm.shared import bloom, written
+from footfall.llm.shared import bloom, bloom_bits, join_split, written
 from footfall.llm.text import NOT_SPACE, chunks, grams, mix, words_of
 
 SHINGLE = 5
@@ -96,7 +99,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, shingles) of at least the documents in ``ids``; the texts themselves are not shuffled."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bloom(ids))
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom(ids, bloom_bits(ids.count())))
 
     def sets(batches):
         for batch in batches:
@@ -128,26 +131,29 @@ def _similar(batches):
 
 
 def _alike_in_size() -> F.Column:
-    small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
+    small, large = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
     return small * 100 >= large * PERCENT
 
 
+def _with_sides(pairs: DataFrame, compared: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b) with ``columns`` of both as a_..., b_...; b may be the centre of many pairs."""
+    sides = {
+        side: compared.select(F.col("rep").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "ab"
+    }
+    return join_split(pairs, sides["b"], ["b"], "a").join(sides["a"], "a")
+
+
 def _likely(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
-    for side in "ab":
-        own = compared.select(
-            F.col("rep").alias(side), F.col("n_shingles").alias(f"{side}_size"), F.col("signature").alias(f"{side}_signature")
-        )
-        pairs = pairs.join(own, side)
-    return pairs.where(_alike_in_size()).select("a", "b", "a_signature", "b_signature").mapInArrow(_similar, "a long, b long")
+    pairs = _with_sides(pairs, compared, "n_shingles", "signature").where(_alike_in_size())
+    return pairs.select("a", "b", "a_signature", "b_signature").mapInArrow(_similar, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    for side in "ab":
-        pairs = pairs.join(compared.select(F.col("rep").alias(side), F.col("shingles").alias(f"{side}_set")), side)
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    union = F.size("a_set") + F.size("b_set") - shared
+    pairs = _with_sides(pairs, compared, "shingles")
+    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    union = F.size("a_shingles") + F.size("b_shingles") - shared
     return pairs.where(shared * 100 >= union * PERCENT).select("a", "b")
 
 
@@ -161,61 +167,97 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
     """(key, rep, centre) of the buckets with two classes or more; the centre is the least."""
     members = classes.select("rep", F.explode("bands").alias("key"))
     centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("high"))
-    return members.join(centres.where("centre < high").drop("high"), "key")
+    return join_split(members, centres.where("centre < high").drop("high"), ["key"], "rep")
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members (key, rep, component) of the buckets that still hold two components."""
+    """Members (key, rep, component, ...) of the buckets that still hold two components."""
     spread = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(spread.where("low < high").select("key"), "key")
+    return join_split(members, spread.where("low < high").select("key"), ["key"], "rep")
 
 
-def _joining_links(key: tuple, group: pa.Table) -> pa.Table:
-    """Confirmed links (a, b) that join components, of the members of one pair of blocks.
+class _Group:
+    """The members of one pair of blocks, by ascending rep."""
 
-    Pairs within a block are compared in the group of the block with itself.
-    """
-    low, high = key[1].as_py(), key[2].as_py()
-    reps = group["rep"].to_numpy()
-    order = np.argsort(reps, kind="stable")
-    group, reps = group.take(pa.array(order)), reps[order]
-    block = group["block"].to_numpy()
-    sizes = group["n_shingles"].to_numpy()
-    minima = np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint16).reshape(-1, MINIMA)
-    lists = group["shingles"].combine_chunks()
+    def __init__(self, key: tuple, group: pa.Table):
+        low, high = key[1].as_py(), key[2].as_py()
+        self.rows = group.take(pa.array(np.argsort(group["rep"].to_numpy(), kind="stable")))
+        self.reps, self.sizes, self.block = (self.rows[c].to_numpy() for c in ("rep", "n_shingles", "block"))
+        self.component = self.rows["component"].to_numpy().copy()
+        self.minima = np.frombuffer(b"".join(self.rows["signature"].to_pylist()), dtype=np.uint16).reshape(-1, MINIMA)
+        self.ones, self.others = np.flatnonzero(self.block == low), np.flatnonzero(self.block == high)
+        self.alone = low == high
+
+    def likely(self, i: int) -> np.ndarray:
+        """Members of other components whose size and signature allow a link with member i, likeliest first.
+
+        Pairs within a block are looked at once, from their lesser member.
+        """
+        others = self.others[self.others > i] if self.alone else self.others
+        others = others[self.component[others] != self.component[i]]
+        small, large = np.minimum(self.sizes[others], self.sizes[i]), np.maximum(self.sizes[others], self.sizes[i])
+        others = others[small * 100 >= large * PERCENT]
+        equal = (self.minima[others] == self.minima[i]).sum(axis=1)
+        return others[np.argsort(-equal, kind="stable")][: int((equal >= LEAST_EQUAL).sum())]
+
+
+MEMBER = "key long, low int, high int, block int, rep long, component long"
+
+
+def _with_partners(key: tuple, group: pa.Table) -> pa.Table:
+    """The members of one pair of blocks that have a likely partner there."""
+    members = _Group(key, group)
+    found = np.zeros(len(members.reps), dtype=bool)
+    for i in members.ones:
+        partners = members.likely(i)
+        found[partners] = True
+        found[i] |= len(partners) > 0
+    return members.rows.filter(pa.array(found)).select(["key", "low", "high", "block", "rep", "component"])
+
+
+def _joining_links(key: tuple, group: pa.Table) -> pa.Table:
+    """Confirmed links (a, b) that join components, of the members of one pair of blocks."""
+    members = _Group(key, group)
+    lists = members.rows["shingles"].combine_chunks()
     values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()  # sorted as unsigned
     sets = [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
-    component = group["component"].to_numpy().copy()
-    links = []
-    ones = np.flatnonzero(block == low)
-    for i in ones:
-        others = np.flatnonzero((component != component[i]) & (block == high) & ((np.arange(len(reps)) > i) | (low != high)))
-        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        others = others[small * 100 >= large * PERCENT]
-        equal = (minima[others] == minima[i]).sum(axis=1)
-        for j in others[np.argsort(-equal, kind="stable")][: int((equal >= LEAST_EQUAL).sum())]:
+    component, links = members.component, []
+    for i in members.ones:
+        for j in members.likely(i):
             if component[j] == component[i]:
                 continue
             at = np.minimum(np.searchsorted(sets[i], sets[j]), len(sets[i]) - 1)
             shared = int((sets[i][at] == sets[j]).sum())
             if shared * 100 >= (len(sets[i]) + len(sets[j]) - shared) * PERCENT:
                 component[component == component[j]] = component[i]
-                links.append((reps[i], reps[j]))
+                links.append((members.reps[i], members.reps[j]))
     return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
 
-def _across_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
-    """Links between components of one bucket, for buckets (key, rep, component) of any size."""
-    sized = members.join(compared.select("rep", "n_shingles"), "rep")
+def _in_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
+    """``members`` with the number ``n`` of blocks of their bucket and their own ``block``."""
+    sized = written(members.join(compared.select("rep", "n_shingles"), "rep"), "sized")
     blocks = sized.groupBy("key").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n")
     )
-    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select(
-        "key", "rep", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = join_split(sized.drop("n_shingles"), blocks, ["key"], "rep")
+    return dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+
+
+def _links_of_blocks(members: DataFrame, compared: DataFrame, across: bool) -> DataFrame | None:
+    """Links that join components, within the blocks of a bucket or across them; None without any likely one."""
+    if across:
+        members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
+    else:
+        members = members.withColumn("other", F.col("block"))
+    pairs = members.select(
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "component"
     )
-    return dealt.join(compared, "rep").groupBy("key", "low", "high").applyInArrow(_joining_links, "a long, b long")
+    groups = pairs.join(compared.select("rep", "n_shingles", "signature"), "rep").groupBy("key", "low", "high")
+    likely = written(groups.applyInArrow(_with_partners, MEMBER), "likely")
+    if likely.isEmpty():
+        return None
+    return likely.join(compared, "rep").groupBy("key", "low", "high").applyInArrow(_joining_links, "a long, b long")
 
 
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -226,14 +268,23 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     reps = written(members.select("rep").distinct(), "reps")
     sets = _sets_of(docs, reps).withColumnRenamed("doc_id", "rep")
     compared = written(classes.select("rep", "n_shingles", "signature").join(reps, "rep", "left_semi").join(sets, "rep"), "compared")
-    pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    links = written(_confirmed(_likely(pairs, compared), compared), "links")
+    pairs = written(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    links = written(_confirmed(written(_likely(pairs, compared), "likely"), compared), "links")
     labels = written(connected_components(links), "labels")
-    members = written(_unresolved(_with_component(members.where("rep <> centre").select("rep", "key"), labels)), "members")
+    members = written(_with_component(members.where("rep <> centre").select("rep", "key"), labels), "members")
+    members = written(_unresolved(members), "members")
     if members.isEmpty():
         return labels
-    found = written(_across_blocks(members, compared), "links")
-    return written(connected_components(labels.toDF("a", "b").union(found)), "labels")
+    members = written(_in_blocks(members, compared), "members")
+    for across in (False, True):
+        found = _links_of_blocks(members, compared, across)
+        if found is None:
+            continue
+        labels = written(connected_components(labels.toDF("a", "b").union(found)), "labels")
+        if not across:
+            members = written(_with_component(members.drop("component"), labels), "members")
+            members = written(_unresolved(members), "members")
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -254,7 +305,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = classes.select(*key, "rep")
     named = _with_component(named, labels) if labels else named.withColumn("component", F.col("rep"))
     named = named.drop("rep")
-    joined = rows.select("doc_id", *key).join(named, key, "left")
+    joined = join_split(rows.select("doc_id", *key), named, key, "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),

@@ -1,4 +1,4 @@
-"""Written intermediate tables, decisions joined back to documents, and fixed-size Bloom filters."""
+"""Written intermediate tables, joins that split frequent keys, decisions joined back, bounded Bloom filters."""
 
 from __future__ import annotations
 
@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from footfall.llm.text import mix
 from footfall.session import scratch_path
 
-#: Bits of a Bloom filter: 2 MB whatever the number of keys. More keys only let more rows through.
-BLOOM_BITS = 1 << 24
+#: Bits of a Bloom filter: 2 MB, or with ``bloom_bits`` 32 MB at most. More keys only let more rows through.
+BLOOM_BITS, MOST_BLOOM_BITS = 1 << 24, 1 << 28
+
+#: Rows of one key that a task joins alone; keys with more are split while fewer than SPLIT_KEYS of
+#: them are possible, beyond that (``SPLIT_KEYS * SPLIT_ROWS`` rows in all) at a share of all rows.
+SPLIT_ROWS, SPLIT_KEYS = 256, 100_000
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
@@ -86,6 +90,31 @@ def bloom(keys: DataFrame, bits: int = BLOOM_BITS) -> Bloom:
     return Bloom(words)
 
 
+def bloom_bits(keys: int) -> int:
+    """Bits for about 16 a key, between the usual and the greatest size."""
+    return min(max(BLOOM_BITS, 1 << (16 * keys).bit_length()), MOST_BLOOM_BITS)
+
+
+def join_split(rows: DataFrame, other: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``other`` on ``key`` (inner or left), however many rows one key has.
+
+    The rows of a frequent key are dealt by ``by`` to several tasks, and the rows of ``other`` with
+    that key are copied to each of them. Frequent is a key with more than SPLIT_ROWS rows and more
+    than 1 / SPLIT_KEYS of all rows, so fewer than SPLIT_KEYS keys are ever broadcast. ``rows`` is
+    read twice, so it should be a table.
+    """
+    counts = rows.groupBy(*key).agg(F.count("*").alias("rows"))
+    total, top = counts.agg(F.sum("rows"), F.max("rows")).first()
+    most = max(SPLIT_ROWS, (total or 0) // SPLIT_KEYS)
+    if (top or 0) <= most:
+        return rows.join(other, key, how)
+    parts = F.broadcast(counts.where(F.col("rows") > most).select(*key, F.ceil(F.col("rows") / most).cast("int").alias("parts")))
+    count = F.coalesce("parts", F.lit(1))
+    dealt = rows.join(parts, key, "left").withColumn("part", F.pmod(F.xxhash64(by), count).cast("int"))
+    copied = other.join(parts, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), count - 1)))
+    return dealt.drop("parts").join(copied.drop("parts"), [*key, "part"], how).drop("part")
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows whose id and text are in ``dropped`` (doc_id, text_hash).
 

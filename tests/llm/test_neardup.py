@@ -2,8 +2,10 @@ import random
 import re
 
 import edge
+from pyspark.sql import functions as F
 
 from footfall.llm import neardup as n
+from footfall.llm import shared
 from footfall.llm.components import connected_components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -87,3 +89,35 @@ def test_components(spark):
     del want[100]
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_split_joins_equal_plain_ones(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(300)] + [(None, -1)], "k long, x long")
+    other = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (9, "d"), (None, "e")], "k long, y string")
+    for how in ("inner", "left"):
+        want = sorted(map(repr, rows.join(other, ["k"], how).collect()))
+        for most in (1, 20, 1000):
+            monkeypatch.setattr(shared, "SPLIT_ROWS", most)
+            assert sorted(map(repr, shared.join_split(rows, other, ["k"], "x", how).collect())) == want
+    assert shared.join_split(rows.limit(0), other, ["k"], "x").collect() == []
+
+
+def test_bloom_grows_with_its_keys_to_a_bound():
+    assert shared.bloom_bits(0) == shared.bloom_bits(1000) == shared.BLOOM_BITS
+    assert shared.bloom_bits(4_000_000) == 1 << 26
+    assert shared.bloom_bits(10**12) == shared.MOST_BLOOM_BITS
+
+
+def test_a_hot_bucket_of_unlinked_members(spark):
+    """20,000 texts share a long passage, so that many meet in a bucket; hidden among them are pairs."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    size, pairs = 20_000, [(5, 19_000), (700, 701), (8_000, 12_345)]
+    twin = {b: a for a, b in pairs}
+    text = F.concat(F.lit(passage + " "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(45)), lambda w: F.concat(F.lit("w"), F.xxhash64("like", w).cast("string"))), " "))
+    like = F.col("doc_id")
+    for b, a in twin.items():
+        like = F.when(F.col("doc_id") == b, a).otherwise(like)
+    docs = spark.range(size).withColumnRenamed("id", "doc_id").withColumn("like", like).withColumn("text", text)
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(list(twin)), F.concat("text", F.lit(" end"))).otherwise(F.col("text")))
+    found = {r.doc_id: r.component_id for r in n.near_duplicates(docs).where("NOT kept").collect()}
+    assert found == twin
