@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import held_out, learnable
+from footfall.llm.shared import held_out, learnable, of_bounded_bytes
 from footfall.llm.text import chunks
 
 #: Hash buckets of the n-grams; one more takes what crosses texts.
@@ -24,6 +24,8 @@ BUCKETS = 1 << 17
 ORDERS = (1, 2, 3)
 #: About so many texts of each language are learned from, chosen by a hash of the id.
 SAMPLE = 1000
+#: Bytes of the texts learned from, together; beyond, the longest of the sample are left out.
+SAMPLE_BYTES = 96 << 20
 #: Share of the sample on which the temperature is fitted.
 CALIBRATION = 0.2
 #: So many languages are learned, the most frequent ones (of equal ones, those that sort first): the
@@ -190,7 +192,8 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     """A model from the labelled rows that may be learned from; None without any letter to learn from."""
     labelled = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequency, texts = document_frequencies(labelled)
-    rows = sample(labelled.select("doc_id", "lang", "text"), per_language).toArrow().combine_chunks()
+    chosen = of_bounded_bytes(sample(labelled.select("doc_id", "lang", "text"), per_language), SAMPLE_BYTES)
+    rows = chosen.toArrow().combine_chunks()
     order = np.lexsort((np.array(rows["lang"].to_pylist(), dtype=object), rows["doc_id"].to_numpy())) if len(rows) else []
     rows = rows.take(pa.array(order, pa.int64()))
     if not len(rows) or not frequency.any():

@@ -17,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import held_out, learnable
-from footfall.llm.text import NOT_SPACE, chunks, grams, hashes, mix, spans
+from footfall.llm.shared import held_out, learnable, of_bounded_bytes
+from footfall.llm.text import NOT_SPACE, characters, chunks, grams, hashes, mix, spans
 
 BUCKETS = 1 << 18
 DIMENSIONS = 16
 CHARACTERS = (3, 4)
 #: About so many labelled texts of each class are learned from, chosen by a hash of the id.
 SAMPLE = 3000
+#: Bytes of the texts learned from, together; beyond, the longest of the sample are left out.
+SAMPLE_BYTES = 96 << 20
 EPOCHS = 4
 RATE = 0.5
 #: Stands for a word that repeats its predecessor.
@@ -46,16 +48,15 @@ def features(column: pa.Array):
         inside = text[1:] == text[:-1]
         pair_first = np.searchsorted(np.flatnonzero(inside), first) if len(pairs) else np.zeros_like(first)
         kinds = [(marked, first), (pairs[inside] if len(pairs) else pairs, pair_first)]
-        wide = data.astype(np.uint64)
-        solid = NOT_SPACE[data]
-        solid_until = np.concatenate([[0], np.cumsum(solid)])
-        text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        codes, places, firsts = characters(data, offsets)
+        solid_until = np.concatenate([[0], np.cumsum(NOT_SPACE[data[places]])])
+        text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
         for n in CHARACTERS:
-            found = grams(wide, n)
+            found = grams(codes, n)
             at = np.arange(len(found))
             whole = (solid_until[n:][: len(found)] - solid_until[: len(found)] == n) & (text_of[at] == text_of[at + n - 1])
             at = np.flatnonzero(whole)
-            kinds.append((found[at], np.searchsorted(at, offsets)))
+            kinds.append((found[at], np.searchsorted(at, firsts)))
         yield [((mix(h + np.uint64(i)) >> np.uint64(46)).astype(np.int64), f) for i, (h, f) in enumerate(kinds)]
 
 
@@ -96,26 +97,8 @@ def _sample(labels: DataFrame, per_class: int) -> DataFrame:
     return rows.join(F.broadcast(sizes), "quality").where(place < F.lit(float(per_class)) / F.col("n"))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Model | None:
-    """A model from labelled texts that may be learned from; None where there are none.
-
-    The bounded sample is broadcast to the documents and fetched with their whole texts. Classes
-    are sampled to about equal sizes; the bias is then moved to the classes' shares among all
-    labels, so that scores are probabilities of the labelled population.
-    """
-    wanted = _sample(labels, per_class).select("doc_id", "quality", "n")
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").where("text IS NOT NULL").toArrow().combine_chunks()
-    if not len(rows):
-        return None
-    texts = rows["text"].to_pylist()
-    order = sorted(range(len(rows)), key=lambda i: (rows["doc_id"][i].as_py(), texts[i]))
-    rows = rows.take(pa.array(order))
-    y, sizes = rows["quality"].to_numpy().astype(int), rows["n"].to_numpy()
-    vectors = []
-    for kinds in features(rows["text"].combine_chunks()):
-        for i in range(len(kinds[0][1]) - 1):
-            own = np.concatenate([bucket[first[i] : first[i + 1]] for bucket, first in kinds])
-            vectors.append(np.unique(own, return_counts=True))
+def _descend(vectors: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature vectors, layer and bias after the epochs, from the (buckets, counts) and class of each text."""
     rng = np.random.RandomState(11)
     embedding = (rng.random_sample((BUCKETS, DIMENSIONS)) - 0.5) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
@@ -139,6 +122,31 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Model
             # The mean shares its gradient among its features; as every feature of the text is
             # moved, the text moves by the sum of squared shares, so the step is scaled back.
             embedding[bucket] -= (rate * share / (share @ share))[:, None] * back
+    return embedding, layer, bias
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Model | None:
+    """A model from labelled texts that may be learned from; None where there are none.
+
+    The bounded sample is broadcast to the documents and fetched with their whole texts. Classes
+    are sampled to about equal sizes; the bias is then moved to the classes' shares among all
+    labels, so that scores are probabilities of the labelled population.
+    """
+    wanted = _sample(labels, per_class).select("doc_id", "quality", "n")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").where("text IS NOT NULL")
+    rows = of_bounded_bytes(chosen, SAMPLE_BYTES).toArrow().combine_chunks()
+    if not len(rows):
+        return None
+    texts = rows["text"].to_pylist()
+    order = sorted(range(len(rows)), key=lambda i: (rows["doc_id"][i].as_py(), texts[i]))
+    rows = rows.take(pa.array(order))
+    y, sizes = rows["quality"].to_numpy().astype(int), rows["n"].to_numpy()
+    vectors = []
+    for kinds in features(rows["text"].combine_chunks()):
+        for i in range(len(kinds[0][1]) - 1):
+            own = np.concatenate([bucket[first[i] : first[i + 1]] for bucket, first in kinds])
+            vectors.append(np.unique(own, return_counts=True))
+    embedding, layer, bias = _descend(vectors, y)
     direction = layer[:, 1] - layer[:, 0]
     n = {c: (sizes[y == c][0] if (y == c).any() else 0, (y == c).sum()) for c in (0, 1)}
     prior = 0.0

@@ -50,6 +50,16 @@ def learnable() -> F.Column:
     return F.col("doc_id").isNotNull() & ~held_out()
 
 
+def of_bounded_bytes(sample: DataFrame, most: int) -> DataFrame:
+    """The rows of a training sample, without its longest texts where all exceed ``most`` bytes together.
+
+    Texts are never cut. One number per sampled row reaches the driver; sampled rows are bounded.
+    """
+    sizes = np.sort(sample.select(F.octet_length("text").alias("size")).toArrow()["size"].drop_null().to_numpy())
+    fit = int(np.searchsorted(np.cumsum(sizes, dtype=np.int64), most, side="right"))
+    return sample if fit == len(sizes) else sample.where(F.octet_length("text") < int(sizes[fit]))
+
+
 class Bloom:
     """Membership of 64-bit keys: never a false no."""
 

@@ -54,6 +54,17 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np
         first = last
 
 
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each UTF-8 character: its bytes as one number and its place; and the first character of each text."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    lengths = np.diff(np.append(starts, len(data)))
+    codes = data[starts].astype(np.uint64)
+    for k in range(1, 4):
+        longer = np.flatnonzero(lengths > k)
+        codes[longer] = (codes[longer] << np.uint64(8)) | data[starts[longer] + k]
+    return codes, starts, np.searchsorted(starts, offsets)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x ^ (x >> np.uint64(33))

@@ -4,7 +4,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from footfall.llm import language, quality
-from footfall.llm.shared import held_out, table
+from footfall.llm.shared import held_out, of_bounded_bytes, table
+from footfall.llm.text import grams, mix
 
 SF = "/root/testdata/sf0.01"
 
@@ -126,3 +127,56 @@ def test_training_steps_equal_plain_loops():
     table, bias = language._ftrl(rows, labels, 3, order)
     assert all(abs(table[i, c] - weight(i, c)) < 1e-9 for i in range(30) for c in range(3))
     assert all(abs(bias[c] - weight(language.BUCKETS, c)) < 1e-9 for c in range(3))
+
+
+def test_descent_equals_plain_loops():
+    """Softmax over a mean of feature vectors, text by text, feature by feature."""
+    rng = np.random.RandomState(3)
+    vectors = [(np.sort(rng.choice(40, 6, replace=False)), rng.randint(1, 4, 6)) for _ in range(20)]
+    vectors.append((np.empty(0, np.int64), np.empty(0, np.int64)))
+    y = rng.randint(0, 2, len(vectors))
+    draw = np.random.RandomState(11)
+    start = (draw.random_sample((quality.BUCKETS, quality.DIMENSIONS)) - 0.5) / quality.DIMENSIONS
+    emb = {i: list(start[i]) for i in range(40)}
+    layer, bias, step = [[0.0, 0.0] for _ in range(quality.DIMENSIONS)], [0.0, 0.0], 0
+    for _ in range(quality.EPOCHS):
+        for i in draw.permutation(len(vectors)):
+            rate = quality.RATE * (1 - step / (quality.EPOCHS * len(vectors)))
+            step += 1
+            share = {b: c / vectors[i][1].sum() for b, c in zip(*vectors[i])}
+            if not share:
+                continue
+            hidden = [sum(w * emb[b][d] for b, w in share.items()) for d in range(quality.DIMENSIONS)]
+            odds = [sum(h * layer[d][c] for d, h in enumerate(hidden)) + bias[c] for c in (0, 1)]
+            error = [np.exp(odds[c]) / (np.exp(odds[0]) + np.exp(odds[1])) - (y[i] == c) for c in (0, 1)]
+            back = [sum(layer[d][c] * error[c] for c in (0, 1)) for d in range(quality.DIMENSIONS)]
+            for c in (0, 1):
+                bias[c] -= rate * error[c]
+                for d, h in enumerate(hidden):
+                    layer[d][c] -= rate * h * error[c]
+            square = sum(w * w for w in share.values())
+            for b, w in share.items():
+                emb[b] = [e - rate * w / square * x for e, x in zip(emb[b], back)]
+    embedding, found, bias_found = quality._descend(vectors, y)
+    assert np.allclose(embedding[:40], [emb[i] for i in range(40)], atol=1e-9)
+    assert np.allclose(found, layer, atol=1e-9) and np.allclose(bias_found, bias, atol=1e-9)
+
+
+def test_quality_grams_are_of_characters():
+    texts = ["Größe né", None, "日本語です x", "", "a\u00a0b 😀😀😀😀"]
+    for kinds in quality.features(pa.array(texts)):
+        for kind, n in ((2, 3), (3, 4)):
+            buckets, firsts = kinds[kind]
+            for i, text in enumerate(texts):
+                words = [w for w in (text or "").split(" ") if w]
+                codes = [[int.from_bytes(c.encode(), "big") for c in w] for w in words]
+                runs = [w[k : k + n] for w in codes for k in range(len(w) - n + 1)]
+                want = [(mix(grams(np.array(r, dtype=np.uint64), n) + np.uint64(kind)) >> np.uint64(46)).item() for r in runs]
+                assert buckets[firsts[i] : firsts[i + 1]].tolist() == want
+
+
+def test_training_samples_are_bounded_in_bytes(spark):
+    rows = spark.createDataFrame([(i, "é" * i) for i in range(10)] + [(99, None)], "doc_id long, text string")
+    assert of_bounded_bytes(rows, 90).count() == 11
+    assert {r.doc_id for r in of_bounded_bytes(rows, 31).collect()} == {0, 1, 2, 3, 4, 5}
+    assert of_bounded_bytes(rows.limit(0), 5).count() == 0
