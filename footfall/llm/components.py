@@ -11,15 +11,17 @@ from footfall.llm.shared import join_split, written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    moved = join_split(both.where("v > u"), least, ["u"], "v")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.sum((F.col("v") > F.col("u")).cast("long")).alias("rows"))
+    least = written(least.where("rows > 0"), "least")
+    moved = join_split(both.where("v > u"), least.drop("rows"), ["u"], "v", counts=least.select("u", "rows"))
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = join_split(edges, least, ["u"], "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows")), "least")
+    joined = join_split(edges, least.drop("rows"), ["u"], "v", counts=least.select("u", "rows"))
+    moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

@@ -166,14 +166,18 @@ def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def _bucket_members(classes: DataFrame) -> DataFrame:
     """(key, rep, centre) of the buckets with two classes or more; the centre is the least."""
     members = classes.select("rep", F.explode("bands").alias("key"))
-    centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("high"))
-    return join_split(members, centres.where("centre < high").drop("high"), ["key"], "rep")
+    centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("high"), F.count("*").alias("rows"))
+    centres = written(centres.where("centre < high").drop("high"), "centres")
+    return join_split(members, centres.drop("rows"), ["key"], "rep", counts=centres.select("key", "rows"))
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
     """Members (key, rep, component, ...) of the buckets that still hold two components."""
-    spread = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return join_split(members, spread.where("low < high").select("key"), ["key"], "rep")
+    spread = members.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
+    )
+    spread = written(spread.where("low < high").select("key", "rows"), "spread")
+    return join_split(members, spread.select("key"), ["key"], "rep", counts=spread)
 
 
 class _Group:
@@ -238,9 +242,11 @@ def _in_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
     """``members`` with the number ``n`` of blocks of their bucket and their own ``block``."""
     sized = written(members.join(compared.select("rep", "n_shingles"), "rep"), "sized")
     blocks = sized.groupBy("key").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n")
+        F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n"),
+        F.count("*").alias("rows"),
     )
-    dealt = join_split(sized.drop("n_shingles"), blocks, ["key"], "rep")
+    blocks = written(blocks, "blocks")
+    dealt = join_split(sized.drop("n_shingles"), blocks.drop("rows"), ["key"], "rep", counts=blocks.select("key", "rows"))
     return dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
 
 
@@ -298,14 +304,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["lo", "hi", "n_shingles"]
     classes = filled.groupBy(*key).agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("bands").alias("bands"),
+        F.count("*").alias("rows"),
     )
     classes = written(classes, "classes")
     labels = class_components(docs, classes)
     named = classes.select(*key, "rep")
     named = _with_component(named, labels) if labels else named.withColumn("component", F.col("rep"))
     named = named.drop("rep")
-    joined = join_split(rows.select("doc_id", *key), named, key, "doc_id", "left")
+    joined = join_split(rows.select("doc_id", *key), named, key, "doc_id", "left", classes.select(*key, "rows"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),

@@ -105,15 +105,18 @@ def bloom_bits(keys: int) -> int:
     return min(max(BLOOM_BITS, 1 << (16 * keys).bit_length()), MOST_BLOOM_BITS)
 
 
-def join_split(rows: DataFrame, other: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
+def join_split(
+    rows: DataFrame, other: DataFrame, key: list[str], by: str, how: str = "inner", counts: DataFrame | None = None
+) -> DataFrame:
     """``rows`` joined with ``other`` on ``key`` (inner or left), however many rows one key has.
 
     The rows of a frequent key are dealt by ``by`` to several tasks, and the rows of ``other`` with
     that key are copied to each of them. Frequent is a key with more than SPLIT_ROWS rows and more
-    than 1 / SPLIT_KEYS of all rows, so fewer than SPLIT_KEYS keys are ever broadcast. ``rows`` is
-    read twice, so it should be a table.
+    than 1 / SPLIT_KEYS of all rows, so fewer than SPLIT_KEYS keys are ever broadcast. ``counts``
+    (key, rows) saves counting where the caller has a table of it; keys missing there are not split.
     """
-    counts = rows.groupBy(*key).agg(F.count("*").alias("rows"))
+    if counts is None:
+        counts = rows.groupBy(*key).agg(F.count("*").alias("rows"))
     total, top = counts.agg(F.sum("rows"), F.max("rows")).first()
     most = max(SPLIT_ROWS, (total or 0) // SPLIT_KEYS)
     if (top or 0) <= most:
