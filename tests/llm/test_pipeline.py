@@ -32,7 +32,7 @@ def test_run(spark):
 
 def test_names_and_sql():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries()]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     assert corpus_pipeline.ORACLE_SQL is None
