@@ -1,13 +1,16 @@
 """Counting visits in a stream, with keyed state per device and event date.
 
-State is one small row, (last counted second, station). The state store keeps it between
+A device's state is small, (last counted second, station). The state store keeps it between
 micro-batches, and an event-time timer clears it once its day can no longer be accepted. Inside a
 micro-batch the order is (event_ts, seq); between micro-batches it is the order of arrival, so a
 late sighting at another station counts and moves the last counted time back.
 
-A device-day has few sightings in a micro-batch, so rows are handed to Python as they are: a
-pandas frame per device-day costs several times more than the counting. One device-day's share
-of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
+Every key of the state store costs a worker several calls to it in a micro-batch, far more than
+the counting, and a device-day has few sightings. So a day's devices share BUCKETS keys by their
+hash: a key's state has one entry for each of its devices, is read and written once in a batch and
+cleared by one timer. However many devices a batch brings, the calls are at most some BUCKETS a
+day. Rows are handed to Python as they are, which also suits keys with few of them. One bucket's
+share of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
 admission limit of the source, never by the length of the stream. Catching up on a long backlog
 is a batch job: ``streaming.ingest`` counts each micro-batch with the batch operator, which splits
 hot device-days; the state it leaves can start a stream.
@@ -55,11 +58,12 @@ from footfall.streaming.metrics import observe_judged
 # An accepted sighting is never older than this below the newest accepted one.
 WATERMARK = f"{KEEP_DAYS_BACK + KEEP_DAYS_AHEAD + 1} days"
 
-# Keys that a device-day's sightings are spread over when they are set aside.
-LANES = 64
+# Keys that a day's devices share. Part of the layout of a checkpoint: a stream can't change it.
+BUCKETS = 1024
 VISIT_KINDS = ["first", "revisit", "move"]
 REASONS = ["late", "future"]
-_KEY = [*DEVICE_DAY, "lane"]
+# Buckets below zero hold sightings that are set aside.
+_KEY = ["event_date", "bucket"]
 
 _OUTPUT = T.StructType(
     [
@@ -74,8 +78,13 @@ _OUTPUT = T.StructType(
         T.StructField("event_time", T.TimestampType()),
     ]
 )
+# Parallel arrays, an entry per device.
 _STATE = T.StructType(
-    [T.StructField("last_s", T.LongType()), T.StructField("station_id", T.StringType())]
+    [
+        T.StructField("dev_id", T.ArrayType(T.StringType())),
+        T.StructField("last_s", T.ArrayType(T.LongType())),
+        T.StructField("station_id", T.ArrayType(T.StringType())),
+    ]
 )
 _DAY_SECONDS = 86_400
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -83,7 +92,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 class VisitCounter(StatefulProcessor):
-    """The counting rules over one device-day."""
+    """The counting rules over one bucket of the device-days of a day."""
 
     def __init__(self, gap_minutes: int):
         self.gap = gap_minutes * 60
@@ -96,14 +105,14 @@ class VisitCounter(StatefulProcessor):
         self.handle.registerTimer(((day - dt.date(1970, 1, 1)).days + 1) * _DAY_SECONDS * 1000)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.state.update((initialState.last_s, initialState.station_id))
-        self._clear_after(key[1])
+        self.state.update(tuple(initialState[name] for name in _STATE.names))
+        self._clear_after(key[0])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         def out(row, kind: str, before: str | None = None) -> Row:
             return Row(
                 sensor_id=row.sensor_id,
-                dev_id=key[0],
+                dev_id=row.dev_id,
                 station_id=row.station_id,
                 prev_station_id=before,
                 event_s=row.event_s,
@@ -113,29 +122,36 @@ class VisitCounter(StatefulProcessor):
                 event_time=row.event_time,
             )
 
-        if key[2]:  # a lane of sightings that were not accepted
+        if key[1] < 0:  # sightings that were not accepted
             for row in rows:
                 yield out(row, row.reason)
             return
         stored = self.state.get()
-        last, station = stored if stored is not None else (None, None)
+        devices = {} if stored is None else {dev: entry for dev, *entry in zip(*stored)}
         if stored is None:
-            self._clear_after(key[1])
+            self._clear_after(key[0])
+        seen: dict[str, list] = {}
+        for row in rows:
+            seen.setdefault(row.dev_id, []).append(row)
         changed = False
-        for row in sorted(rows, key=lambda row: (row.event_s, row.seq)):
-            second, here = row.event_s, row.station_id
-            if station is None:
-                kind = "first"
-            elif here != station:
-                kind = "move"
-            elif second > last + self.gap:
-                kind = "revisit"
-            else:
-                continue
-            yield out(row, kind, station)
-            last, station, changed = second, here, True
+        for dev, own in seen.items():
+            last, station = devices.get(dev, (None, None))
+            for row in sorted(own, key=lambda row: (row.event_s, row.seq)):
+                second, here = row.event_s, row.station_id
+                if station is None:
+                    kind = "first"
+                elif here != station:
+                    kind = "move"
+                elif second > last + self.gap:
+                    kind = "revisit"
+                else:
+                    continue
+                yield out(row, kind, station)
+                last, station, changed = second, here, True
+            devices[dev] = (last, station)
         if changed:
-            self.state.update((last, station))
+            lasts, stations = zip(*devices.values())
+            self.state.update((list(devices), list(lasts), list(stations)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.state.clear()
@@ -159,6 +175,10 @@ def from_epoch_seconds(seconds: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
+def _bucket(column: str) -> Column:
+    return F.pmod(F.hash(column), F.lit(BUCKETS))
+
+
 def count_visits_stream(
     sightings: DataFrame,
     gap_minutes: int = GAP_MINUTES,
@@ -185,17 +205,19 @@ def count_visits_stream(
     keyed = (
         seen.withColumn("event_s", epoch_seconds(F.col("event_ts")))
         .withColumn("event_time", F.timestamp_seconds(F.when(aside, day_s).otherwise(F.col("event_s"))))
-        .withColumn("lane", F.when(aside, F.pmod(F.hash("seq"), F.lit(LANES)) + 1).otherwise(0))
-        .select(*_KEY, "sensor_id", "station_id", "seq", "reason", "judged_on", "event_s", "event_time")
+        .withColumn("bucket", F.when(aside, -1 - _bucket("seq")).otherwise(_bucket("dev_id")))
+        .select(*_KEY, "sensor_id", "dev_id", "station_id", "seq", "reason", "judged_on", "event_s", "event_time")
         .withWatermark("event_time", WATERMARK)
     )
     state = None
     if prior is not None:
         rows = prior.select(
-            "dev_id", F.col("start_date").alias("event_date"), F.lit(0).alias("lane"),
-            epoch_seconds(F.col("last_datetime")).alias("last_s"), "station_id",
+            F.col("start_date").alias("event_date"), _bucket("dev_id").alias("bucket"),
+            F.struct("dev_id", epoch_seconds(F.col("last_datetime")).alias("last_s"), "station_id").alias("entry"),
         )
-        state = rows.groupBy(*_KEY)
+        # One row per key, as a key's state is set as a whole.
+        buckets = rows.groupBy(*_KEY).agg(F.collect_list("entry").alias("entries"))
+        state = buckets.select(*_KEY, *[F.col(f"entries.{name}") for name in _STATE.names]).groupBy(*_KEY)
     found = keyed.groupBy(*_KEY).transformWithState(
         VisitCounter(gap_minutes),
         outputStructType=_OUTPUT,
@@ -226,7 +248,8 @@ def stored_state(spark: SparkSession, checkpoint: str, batch_id: int | None = No
     reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last_counted")
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    rows = reader.load().select("key.dev_id", F.col("key.event_date").alias("start_date"), "value.*")
+    entries = F.arrays_zip(*[F.col(f"value.{name}") for name in _STATE.names])
+    rows = reader.load().select(F.col("key.event_date").alias("start_date"), F.inline(entries))
     last = from_epoch_seconds(F.col("last_s")).alias("last_datetime")
     return rows.select("dev_id", "start_date", last, "station_id").select(*DEVICE_STATE.names)
 
