@@ -29,6 +29,7 @@ from footfall.operators.sinks import replace_whole
 from footfall.operators.stats import flows_hourly, station_hourly, widen
 from footfall.operators.visits import flows_from_visits
 from footfall.schemas import FLOW_KEY, STATION_KEY
+from footfall.streaming import visits as visit_stream
 from footfall.streaming.visits import (
     count_visits_stream,
     hourly_stream,
@@ -249,6 +250,23 @@ def test_a_stream_goes_on_from_stored_state_and_shows_its_own(spark, tmp_path):
     assert as_set(read_judged(spark, f"{tmp_path}/out", True)) == want
 
 
+def test_devices_of_a_day_share_few_state_keys(spark, tmp_path, monkeypatch):
+    """Keys are bounded by buckets and days, whatever the number of devices; state and visits are the fold's."""
+    monkeypatch.setattr(visit_stream, "BUCKETS", 2)
+    rows = [(i, "xyz"[i % 3], f"d{i % 40}", at("08:00") + dt.timedelta(minutes=7 * i, days=i % 2)) for i in range(120)]
+    rows.sort(key=lambda r: (r[3], r[0]))
+    counted, state = fold_visits(rows[:40])
+    prior = device_state(count_visits(as_sightings(spark, rows[:40])))
+    want, state = fold_visits(rows[40:], state)
+    land(spark, rows[40:], f"{tmp_path}/in", 0, as_sightings)
+    stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    write_judged(count_visits_stream(stream, prior=prior), f"{tmp_path}/out", f"{tmp_path}/c", availableNow=True).awaitTermination()
+    shown = {(r.dev_id, r.start_date): (r.last_datetime, r.station_id) for r in stored_state(spark, f"{tmp_path}/c").collect()}
+    assert shown == state and as_set(read_judged(spark, f"{tmp_path}/out", True)) == want
+    keys = spark.read.format("statestore").option("stateVarName", "last_counted").load(f"{tmp_path}/c").count()
+    assert keys <= 2 * len({day for _, day in state}) < len(state)
+
+
 @pytest.mark.parametrize("keys", [STATION_KEY, FLOW_KEY])
 def test_hours_behind_the_keyed_operator(spark, tmp_path, keys):
     """Once the watermark has passed them, the hours are those of the batch operators."""
