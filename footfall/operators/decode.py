@@ -45,10 +45,10 @@ def _whole_number(field: str) -> Column:
 def _decode(messages: DataFrame, extra: dict[str, Column], problems: list) -> DataFrame:
     """Add the message fields and ``problem``, which is NULL for an accepted message.
 
-    The text is parsed once. The result leaves a generator (of one row per message) because a
-    filter on ``problem`` would otherwise be moved below the parsing, with a copy of the parse in
-    every field it reads. Only a message that is no object is looked at again, to tell broken
-    text from other JSON.
+    The text is parsed once, and every field is taken once. The parsed object and, in the end,
+    ``problem`` leave a generator (of one row per message) because a filter on ``problem`` would
+    otherwise be moved below them, with a copy of the parse or of the checks in all it reads. Only a
+    message that is no object is looked at again, to tell broken text from other JSON.
     """
     fields = {f: _text(f) for f in MESSAGE_STRINGS}
     fields |= {f: _whole_number(f) for f in MESSAGE_INTS}
@@ -63,7 +63,9 @@ def _decode(messages: DataFrame, extra: dict[str, Column], problems: list) -> Da
     for condition, reason in problems:
         problem = problem.when(condition, reason)
     problem = problem.when(F.col("event_ts").isNull(), "bad_datetime")
-    return parsed.withColumn("problem", problem).drop("_body")
+    judged = parsed.withColumn("problem", problem).drop("_body")
+    kept = [c for c in judged.columns if c != "problem"]
+    return judged.select(*kept, F.inline(F.array(F.struct("problem"))))
 
 
 def decode_sighting(messages: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ LOG_KEY = ["SensorId", "Mac", "TimeNow"]
 
 def dedup_device_log(rows: DataFrame) -> DataFrame:
     """One row per key, the first to arrive. Copies are merged before the shuffle."""
-    first = F.min_by(F.struct("Rssi"), "seq").alias("first")
-    return rows.groupBy(*LOG_KEY).agg(first).select("SensorId", "Mac", "first.Rssi", "TimeNow")
+    # A plain value, NULL included, is merged in a hash map; a struct would be sorted first.
+    first = F.min_by("Rssi", "seq").alias("Rssi")
+    return rows.groupBy(*LOG_KEY).agg(first).select("SensorId", "Mac", "Rssi", "TimeNow")
 
 
 def new_log_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:

@@ -292,10 +292,9 @@ def project_device_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_device_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row arrives twice, the second time with another signal strength."""
     rows = decode.project_device_log(_decoded_log(spark, sf_dir))
-    again = rows.withColumns(
-        {"seq": F.col("seq") + 1_000_000_000_000, "Rssi": F.lit(0).cast("tinyint")}
-    )
-    return _int_rssi(devicelog.dedup_device_log(rows.unionByName(again)))
+    again = {"seq": F.col("seq") + 1_000_000_000_000, "Rssi": F.lit(0).cast("tinyint")}
+    arrivals = [F.struct(*[c.get(name, F.col(name)).alias(name) for name in rows.columns]) for c in ({}, again)]
+    return _int_rssi(devicelog.dedup_device_log(rows.select(F.inline(F.array(*arrivals)))))
 
 
 def _logged_stream(spark: SparkSession, sf_dir: str) -> log_stream.DeviceLog:

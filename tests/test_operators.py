@@ -247,6 +247,19 @@ def test_device_log_keeps_the_first_of_equal_keys(spark):
     assert [r.SensorId for r in devicelog.new_log_rows(log, stored).collect()] == [8]
 
 
+def test_device_log_is_decoded_once_and_merged_by_hash(spark):
+    """Checks are not computed again by the filter on them; NULL strengths are kept, and nothing is sorted."""
+    messages = spark.createDataFrame([(1, json.dumps(GOOD))], MESSAGE)
+    project = decode.project_device_log(decode.decode_device_log(messages))
+    plan = devicelog.dedup_device_log(project)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("variant_get" in line or "schemaOfVariant" in line for line in filters)
+    schema = "seq long, SensorId int, Mac string, Rssi byte, TimeNow timestamp_ntz"
+    rows = spark.createDataFrame([(2, 1, "m", 5, dt.datetime(2021, 6, 8, 17, 2, 33)), (1, 1, "m", None, dt.datetime(2021, 6, 8, 17, 2, 33))], schema)
+    assert [r.Rssi for r in devicelog.dedup_device_log(rows).collect()] == [None]
+
+
 def test_hot_device_days_are_found_exactly(spark):
     """Two million small device-days, and two hundred of just enough rows, many in one bucket of 64."""
     small = spark.range(2_000_000).select(F.concat(F.lit("s"), "id").alias("dev_id"))
