@@ -87,7 +87,8 @@ class WordEncoder:
         """Ids of plain words one after another, and how many each has."""
         parted = pc.replace_substring_regex(words, _MARK, r" \1")
         pieces = 1 + (pc.binary_length(parted).to_numpy() > pc.binary_length(words).to_numpy())
-        ids = self._ids(self.pieces, " ".join(parted.to_pylist()))
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(parted)], parted), pa.scalar(" ", parted.type))
+        ids = self._ids(self.pieces, joined[0].as_py())
         ends = np.flatnonzero(self.last[ids])[np.cumsum(pieces) - 1] + 1
         return ids, np.diff(ends, prepend=0)
 
