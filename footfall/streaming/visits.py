@@ -9,8 +9,16 @@ Every key of the state store costs a worker several calls to it in a micro-batch
 the counting, and a device-day has few sightings. So a day's devices share BUCKETS keys by their
 hash: a key's state has one entry for each of its devices, is read and written once in a batch and
 cleared by one timer. However many devices a batch brings, the calls are at most some BUCKETS a
-day. Rows are handed to Python as they are, which also suits keys with few of them. One bucket's
-share of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
+day.
+
+A row handed to keyed Python state, or back, is taken apart cell by cell, which also costs far more
+than the counting. So the tasks that read sightings gather those of a key and hour, some hundred
+thousand sightings at a time, into one Arrow batch in a binary cell (``_packed``). The counter takes
+such packs in and gives the counted sightings of an hour out as arrays, which Spark explodes. A pack
+has the event time of its newest sighting: the watermark is the same as sighting by sighting, and a
+pack counts as older than it only once all of its sightings are.
+
+One bucket's share of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
 admission limit of the source, never by the length of the stream. Catching up on a long backlog
 is a batch job: ``streaming.ingest`` counts each micro-batch with the batch operator, which splits
 hot device-days; the state it leaves can start a stream.
@@ -32,8 +40,11 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -59,25 +70,42 @@ from footfall.streaming.metrics import observe_judged
 WATERMARK = f"{KEEP_DAYS_BACK + KEEP_DAYS_AHEAD + 1} days"
 
 # Keys that a day's devices share. Part of the layout of a checkpoint: a stream can't change it.
-BUCKETS = 1024
+BUCKETS = 256
+# Sightings that a reading task holds while it packs them.
+PACK_ROWS = 1 << 18
 VISIT_KINDS = ["first", "revisit", "move"]
 REASONS = ["late", "future"]
 # Buckets below zero hold sightings that are set aside.
 _KEY = ["event_date", "bucket"]
 
-_OUTPUT = T.StructType(
+# Cells of a packed sighting; a date is days since 1970.
+_PACK = pa.schema(
     [
-        T.StructField("sensor_id", T.StringType()),
-        T.StructField("dev_id", T.StringType()),
-        T.StructField("station_id", T.StringType()),
-        T.StructField("prev_station_id", T.StringType()),
-        T.StructField("event_s", T.LongType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("judged_on", T.DateType()),
-        T.StructField("event_time", T.TimestampType()),
+        ("sensor_id", pa.string()),
+        ("dev_id", pa.string()),
+        ("station_id", pa.string()),
+        ("seq", pa.int64()),
+        ("reason", pa.string()),
+        ("judged_day", pa.int32()),
+        ("event_s", pa.int64()),
     ]
 )
+_PACKED = "event_date date, bucket int, newest_s long, pack binary"
+# Parallel arrays, an entry per sighting of one hour.
+_ARRAYS = {
+    "sensor_id": T.StringType(),
+    "dev_id": T.StringType(),
+    "station_id": T.StringType(),
+    "prev_station_id": T.StringType(),
+    "event_s": T.LongType(),
+    "seq": T.LongType(),
+    "kind": T.StringType(),
+    "judged_day": T.IntegerType(),
+}
+_OUTPUT = T.StructType(
+    [T.StructField(name, T.ArrayType(kind)) for name, kind in _ARRAYS.items()]
+    + [T.StructField("event_time", T.TimestampType())]
+)
 # Parallel arrays, an entry per device.
 _STATE = T.StructType(
     [
@@ -87,10 +115,61 @@ _STATE = T.StructType(
     ]
 )
 _DAY_SECONDS = 86_400
+_HOUR_SECONDS = 3600
+_NULL = -(1 << 62)
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of whole numbers or dates, nulls below all others."""
+    days = column.cast(pa.int32()) if pa.types.is_date(column.type) else column
+    return days.cast(pa.int64()).fill_null(_NULL).to_numpy()
+
+
+def _pack(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The sightings of some batches, a row per key and hour."""
+    rows = pa.Table.from_batches(batches)
+    day, bucket, time = (_numbers(rows[name]) for name in (*_KEY, "time_s"))
+    hour = time // _HOUR_SECONDS
+    order = np.lexsort((time, hour, bucket, day))
+    rows = rows.take(order).combine_chunks()
+    groups = np.stack([day, bucket, hour])[:, order]
+    starts = np.flatnonzero(np.append(True, (groups[:, 1:] != groups[:, :-1]).any(axis=0)))
+    ends = np.append(starts[1:], len(order))
+    (cells,) = rows.select(_PACK.names).cast(_PACK).to_batches()
+    packs = [cells.slice(i, j - i).serialize().to_pybytes() for i, j in zip(starts.tolist(), ends.tolist())]
+    newest = rows["time_s"].take(ends - 1)  # the last of an hour
+    columns = [rows[name].take(starts).combine_chunks() for name in _KEY]
+    columns += [newest.combine_chunks(), pa.array(packs, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=[*_KEY, "newest_s", "pack"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, count = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            count += batch.num_rows
+        if count >= PACK_ROWS:
+            yield _pack(held)
+            held, count = [], 0
+    if held:
+        yield _pack(held)
+
+
+def _unpacked(packs: list[bytes]) -> dict[str, np.ndarray]:
+    """The cells of some packs' sightings; of Python objects where there are nulls or text."""
+    rows = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(pack), _PACK) for pack in packs], _PACK)
+    cells = {}
+    for name, column in zip(rows.column_names, rows.columns):
+        if column.null_count and not pa.types.is_string(column.type):  # would become floats
+            cells[name] = np.array(column.to_pylist(), dtype=object)
+        else:
+            cells[name] = column.to_numpy(zero_copy_only=False)
+    return cells
+
+
 class VisitCounter(StatefulProcessor):
     """The counting rules over one bucket of the device-days of a day."""
 
@@ -109,49 +188,60 @@ class VisitCounter(StatefulProcessor):
         self._clear_after(key[0])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        def out(row, kind: str, before: str | None = None) -> Row:
-            return Row(
-                sensor_id=row.sensor_id,
-                dev_id=row.dev_id,
-                station_id=row.station_id,
-                prev_station_id=before,
-                event_s=row.event_s,
-                seq=row.seq,
-                kind=kind,
-                judged_on=row.judged_on,
-                event_time=row.event_time,
-            )
+        def out(seen: dict[str, np.ndarray], places, kinds, before, event_time) -> Row:
+            cells = {name: seen[name][places] for name in _ARRAYS if name in seen}
+            texts = {"kind": np.array(kinds, dtype=object), "prev_station_id": np.array(before, dtype=object)}
+            return Row(**cells, **texts, event_time=event_time)
 
         if key[1] < 0:  # sightings that were not accepted
             for row in rows:
-                yield out(row, row.reason)
+                seen = _unpacked([row.pack])
+                reasons = seen["reason"]
+                yield out(seen, slice(None), reasons, [None] * len(reasons), row.event_time)
             return
+        packs, newest = [], {}
+        for row in rows:
+            packs.append(row.pack)
+            hour = row.newest_s // _HOUR_SECONDS
+            newest[hour] = max(newest.get(hour, row.event_time), row.event_time)
         stored = self.state.get()
-        devices = {} if stored is None else {dev: entry for dev, *entry in zip(*stored)}
+        devices = {} if stored is None else {dev: tuple(entry) for dev, *entry in zip(*stored)}
         if stored is None:
             self._clear_after(key[0])
-        seen: dict[str, list] = {}
-        for row in rows:
-            seen.setdefault(row.dev_id, []).append(row)
-        changed = False
-        for dev, own in seen.items():
+        seen = _unpacked(packs)
+        places, kinds, before = self._count(seen, devices)
+        if not places:
+            return
+        # In order of time, so that an hour's sightings are next to each other.
+        hours = seen["event_s"][places] // _HOUR_SECONDS
+        start = 0
+        for hour, count in Counter(hours.tolist()).items():
+            part = slice(start, start + count)
+            yield out(seen, places[part], kinds[part], before[part], newest[hour])
+            start += count
+        lasts, stations = zip(*devices.values())
+        self.state.update((list(devices), list(lasts), list(stations)))
+
+    def _count(self, seen: dict[str, np.ndarray], devices: dict) -> tuple[list[int], list[str], list[str | None]]:
+        """Places of the counted rows in order of time, their kinds and stations before; updates the devices."""
+        places, kinds, before = [], [], []
+        dev_ids, station_ids, seconds, seqs = (seen[name].tolist() for name in ("dev_id", "station_id", "event_s", "seq"))
+        for second, _, place in sorted(zip(seconds, seqs, range(len(seqs)))):
+            dev, here = dev_ids[place], station_ids[place]
             last, station = devices.get(dev, (None, None))
-            for row in sorted(own, key=lambda row: (row.event_s, row.seq)):
-                second, here = row.event_s, row.station_id
-                if station is None:
-                    kind = "first"
-                elif here != station:
-                    kind = "move"
-                elif second > last + self.gap:
-                    kind = "revisit"
-                else:
-                    continue
-                yield out(row, kind, station)
-                last, station, changed = second, here, True
-            devices[dev] = (last, station)
-        if changed:
-            lasts, stations = zip(*devices.values())
-            self.state.update((list(devices), list(lasts), list(stations)))
+            if station is None:
+                kind = "first"
+            elif here != station:
+                kind = "move"
+            elif second > last + self.gap:
+                kind = "revisit"
+            else:
+                continue
+            places.append(place)
+            kinds.append(kind)
+            before.append(station)
+            devices[dev] = (second, here)
+        return places, kinds, before
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.state.clear()
@@ -190,6 +280,7 @@ def count_visits_stream(
     ``kind`` is first, revisit or move for a visit, late or future for a sighting that is not
     accepted on ``today``; without ``today``, all are accepted. ``visits_of`` and ``set_aside`` part
     the two, and ``streaming.metrics`` has their counts per batch. ``prior`` is device state to begin with, used by the query's first batch.
+    ``event_time``, by which the watermark goes, is that of a sighting's pack: right to the hour.
 
     The state store must be RocksDB; a session that names another one gets it set here.
     """
@@ -204,9 +295,12 @@ def count_visits_stream(
     aside = F.col("reason").isNotNull()
     keyed = (
         seen.withColumn("event_s", epoch_seconds(F.col("event_ts")))
-        .withColumn("event_time", F.timestamp_seconds(F.when(aside, day_s).otherwise(F.col("event_s"))))
+        .withColumn("time_s", F.when(aside, day_s).otherwise(F.col("event_s")))
+        .withColumn("judged_day", F.unix_date("judged_on"))
         .withColumn("bucket", F.when(aside, -1 - _bucket("seq")).otherwise(_bucket("dev_id")))
-        .select(*_KEY, "sensor_id", "dev_id", "station_id", "seq", "reason", "judged_on", "event_s", "event_time")
+        .select(*_KEY, "time_s", *_PACK.names)
+        .mapInArrow(_packed, _PACKED)
+        .withColumn("event_time", F.timestamp_seconds("newest_s"))
         .withWatermark("event_time", WATERMARK)
     )
     state = None
@@ -226,8 +320,15 @@ def count_visits_stream(
         initialState=state,
         eventTimeColumnName="event_time",
     )
-    timed = found.withColumn("event_ts", from_epoch_seconds(F.col("event_s")))
-    dated = timed.withColumns({"stat_date": F.to_date("event_ts"), "hour": hour_of(F.col("event_ts"))})
+    rows = found.select("event_time", F.inline(F.arrays_zip(*_ARRAYS)))
+    timed = rows.withColumn("event_ts", from_epoch_seconds(F.col("event_s")))
+    dated = timed.withColumns(
+        {
+            "stat_date": F.to_date("event_ts"),
+            "hour": hour_of(F.col("event_ts")),
+            "judged_on": F.date_from_unix_date("judged_day"),
+        }
+    )
     return dated.select(*VISIT_FACT.names, "sensor_id", "judged_on", "event_time")
 
 

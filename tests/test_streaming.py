@@ -6,6 +6,7 @@ import shutil
 import subprocess
 import sys
 import time
+import uuid
 from pathlib import Path
 
 import pytest
@@ -267,6 +268,46 @@ def test_devices_of_a_day_share_few_state_keys(spark, tmp_path, monkeypatch):
     assert keys <= 2 * len({day for _, day in state}) < len(state)
 
 
+@pytest.mark.parametrize("pack_rows", [1 << 18, 100])
+def test_few_rows_reach_the_counter(spark, tmp_path, monkeypatch, pack_rows):
+    """A key's sightings of an hour come as one row per pack, whatever their number; the rules are the fold's."""
+    monkeypatch.setattr(visit_stream, "BUCKETS", 2)
+    monkeypatch.setattr(visit_stream, "PACK_ROWS", pack_rows, raising=False)
+    came = tmp_path / "came"
+    came.mkdir()
+
+    class Watched(visit_stream.VisitCounter):
+        def handleInputRows(self, key, rows, timerValues):
+            rows = list(rows)
+            (came / uuid.uuid4().hex).write_text(str(len(rows)))
+            return super().handleInputRows(key, iter(rows), timerValues)
+
+    monkeypatch.setattr(visit_stream, "VisitCounter", Watched)
+    at_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(at_batch)
+    spark.conf.set(at_batch, min(pack_rows, int(before)))
+    try:
+        # Long sequence numbers, which no float can hold; strays in between that are set aside.
+        rows = [(2**60 + i, "AAB"[i * 7 % 3], f"d{i % 40}", at("08:00") + dt.timedelta(seconds=17 * i)) for i in range(600)]
+        strays = [(2**60 + 600 + i, "A", f"d{i}", at("08:00") + dt.timedelta(days=20 * (i % 2) - 10)) for i in range(50)]
+        land(spark, rows + strays, f"{tmp_path}/in", 0, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        counted = count_visits_stream(stream, today=F.lit(at("08:00").date()))
+        write_judged(counted, f"{tmp_path}/out", f"{tmp_path}/c", availableNow=True).awaitTermination()
+    finally:
+        spark.conf.set(at_batch, before)
+    want, state = fold_visits(rows)
+    assert as_set(read_judged(spark, f"{tmp_path}/out", True)) == want
+    aside = {(r.seq, r.reason, r.dev_id, r.event_ts) for r in read_judged(spark, f"{tmp_path}/out", False).collect()}
+    assert aside == {(seq, "late" if ts < at("08:00") else "future", dev, ts) for seq, _, dev, ts in strays}
+    shown = {(r.dev_id, r.start_date): (r.last_datetime, r.station_id) for r in stored_state(spark, f"{tmp_path}/c").collect()}
+    assert shown == state
+    hours = {ts.replace(minute=0, second=0) for _, _, _, ts in rows}
+    keys_and_hours = 2 * (len(hours) + 2)
+    packs = -(-650 // pack_rows)
+    assert sum(int(file.read_text()) for file in came.iterdir()) <= keys_and_hours * packs
+
+
 @pytest.mark.parametrize("keys", [STATION_KEY, FLOW_KEY])
 def test_hours_behind_the_keyed_operator(spark, tmp_path, keys):
     """Once the watermark has passed them, the hours are those of the batch operators."""
