@@ -18,6 +18,11 @@ such packs in and gives the counted sightings of an hour out as arrays, which Sp
 has the event time of its newest sighting: the watermark is the same as sighting by sighting, and a
 pack counts as older than it only once all of its sightings are.
 
+Likewise every partition of the state costs a task in every micro-batch: a store to open and commit, a
+worker to start, a file per day to write, most of a second in all, however few sightings come. A stream
+takes as many partitions as the cluster has cores, not as many as the session's shuffles, whose number
+follows the size of a table and not that of a micro-batch.
+
 One bucket's share of one micro-batch is handled by one task, as keyed state demands. Its size is bounded by the
 admission limit of the source, never by the length of the stream. Catching up on a long backlog
 is a batch job: ``streaming.ingest`` counts each micro-batch with the batch operator, which splits
@@ -117,6 +122,7 @@ _STATE = T.StructType(
 _DAY_SECONDS = 86_400
 _HOUR_SECONDS = 3600
 _NULL = -(1 << 62)
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -367,17 +373,39 @@ def hourly_stream(rows: DataFrame, keys: list[str]) -> DataFrame:
     return hours.select(*keys, F.to_date(start).alias("stat_date"), hour_of(start).alias("hour"), "count")
 
 
-def write_facts(facts: DataFrame, path: str, checkpoint: str, by: str | list[str] = "stat_date", **trigger):
-    """Append rows of a stream to a parquet table, exactly once, by day (or other columns)."""
-    return (
+def _state_partitions(spark: SparkSession) -> int:
+    """The cluster's cores; no more than the session shuffles into."""
+    return min(int(spark.conf.get(_PARTITIONS)), spark.sparkContext.defaultParallelism)
+
+
+def write_facts(
+    facts: DataFrame,
+    path: str,
+    checkpoint: str,
+    by: str | list[str] = "stat_date",
+    partitions: int | None = None,
+    **trigger,
+):
+    """Append rows of a stream to a parquet table, exactly once, by day (or other columns).
+
+    ``partitions`` of the state follow the cluster's cores where none are given. A checkpoint keeps the
+    number it began with.
+    """
+    spark = facts.sparkSession
+    writer = (
         facts.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .partitionBy(by)
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
-        .start()
     )
+    shuffles = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, partitions or _state_partitions(spark))
+    try:
+        return writer.start()  # the stream has a copy of the session's settings from here on
+    finally:
+        spark.conf.set(_PARTITIONS, shuffles)
 
 
 def write_judged(rows: DataFrame, path: str, checkpoint: str, **trigger):

@@ -268,6 +268,27 @@ def test_devices_of_a_day_share_few_state_keys(spark, tmp_path, monkeypatch):
     assert keys <= 2 * len({day for _, day in state}) < len(state)
 
 
+def test_state_partitions_follow_the_cluster_and_stay(spark, tmp_path, monkeypatch):
+    """A session that shuffles into many partitions gives the stream no more state tasks than cores."""
+    shuffles = "spark.sql.shuffle.partitions"
+    cores = spark.sparkContext.defaultParallelism
+    rows = random_sightings(33, ["x", "y", "z"], "AAB", 300, 86_400)
+    rows.sort(key=lambda r: (r[3], r[0]))
+    source, found = f"{tmp_path}/in", []
+    for part, number in enumerate((3 * cores, cores + 1)):
+        spark.conf.set(shuffles, str(number))
+        land(spark, rows[part * 150 : (part + 1) * 150], source, part, as_sightings)
+        stream = spark.readStream.schema(SIGHTING).option("recursiveFileLookup", "true").parquet(source)
+        query = write_facts(count_visits_stream(stream), f"{tmp_path}/facts", f"{tmp_path}/c", availableNow=True)
+        query.awaitTermination()
+        found.append(query.lastProgress["stateOperators"][0]["numShufflePartitions"])
+        assert spark.conf.get(shuffles) == str(number)
+        monkeypatch.setattr(visit_stream, "_state_partitions", lambda spark: 1, raising=False)
+    assert found == [cores, cores]
+    want, _ = fold_visits(rows)
+    assert as_set(spark.read.schema(VISIT_FACT).parquet(f"{tmp_path}/facts")) == want
+
+
 @pytest.mark.parametrize("pack_rows", [1 << 18, 100])
 def test_few_rows_reach_the_counter(spark, tmp_path, monkeypatch, pack_rows):
     """A key's sightings of an hour come as one row per pack, whatever their number; the rules are the fold's."""
