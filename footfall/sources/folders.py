@@ -42,7 +42,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def stamp(spark: SparkSession, path: str, millis: int) -> None:
-    """Give the files in a folder a modification time, as if they had just been landed then."""
+    """Give a file, or the files in a folder, a modification time, as if just landed then."""
     store, place = _located(spark, path)
     for status in store.listStatus(place):
         store.setTimes(status.getPath(), millis, -1)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.times import event_date, format_datetime, whole_seconds
-from footfall.operators.sinks import append_rows
 from footfall.sources import folders
 
 UNUSED_STATION = "kiosk"  # listed, never seen: shows up as zero rows
@@ -71,14 +70,18 @@ REPLAY_FILES = 12
 def replayed_sightings(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """``arriving_sightings`` as a stream of files in order of arrival.
 
-    The files lie in a folder per day of arrival. A stream takes files by their modification time,
-    so that is made to follow the days.
+    The files lie in a folder per day of arrival. A day may have several, also in different
+    micro-batches, between which the order is that of arrival: so files are cut from one order by
+    day and time. A stream takes files by their modification time, which is made to follow it.
     """
     rows = arriving_sightings(spark, sf_dir)
-    append_rows(rows, path, ["arrived"])
-    days = [name for name in folders.children(spark, path) if name.startswith("arrived=")]
-    for place, name in enumerate(days):
-        folders.stamp(spark, f"{path}/{name}", 1_700_000_000_000 + place * 1000)
+    order = ["arrived", "event_ts", "seq"]
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges.write.partitionBy("arrived").mode("append").parquet(path)
+    days = [f"{path}/{name}" for name in folders.children(spark, path) if name.startswith("arrived=")]
+    files = [f"{day}/{name}" for day in days for name in folders.children(spark, day)]
+    for place, file in enumerate(files):
+        folders.stamp(spark, file, 1_700_000_000_000 + place * 1000)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(path)
 
 

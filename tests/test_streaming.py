@@ -359,6 +359,35 @@ def test_replayed_tables_of_many_files_take_several_batches(spark, tmp_path):
     assert {r.reason for r in read_judged(spark, f"{base}/judged", False).collect()} == {"late", "future"}
 
 
+def test_a_day_in_several_batches_is_counted_in_order(spark, tmp_path, monkeypatch):
+    """Events that lie in no order, a day of them in several files and micro-batches, count as in one."""
+    monkeypatch.setattr(registry.samples, "REPLAY_FILES", 1)
+    pick = random.Random(34)
+    rows = [
+        (n, at("00:00") + dt.timedelta(seconds=pick.randrange(2 * 86_400)), n % 4, pick.choice(["view", "click"]), 1.0, '{"k": 1}')
+        for n in range(4000)
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "6",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        base = registry._counted_stream(spark, str(tmp_path))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    days = [day for day in folders.children(spark, f"{base}/in") if day.startswith("arrived=")]
+    assert len(folders.children(spark, f"{base}/checkpoint/commits")) > len(days) + 1
+    want, _ = fold_visits([(seq, station, str(dev), ts) for seq, ts, dev, station, _, _ in rows])
+    assert as_set(read_judged(spark, f"{base}/judged", True)) == want
+
+
 def test_batch_day_is_the_local_day(spark):
     row = spark.range(1).select(
         batch_day(0).alias("day"), batch_day(24).alias("next"), F.unix_timestamp(F.current_timestamp()).alias("now")
