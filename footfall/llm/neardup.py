@@ -7,8 +7,8 @@ members that are already connected need no comparison any more. Buckets that sti
 components are then looked at in blocks of bounded size, first block by block, then, where that
 left several components, pair of blocks by pair of blocks. Tasks see sizes and signatures and name
 the members that have a likely partner in another component; only these members' full sets are
-sent, and only links that join two components are returned. Frequent buckets and centres are
-split in every join.
+sent, and only links that join two components are returned. Of large buckets, a pair is confirmed
+in the first that it shares. Frequent buckets and centres are split in every join.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ MINIMA = BANDS * BAND_ROWS
 LEAST_EQUAL = 74
 #: Members and shingles of a block, about.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 21
+#: Groups of more members leave a pair to the earliest bucket that it shares.
+FEW_MEMBERS = 64
 
 _rng = np.random.RandomState(MINIMA)
 _FACTORS = (_rng.randint(0, 1 << 31, MINIMA).astype(np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -54,6 +56,13 @@ def _shingle_sets(column: pa.Array):
             yield np.unique(own)
 
 
+def _band_keys(minima: np.ndarray) -> np.ndarray:
+    keys = np.zeros((len(minima), BANDS), dtype=np.uint64) + _BAND_SEEDS
+    for row in range(BAND_ROWS):
+        keys += minima[:, row::BAND_ROWS].astype(np.uint64) * _ROW_FACTORS[row]
+    return mix(keys)
+
+
 def _minima(shingles: np.ndarray) -> np.ndarray:
     values = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.full(MINIMA, 0xFFFFFFFF, dtype=np.uint32)
@@ -72,11 +81,8 @@ def _sketches(batches):
             minima.append(_minima(shingles))
         n = np.array(n, dtype=np.int64)
         minima = np.array(minima, dtype=np.uint32).reshape(-1, MINIMA)
-        keys = np.zeros((len(n), BANDS), dtype=np.uint64) + _BAND_SEEDS
-        for row in range(BAND_ROWS):
-            keys += minima[:, row::BAND_ROWS].astype(np.uint64) * _ROW_FACTORS[row]
         bands = pa.ListArray.from_arrays(
-            np.arange(len(n) + 1, dtype=np.int32) * BANDS, mix(keys).view(np.int64).ravel()
+            np.arange(len(n) + 1, dtype=np.int32) * BANDS, _band_keys(minima).view(np.int64).ravel()
         )
         short = (minima & np.uint32(0xFFFF)).astype(np.uint16)
         yield pa.RecordBatch.from_arrays(
@@ -99,7 +105,8 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, shingles) of at least the documents in ``ids``; the texts themselves are not shuffled."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bloom(ids, bloom_bits(ids.count())))
+    known = ids.agg(F.approx_count_distinct(ids.columns[0])).first()[0]
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom(ids, bloom_bits(known)))
 
     def sets(batches):
         for batch in batches:
@@ -172,12 +179,17 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members (key, rep, component, ...) of the buckets that still hold two components."""
+    """Members (key, rep, n_shingles, component) of the buckets that still hold two components.
+
+    Each with the number ``n`` of blocks of its bucket and its own ``block``.
+    """
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES))
     spread = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"), blocks.cast("int").alias("n")
     )
-    spread = written(spread.where("low < high").select("key", "rows"), "spread")
-    return join_split(members, spread.select("key"), ["key"], "rep", counts=spread)
+    spread = written(spread.where("low < high").select("key", "rows", "n"), "spread")
+    found = join_split(members, spread.drop("rows"), ["key"], "rep", counts=spread.select("key", "rows"))
+    return found.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
 
 
 class _Group:
@@ -219,39 +231,42 @@ def _with_partners(key: tuple, group: pa.Table) -> pa.Table:
     return members.rows.filter(pa.array(found)).select(["key", "low", "high", "block", "rep", "component"])
 
 
+def _earlier_bands(key: int, reps: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each member's keys of the bands before the one of the bucket ``key``, and whether it has one text only.
+
+    Two members of one text that share such a key meet in that bucket as well.
+    """
+    keys = _band_keys(np.array([_minima(shingles) for shingles in sets], dtype=np.uint32)).view(np.int64)
+    _, index, rows = np.unique(reps, return_inverse=True, return_counts=True)
+    return keys[:, : int((keys == key).sum(axis=0).argmax())], rows[index] == 1
+
+
 def _joining_links(key: tuple, group: pa.Table) -> pa.Table:
-    """Confirmed links (a, b) that join components, of the members of one pair of blocks."""
+    """Pairs (a, b) of components that a confirmed link of two members of one pair of blocks joins."""
     members = _Group(key, group)
     lists = members.rows["shingles"].combine_chunks()
     values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()  # sorted as unsigned
     sets = [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
     component, links = members.component, []
+    many = len(sets) > FEW_MEMBERS
+    earlier, single = _earlier_bands(key[0].as_py(), members.reps, sets) if many else (None, None)
     for i in members.ones:
-        for j in members.likely(i):
+        partners = members.likely(i)
+        if many and single[i]:
+            partners = partners[~(single[partners] & (earlier[partners] == earlier[i]).any(axis=1))]
+        for j in partners:
             if component[j] == component[i]:
                 continue
             at = np.minimum(np.searchsorted(sets[i], sets[j]), len(sets[i]) - 1)
             shared = int((sets[i][at] == sets[j]).sum())
             if shared * 100 >= (len(sets[i]) + len(sets[j]) - shared) * PERCENT:
+                links.append((component[i], component[j]))
                 component[component == component[j]] = component[i]
-                links.append((members.reps[i], members.reps[j]))
     return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
 
-def _in_blocks(members: DataFrame, compared: DataFrame) -> DataFrame:
-    """``members`` with the number ``n`` of blocks of their bucket and their own ``block``."""
-    sized = written(members.join(compared.select("rep", "n_shingles"), "rep"), "sized")
-    blocks = sized.groupBy("key").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n"),
-        F.count("*").alias("rows"),
-    )
-    blocks = written(blocks, "blocks")
-    dealt = join_split(sized.drop("n_shingles"), blocks.drop("rows"), ["key"], "rep", counts=blocks.select("key", "rows"))
-    return dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-
-
 def _links_of_blocks(members: DataFrame, compared: DataFrame, across: bool) -> DataFrame | None:
-    """Links that join components, within the blocks of a bucket or across them; None without any likely one."""
+    """Links of components, within the blocks of a bucket or across them; None without any likely one."""
     if across:
         members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
     else:
@@ -271,25 +286,28 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     members = written(_bucket_members(classes), "members")
     if members.isEmpty():
         return None
-    reps = written(members.select("rep").distinct(), "reps")
-    sets = _sets_of(docs, reps).withColumnRenamed("doc_id", "rep")
-    compared = written(classes.select("rep", "n_shingles", "signature").join(reps, "rep", "left_semi").join(sets, "rep"), "compared")
-    pairs = written(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    links = written(_confirmed(written(_likely(pairs, compared), "likely"), compared), "links")
-    labels = written(connected_components(links), "labels")
-    members = written(_with_component(members.where("rep <> centre").select("rep", "key"), labels), "members")
+    centres = F.collect_set(F.when(F.col("rep") != F.col("centre"), F.col("centre")))  # BANDS at most
+    reps = members.groupBy("rep").agg(centres.alias("centres"))
+    sets = _sets_of(docs, members.select("rep")).withColumnRenamed("doc_id", "rep")
+    compared = written(classes.select("rep", "n_shingles", "signature").join(reps, "rep").join(sets, "rep"), "compared")
+    pairs = compared.select(F.col("rep").alias("a"), F.explode("centres").alias("b"))
+    labels = connected_components(_confirmed(written(_likely(pairs, compared), "likely"), compared))
+    sizes = written(_with_component(compared.select("rep", "n_shingles"), labels), "sizes")
+    members = written(members.where("rep <> centre").select("rep", "key").join(sizes, "rep"), "members")
     members = written(_unresolved(members), "members")
     if members.isEmpty():
         return labels
-    members = written(_in_blocks(members, compared), "members")
     for across in (False, True):
         found = _links_of_blocks(members, compared, across)
-        if found is None:
-            continue
-        labels = written(connected_components(labels.toDF("a", "b").union(found)), "labels")
+        if found is not None:
+            labels = connected_components(labels.toDF("a", "b").union(found))
         if not across:
-            members = written(_with_component(members.drop("component"), labels), "members")
-            members = written(_unresolved(members), "members")
+            members = members.where("n > 1")  # a bucket of one block has been looked at in full
+            if members.isEmpty():
+                break
+            if found is not None:
+                members = written(_with_component(members.select("key", "rep", "n_shingles"), labels), "members")
+                members = written(_unresolved(members), "members")  # in the same blocks as before
     return labels
 
 

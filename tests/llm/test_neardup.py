@@ -2,10 +2,11 @@ import random
 import re
 
 import edge
+import numpy as np
 from pyspark.sql import functions as F
 
+from footfall.llm import components, shared
 from footfall.llm import neardup as n
-from footfall.llm import shared
 from footfall.llm.components import connected_components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -121,3 +122,51 @@ def test_a_hot_bucket_of_unlinked_members(spark):
     docs = docs.withColumn("text", F.when(F.col("doc_id").isin(list(twin)), F.concat("text", F.lit(" end"))).otherwise(F.col("text")))
     found = {r.doc_id: r.component_id for r in n.near_duplicates(docs).where("NOT kept").collect()}
     assert found == twin
+
+
+def counted(monkeypatch, *modules):
+    """The labels of the tables that ``modules`` write from now on."""
+    labels = []
+    for module in modules:
+        monkeypatch.setattr(module, "written", lambda frame, label: labels.append(label) or shared.written(frame, label))
+    return labels
+
+
+def test_links_of_one_task_need_one_round(spark, monkeypatch):
+    """Each round is a shuffle of all links, of as many tasks as the session's shuffles have."""
+    path = [(i, i + 1) for i in range(200)]
+    random.Random(2).shuffle(path)
+    tables = counted(monkeypatch, components)
+    got = dict(connected_components(spark.createDataFrame(path, "a long, b long").coalesce(1)).collect())
+    assert got == {i: 0 for i in range(201)}
+    assert len(tables) == 2
+
+
+def test_near_copies_in_few_tables(spark, monkeypatch):
+    """One group of near copies about the limit, in which many pairs share several buckets and aren't linked."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    texts = [edited(rng, base, rng.choice([0.02, 0.03, 0.05])) for _ in range(220)]
+    tables = counted(monkeypatch, n, components)
+    assert result(edge.texts(spark, *texts)) == brute(list(enumerate(texts)))
+    assert len(tables) <= 24
+
+
+def test_chunks_of_links_become_stars():
+    rng = random.Random(3)
+    for links in range(1, 40):
+        edges = [(rng.randint(-9, 30), rng.randint(-9, 30)) for _ in range(links)]
+        u, v = (np.array([f(e) for e in edges], dtype=np.int64) for f in (max, min))
+        want = closure({x for e in edges for x in e}, edges)
+        found = [x.tolist() for x in components._least_linked(u, v)]
+        assert len(found[0]) == len(set(found[0]))
+        assert dict(zip(*found)) == {node: least for node, least in want.items() if node != least}
+
+
+def test_a_member_with_two_texts_leaves_no_pair_to_an_earlier_bucket():
+    sets = [np.arange(i, i + 60, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in (0, 0, 1)]
+    keys = n._band_keys(np.array([n._minima(x) for x in sets], dtype=np.uint32)).view(np.int64)
+    last = int(np.flatnonzero((keys == keys[0]).all(axis=0))[-1])
+    earlier, single = n._earlier_bands(int(keys[0, last]), np.array([4, 7, 7]), sets)
+    assert earlier.tolist() == keys[:, :last].tolist()
+    assert single.tolist() == [True, False, False]
